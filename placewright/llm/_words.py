@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -34,10 +35,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_MULT ** i and its inverse modulo 2**64 for i < n."""
     if _POWERS["n"] < n:
-        n = max(n, 1 << 16)
-        up, down = np.full(n, _MULT, np.uint64), np.full(n, pow(_MULT, -1, 2**64), np.uint64)
+        size = max(n, 1 << 16)
+        up, down = np.full(size, _MULT, np.uint64), np.full(size, pow(_MULT, -1, 2**64), np.uint64)
         up[0] = down[0] = 1
-        _POWERS.update(n=n, up=np.cumprod(up), down=np.cumprod(down))
+        _POWERS.update(n=size, up=np.cumprod(up), down=np.cumprod(down))
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
@@ -53,7 +54,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``most`` bytes of text (a longer row makes a piece of its own)."""
     for b in batches:
-        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < b.num_rows:
             base = sizes[at - 1] if at else 0

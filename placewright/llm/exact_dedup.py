@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._io import hinted, saved
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,7 +48,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     Extra columns are ignored; no rows give no rows."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_sha256"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("n_bytes"))
     runs = rows.select(F.col("text_sha256").alias("digest"), "n_bytes", F.col("doc_id").alias("id"), F.spark_partition_id().alias("run"))
-    groups = merge_runs(runs, keep, fan, rounds)
+    groups = saved(merge_runs(runs, keep, fan, rounds), "exact-groups")
     out = rows.join(groups, rows.text_sha256 == groups.digest)
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
@@ -56,8 +58,6 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
     equal texts and null ids only) are one row, taken from any of them.
 
     Only winners' (digest, id) keys meet the table again; broadcast up to a size, else joined by a shuffle."""
-    from ._io import hinted, saved
-
     groups = merge_runs(docs.select(digest(F.col(text)).alias("digest"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("n_bytes"), F.col(doc_id).alias("id"), F.spark_partition_id().alias("run")), keep)
     groups = saved(groups, "exact-groups")
     # Rows alone with their text need no look-up by others: only groups of two and more name losers.
