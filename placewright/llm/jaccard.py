@@ -7,9 +7,10 @@ its partitions: a set's signatures are the contents of every such choice of part
 one band so share a signature; a set also signs for the next band if a similar set can lie there.
 
 Copies (equal sets) are one class from the start. Of classes that share a signature, each is compared with the smallest
-one; found links join classes into components, and only classes of different components are compared further. Groups of
-more than ``most`` such classes (passages that many documents share) are first split by their signatures under another,
-independent deal of the shingles, which similar sets again share; so no group is compared pair by pair in full."""
+one; found links join classes into components, and only classes of different components are compared further, first by
+parity sketches, which bound a difference from below, then in full. Classes in groups of more than ``most`` such members
+(passages that many documents share) are first grouped anew by signatures under another, independent deal of the
+shingles, which similar sets again share."""
 
 from __future__ import annotations
 
@@ -26,6 +27,8 @@ from ._io import hinted, saved
 from ._words import NON_SPACE, mix, shingles, slices, words
 
 N2, K2 = 3, 1
+#: Parity classes of a sketch.
+SKETCH = 1024
 
 
 def bands(num: int, den: int, upto: int) -> list[int]:
@@ -130,79 +133,121 @@ def shared(rows: DataFrame) -> DataFrame:
     return out.where("least <> most").select("sig", "c", "least")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets, given as (c, s), really have the similarity."""
-    left = sets.select(F.col("c").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
-    near = (F.size("sa") * den >= F.size("sb") * num) & (F.size("sb") * den >= F.size("sa") * num)
-    both = pairs.join(left, "a").join(right, "b").where(near)
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common * (den + num) >= (F.size("sa") + F.size("sb")) * num).select("a", "b")
+def _read_again(docs: DataFrame, rows: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """(text): one text, or few, of each set in ``wanted`` (c)."""
+    texts = rows.groupBy(F.col("k1").alias("c")).agg(F.min("text_key").alias("text_key")).join(wanted, "c", "left_semi").select("text_key").distinct()
+    texts = saved(texts, "wanted-texts")
+    return docs.select(F.col(text).alias("text")).join(hinted(texts), F.xxhash64(F.col("text")) == F.col("text_key"), "left_semi")
+
+
+def _fresh(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[int, np.ndarray]]:
+    """The different sets of a task's texts, by slice."""
+    seen: set[int] = set()
+    for b in slices(batches, "text"):
+        new = {}
+        for x in _sets(b.column("text"), size):
+            c = _key(x)[0]
+            if c not in seen:
+                new[c] = x
+        seen.update(new)
+        yield new
+
+
+def sketches(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
+    """(c, n, bits): the size of each wanted set and the parities of its numbers of shingles in SKETCH classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for new in _fresh(batches, size):
+            bits = []
+            for x in new.values():
+                parity = np.bincount((mix(x ^ np.uint64(77)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1
+                bits.append(np.packbits(parity).view("<i8"))
+            flat = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (SKETCH // 64)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(new, np.int64, len(new))), pa.array(np.array([len(x) for x in new.values()], np.int64)), lists], ["c", "n", "bits"])
+
+    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long, bits array<long>").dropDuplicates(["c"])
+
+
+def sieved(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that may have the similarity: sets differ in at least as many shingles as their parities do."""
+    left = bits.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = bits.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    near = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
+    differ = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return pairs.join(left, "a").join(right, "b").where(near & (differ * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
 
 
 def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
     """(c, s): the shingle hashes of the sets in ``wanted`` (c), read again from one text each."""
-    texts = rows.groupBy(F.col("k1").alias("c")).agg(F.min("text_key").alias("text_key")).join(wanted, "c", "left_semi").select("text_key").distinct()
-    texts = saved(texts, "wanted-texts")
-    own = docs.select(F.col(text).alias("text")).join(hinted(texts), F.xxhash64(F.col("text")) == F.col("text_key"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for b in slices(batches, "text"):
-            new = {}
-            for x in _sets(b.column("text"), size):
-                c = _key(x)[0]
-                if c not in seen:
-                    new[c] = x.astype(np.int64)
-            seen.update(new)
-            flat = np.concatenate(list(new.values())) if new else np.zeros(0, np.int64)
+        for new in _fresh(batches, size):
+            flat = np.concatenate(list(new.values())).astype(np.int64) if new else np.zeros(0, np.int64)
             at = np.concatenate([[0], np.cumsum([len(x) for x in new.values()])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(new, np.int64, len(new))), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["c", "s"])
 
-    return own.mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
+    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
+
+
+def verified(pairs: DataFrame, bits: DataFrame, fetch, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets really have the similarity: sieved by sketches, then compared in full; fetch(wanted)
+    reads the sets."""
+    near = saved(sieved(pairs, bits, num, den), "sieved")
+    both = near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))).distinct()
+    sets = saved(fetch(both), "sets")
+    left, right = sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    out = near.join(left, "a").join(right, "b").where(common * (den + num) >= (F.size("sa") + F.size("sb")) * num)
+    return saved(out.select("a", "b"), "verified")
 
 
-def refined(groups: DataFrame, sets: DataFrame, num: int, den: int, seed: int) -> DataFrame:
-    """(sig, c) groups split by the sets' signatures under deal ``seed``."""
+def signed_again(sets: DataFrame, num: int, den: int, seed: int) -> DataFrame:
+    """(sig, c): the signatures of the given sets (c, s) under deal ``seed``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.array(x, np.int64).astype(np.uint64) for x in b.column("s").to_pylist()]
             of, sig = signatures(own, num, den, seed)
-            yield pa.RecordBatch.from_arrays([b.column("c").take(pa.array(of)), pa.array(sig.astype(np.int64))], ["c", "more"])
+            yield pa.RecordBatch.from_arrays([b.column("c").take(pa.array(of)), pa.array(sig.astype(np.int64))], ["c", "sig"])
+
+    return sets.mapInArrow(run, "c long, sig long").select("sig", "c")
+
 
-    more = sets.join(groups.select("c").distinct(), "c", "left_semi").mapInArrow(run, "c long, more long")
-    return groups.join(more, "c").select(F.xxhash64("sig", "more").alias("sig"), "c").distinct()
+def star(groups: DataFrame) -> DataFrame:
+    """(a, b): each set b of the groups (sig, c, least) and, of its groups' smallest sets, the one it meets most often."""
+    met = groups.where("c <> least").groupBy("c", "least").agg(F.count(F.lit(1)).alias("n"))
+    return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 32, deals: int = 4) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 64, deals: int = 3) -> DataFrame:
     """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
     them. Not every similar pair is listed: pairs that links connect already are not compared again."""
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
-    sets = saved(wanted_sets(docs, rows, groups.select("c").distinct(), size, text), "sets")
-    pairs = groups.where("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b")).distinct()
-    found = saved(verified(pairs, sets, num, den), "verified")
-    tried = pairs
-    groups = groups.select("sig", "c")
+    bits = saved(sketches(docs, rows, groups.select("c").distinct(), size, text), "sketches")
+    fetch = lambda wanted: wanted_sets(docs, rows, wanted, size, text)
+    found = verified(star(groups), bits, fetch, num, den)
+    tried = None
     for seed in range(1, deals + 1):
         roots = graph.components(found)
         named = groups.join(roots, groups["c"] == roots["node"], "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
-        spread = named.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("members")).where("r0 <> r1")
-        open_ = saved(named.join(spread, "sig").select("sig", "c", "root", "members"), "open-groups")
+        spread = named.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("members")).where("r0 <> r1").select("sig", "members")
+        open_ = saved(named.join(spread, "sig"), "open-groups")
         last = seed == deals
         few = open_ if last else open_.where(F.col("members") <= most)
         x, y = few.select("sig", F.col("c").alias("a"), F.col("root").alias("ra")), few.select("sig", F.col("c").alias("b"), F.col("root").alias("rb"))
-        pairs = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        new = verified(pairs, sets, num, den)
-        many = open_.where(F.col("members") > most).select("sig", "c")
+        pairs = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "open-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = found.unionByName(verified(pairs, bits, fetch, num, den)).distinct()
+        many = open_.where(F.col("members") > most).select("c").distinct()
         if last or not many.limit(1).count():
-            return found.unionByName(new)
-        # The large groups, split: again each set against the smallest of its group first.
-        groups = saved(shared(refined(many, sets, num, den, seed)), "refined-groups")
-        star = groups.where("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b")).distinct()
-        found = saved(found.unionByName(new).unionByName(verified(star.join(tried, ["a", "b"], "left_anti"), sets, num, den)).distinct(), "verified")
-        tried = tried.unionByName(star)
-        groups = groups.select("sig", "c")
+            return found
+        # The sets of large groups, grouped anew under another deal; again each is first compared with one other.
+        groups = saved(shared(signed_again(fetch(many), num, den, seed)), "signature-groups")
+        found = saved(found.unionByName(verified(star(groups), bits, fetch, num, den)).distinct(), "found")
     return found
 
 
