@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, jaccard, line_dedup, packing, sharding, token_count
+from . import decontam, exact_dedup, html_text, jaccard, line_dedup, packing, pii, quality, sharding, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(pii.sanitise(table(spark, sf_dir, "documents")))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", *[found[f"_{c}"].alias(c) for c in ("symbols", "perplexity", "threshold", "kept")])
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +36,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
 
 
+def op7_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -39,7 +52,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixture_packing, op2_decontamination, op5_exact_dedup, op6_jaccard_join, op8_token_counts, op9_label_propagation, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mixture_packing, op2_decontamination, op3_sanitisation, op4_quality_classifier, op5_exact_dedup, op6_jaccard_join, op7_style_tree, op8_token_counts, op9_label_propagation, op10_line_dedup)}
 
 ORACLES = {
     "op5_exact_dedup": """
