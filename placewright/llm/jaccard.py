@@ -28,7 +28,7 @@ from ._words import NON_SPACE, mix, shingles, slices, words
 
 N2, K2 = 3, 1
 #: Parity classes of a sketch.
-SKETCH = 1024
+SKETCH = 512
 
 
 def bands(num: int, den: int, upto: int) -> list[int]:
@@ -153,29 +153,46 @@ def _fresh(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[int, n
         yield new
 
 
+BITS = [f"b{i}" for i in range(SKETCH // 64)]
+
+
 def sketches(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
-    """(c, n, bits): the size of each wanted set and the parities of its numbers of shingles in SKETCH classes."""
+    """(c, n, b0, b1, ...): the size of each wanted set and the parities of its numbers of shingles in SKETCH classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for new in _fresh(batches, size):
-            bits = []
-            for x in new.values():
+            bits = np.zeros((len(new), len(BITS)), np.int64)
+            for i, x in enumerate(new.values()):
                 parity = np.bincount((mix(x ^ np.uint64(77)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1
-                bits.append(np.packbits(parity).view("<i8"))
-            flat = np.concatenate(bits) if bits else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (SKETCH // 64)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(new, np.int64, len(new))), pa.array(np.array([len(x) for x in new.values()], np.int64)), lists], ["c", "n", "bits"])
+                bits[i] = np.packbits(parity).view("<i8")
+            cols = [np.fromiter(new, np.int64, len(new)), np.array([len(x) for x in new.values()], np.int64), *[np.ascontiguousarray(bits[:, k]) for k in range(len(BITS))]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["c", "n", *BITS])
+
+    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long" + "".join(f", {b} long" for b in BITS)).dropDuplicates(["c"])
+
 
-    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long, bits array<long>").dropDuplicates(["c"])
+def _side(df: DataFrame, s: str) -> DataFrame:
+    """Columns c, n, b0 ... named for one side of a pair."""
+    return df.withColumnsRenamed({"c": s, "n": f"n_{s}", "root": f"root_{s}"} | {x: f"{x}_{s}" for x in BITS})
+
+
+def _may_link(num: int, den: int):
+    """Whether the sets of two sides can have the similarity: they differ in at least as many shingles as their parities."""
+    na, nb = F.col("n_a"), F.col("n_b")
+    differ = sum((F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in BITS), F.lit(0))
+    return (na * den >= nb * num) & (nb * den >= na * num) & (differ * (den + num) <= (na + nb) * (den - num))
 
 
 def sieved(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that may have the similarity: sets differ in at least as many shingles as their parities do."""
-    left = bits.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    right = bits.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    near = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    differ = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").where(near & (differ * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
+    """The pairs (a, b) that may have the similarity."""
+    return pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(_may_link(num, den)).select("a", "b")
+
+
+def open_pairs(groups: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): sets of one group (sig, c, root) and different components that may have the similarity."""
+    rows = groups.select("sig", "c", "root").join(bits, "c")
+    both = _side(rows, "a").join(_side(rows, "b"), "sig").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
+    return both.where(_may_link(num, den)).select("a", "b").distinct()
 
 
 def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
@@ -190,10 +207,9 @@ def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int,
     return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
 
 
-def verified(pairs: DataFrame, bits: DataFrame, fetch, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets really have the similarity: sieved by sketches, then compared in full; fetch(wanted)
-    reads the sets."""
-    near = saved(sieved(pairs, bits, num, den), "sieved")
+def verified(near: DataFrame, fetch, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets really have the similarity; fetch(wanted) reads the sets."""
+    near = saved(near, "sieved")
     both = near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))).distinct()
     sets = saved(fetch(both), "sets")
     left, right = sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
@@ -220,13 +236,13 @@ def star(groups: DataFrame) -> DataFrame:
     return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 64, deals: int = 3) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 32, deals: int = 3) -> DataFrame:
     """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
     them. Not every similar pair is listed: pairs that links connect already are not compared again."""
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
     bits = saved(sketches(docs, rows, groups.select("c").distinct(), size, text), "sketches")
     fetch = lambda wanted: wanted_sets(docs, rows, wanted, size, text)
-    found = verified(star(groups), bits, fetch, num, den)
+    found = verified(sieved(star(groups), bits, num, den), fetch, num, den)
     tried = None
     for seed in range(1, deals + 1):
         roots = graph.components(found)
@@ -235,19 +251,18 @@ def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text:
         open_ = saved(named.join(spread, "sig"), "open-groups")
         last = seed == deals
         few = open_ if last else open_.where(F.col("members") <= most)
-        x, y = few.select("sig", F.col("c").alias("a"), F.col("root").alias("ra")), few.select("sig", F.col("c").alias("b"), F.col("root").alias("rb"))
-        pairs = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
+        pairs = open_pairs(few, bits, num, den)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "open-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = found.unionByName(verified(pairs, bits, fetch, num, den)).distinct()
+        found = found.unionByName(verified(pairs, fetch, num, den)).distinct()
         many = open_.where(F.col("members") > most).select("c").distinct()
         if last or not many.limit(1).count():
             return found
         # The sets of large groups, grouped anew under another deal; again each is first compared with one other.
         groups = saved(shared(signed_again(fetch(many), num, den, seed)), "signature-groups")
-        found = saved(found.unionByName(verified(star(groups), bits, fetch, num, den)).distinct(), "found")
+        found = saved(found.unionByName(verified(sieved(star(groups), bits, num, den), fetch, num, den)).distinct(), "found")
     return found
 
 
