@@ -157,18 +157,22 @@ BITS = [f"b{i}" for i in range(SKETCH // 64)]
 
 
 def sketches(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
-    """(c, n, b0, b1, ...): the size of each wanted set and the parities of its numbers of shingles in SKETCH classes."""
+    """(c, n, b0, b1, ..., wide): the size of each wanted set and the parities of its numbers of shingles in SKETCH
+    classes, and, packed, in as many classes as a power of two of at least twice its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for new in _fresh(batches, size):
-            bits = np.zeros((len(new), len(BITS)), np.int64)
+            bits, wide = np.zeros((len(new), len(BITS)), np.int64), []
             for i, x in enumerate(new.values()):
-                parity = np.bincount((mix(x ^ np.uint64(77)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1
-                bits[i] = np.packbits(parity).view("<i8")
+                h = mix(x ^ np.uint64(77))
+                classes = max(SKETCH, 1 << (2 * len(x) - 1).bit_length())
+                parity = np.bincount((h % np.uint64(classes)).astype(np.int64), minlength=classes).astype(np.uint8) & 1
+                wide.append(np.packbits(parity).tobytes())
+                bits[i] = np.packbits(np.bitwise_xor.reduce(parity.reshape(-1, SKETCH))).view("<i8")
             cols = [np.fromiter(new, np.int64, len(new)), np.array([len(x) for x in new.values()], np.int64), *[np.ascontiguousarray(bits[:, k]) for k in range(len(BITS))]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["c", "n", *BITS])
+            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in cols], pa.array(wide, pa.binary())], ["c", "n", *BITS, "wide"])
 
-    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long" + "".join(f", {b} long" for b in BITS)).dropDuplicates(["c"])
+    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long" + "".join(f", {b} long" for b in BITS) + ", wide binary").dropDuplicates(["c"])
 
 
 def _side(df: DataFrame, s: str) -> DataFrame:
@@ -185,12 +189,31 @@ def _may_link(num: int, den: int):
 
 def sieved(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that may have the similarity."""
+    bits = bits.drop("wide")
     return pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(_may_link(num, den)).select("a", "b")
 
 
+def sieved_wide(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that may have the similarity by their wide sketches; the wider of two is folded to the other."""
+    own = lambda c: bits.select(F.col("c").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"w_{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = np.zeros(b.num_rows, bool)
+            sizes = b.column("n_a").to_numpy() + b.column("n_b").to_numpy()
+            for i, (x, y) in enumerate(zip(b.column("w_a").to_pylist(), b.column("w_b").to_pylist())):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(x), len(y))
+                x, y = np.bitwise_xor.reduce(x.reshape(-1, size)), np.bitwise_xor.reduce(y.reshape(-1, size))
+                ok[i] = int(np.bitwise_count(x ^ y).sum()) * (den + num) <= sizes[i] * (den - num)
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+
+    return pairs.join(own("a"), "a").join(own("b"), "b").mapInArrow(run, "a long, b long")
+
+
 def open_pairs(groups: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): sets of one group (sig, c, root) and different components that may have the similarity."""
-    rows = groups.select("sig", "c", "root").join(bits, "c")
+    rows = groups.select("sig", "c", "root").join(bits.drop("wide"), "c")
     both = _side(rows, "a").join(_side(rows, "b"), "sig").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
     return both.where(_may_link(num, den)).select("a", "b").distinct()
 
@@ -207,9 +230,9 @@ def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int,
     return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
 
 
-def verified(near: DataFrame, fetch, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, bits: DataFrame, fetch, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets really have the similarity; fetch(wanted) reads the sets."""
-    near = saved(near, "sieved")
+    near = saved(sieved_wide(pairs, bits, num, den), "sieved")
     both = near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))).distinct()
     sets = saved(fetch(both), "sets")
     left, right = sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
@@ -242,7 +265,7 @@ def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text:
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
     bits = saved(sketches(docs, rows, groups.select("c").distinct(), size, text), "sketches")
     fetch = lambda wanted: wanted_sets(docs, rows, wanted, size, text)
-    found = verified(sieved(star(groups), bits, num, den), fetch, num, den)
+    found = verified(sieved(star(groups), bits, num, den), bits, fetch, num, den)
     tried = None
     for seed in range(1, deals + 1):
         roots = graph.components(found)
@@ -256,13 +279,13 @@ def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "open-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = found.unionByName(verified(pairs, fetch, num, den)).distinct()
+        found = found.unionByName(verified(pairs, bits, fetch, num, den)).distinct()
         many = open_.where(F.col("members") > most).select("c").distinct()
         if last or not many.limit(1).count():
             return found
         # The sets of large groups, grouped anew under another deal; again each is first compared with one other.
         groups = saved(shared(signed_again(fetch(many), num, den, seed)), "signature-groups")
-        found = saved(found.unionByName(verified(sieved(star(groups), bits, num, den), fetch, num, den)).distinct(), "found")
+        found = saved(found.unionByName(verified(sieved(star(groups), bits, num, den), bits, fetch, num, den)).distinct(), "found")
     return found
 
 
