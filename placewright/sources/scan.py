@@ -120,7 +120,7 @@ def optional(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
 
 
-def scan_snapshot(spark: SparkSession, glob: str, pattern: str = r"status-(.*)\.parquet") -> DataFrame:
+def scan_snapshot(spark: SparkSession, glob: str, pattern: str = r"status-([^/]+?)\.parquet") -> DataFrame:
     """Many status files, the region taken from each file's name (or its folder's)."""
     df = spark.read.option("recursiveFileLookup", True).parquet(glob)
     return df.withColumn("region", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
