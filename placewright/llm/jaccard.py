@@ -259,7 +259,7 @@ def star(groups: DataFrame) -> DataFrame:
     return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 32, deals: int = 3) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 128, deals: int = 3) -> DataFrame:
     """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
     them. Not every similar pair is listed: pairs that links connect already are not compared again."""
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
