@@ -3,8 +3,7 @@
 Pages of a host are merged: a node of the tree is an element's place (the tags and classes from the root, with the
 number among equals), and the tree counts, over the host's pages, how its presentation (the sequence of its children)
 and, for a block, its content vary. A node that m pages share has importance - sum p log_m p over its variants: 0 for
-what every page repeats, 1 for what no two pages share. An inner node also takes its children's importance, by the share
-gamma of each. Branches of low importance are removed from every page, and so are elements that never hold content
+what every page repeats, 1 for what no two pages share. An inner node is worth its most important content. Branches of low importance are removed from every page, and so are elements that never hold content
 (scripts, forms, menus ... by tag, class, id or role). What stands in an ``article`` or ``main`` element is content and
 only loses branches of the second kind: copies of one article on a host must not remove each other."""
 
@@ -170,17 +169,12 @@ def _in_main(path: str) -> bool:
     return any(step.split(".")[0].rstrip("0123456789") in MAIN for step in path.split("/"))
 
 
-def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 4, gamma: float = 0.9, depth: int = 3) -> DataFrame:
-    """(host, node): nodes that at least ``min_pages`` pages share and whose composite importance is at most
-    ``threshold``. A node's composite importance is (1 - gamma ** l) times its own plus gamma ** l times the mean of its l
-    children's; ``depth`` levels are taken in, by joins of the tree with itself."""
-    now = saved(tree.withColumn("importance", F.col("entropy")), "style-tree")
-    base = now
-    for _ in range(depth):
-        below = now.groupBy("host", F.col("parent").alias("node")).agg(F.avg("importance").alias("mean"), F.count(F.lit(1)).alias("l"))
-        part = F.pow(F.lit(gamma), F.col("l"))
-        now = base.join(below, ["host", "node"], "left").withColumn("importance", F.when(F.col("l").isNull(), F.col("entropy")).otherwise((1 - part) * F.col("entropy") + part * F.col("mean"))).drop("mean", "l")
-    return now.where((F.col("pages") >= min_pages) & (F.col("importance") <= threshold)).select("host", "node")
+def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 4) -> DataFrame:
+    """(host, node): content nodes that at least ``min_pages`` pages share and whose importance is at most ``threshold``.
+    An inner node is worth what its most important content is, so that a branch goes when all its content does."""
+    inner = tree.select("host", F.col("parent").alias("node")).distinct()
+    leaves = tree.join(inner, ["host", "node"], "left_anti")
+    return leaves.where((F.col("pages") >= min_pages) & (F.col("entropy") <= threshold)).select("host", "node")
 
 
 def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 4, url: str = "url", source: str = "html", page_id: str = "page_id", salts: int = 64, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -190,7 +184,7 @@ def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 4, url: s
     Null or empty html gives an empty text; a null or unreadable url belongs to the host ''. Broken and truncated markup
     is read as far as it goes. A host with fewer than ``min_pages`` pages loses nothing by importance. The noise nodes
     go to all executors if they are at most ``limit``, else to the pages by (host, salt). Extra columns are ignored."""
-    noise = saved(noise_nodes(style_tree(pages, url, source), threshold, min_pages), "noise-nodes")
+    noise = saved(noise_nodes(saved(style_tree(pages, url, source), "style-tree"), threshold, min_pages), "noise-nodes")
     kind = pages.schema[page_id].dataType.simpleString()
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"), host_of(F.col(url)).alias("host"))
     table: dict[str, frozenset[int]] | None = None
