@@ -3,8 +3,9 @@
 Emails, IP addresses, card and phone numbers are found by pattern; each value is a protected entity. How strongly a term
 reveals an entity is estimated from the whole corpus: with p over different texts, term t discloses entity e when
 PMI(e; t) = log(p(e, t) / (p(e) p(t))) reaches IC(e) / alpha, IC(e) = -log p(e) being all there is to know about e. Terms
-count as met with e inside ``window`` words around a mention, and need ``support`` different texts, so that copies of one
-text prove nothing. Disclosing terms become spans of kind ``term`` wherever they stand and are removed, or generalised to
+count as met with e inside ``window`` words around a mention. No entity is too rare: for one that a single text has, the
+terms are those around it that hardly any other text has. p(e | t) is smoothed by ``prior`` texts that have e at its
+corpus rate, so that one meeting in a small corpus is not taken for certainty. Disclosing terms become spans of kind ``term`` wherever they stand and are removed, or generalised to
 their kind of word, like the base spans."""
 
 from __future__ import annotations
@@ -88,10 +89,11 @@ def mentions(docs: DataFrame, window: int, text: str = "text") -> DataFrame:
                 spans = base_spans(t) if t else []
                 if not spans:
                     continue
+                bare = _blanked(t, spans)
                 for k, first, last in spans:
                     value = f"{KINDS[k]}:{t[first:last].lower()}"
                     # the words around: cut a stretch that surely holds them, longer where words are
-                    left, right = _around(t, first, last, window)
+                    left, right = _around(bare, first, last, window)
                     rows.add((value, "", key))
                     rows.update((value, w, key) for w in left + right)
             rows_ = list(rows)
@@ -102,6 +104,16 @@ def mentions(docs: DataFrame, window: int, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, "entity long, term long, text_key long")
 
 
+def _blanked(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with its spans as spaces: parts of one entity are no terms of another."""
+    out, at = [], 0
+    for _, first, last in sorted(spans, key=lambda s: s[1]):
+        if last > at:
+            out += [text[at:first], " " * (last - max(at, first))]
+            at = last
+    return "".join([*out, text[at:]])
+
+
 def _around(text: str, first: int, last: int, window: int) -> tuple[list[str], list[str]]:
     """Up to ``window`` words on either side of a span, words of digits only left out."""
     reach = 16 * window
@@ -171,22 +183,22 @@ def term_frequencies(docs: DataFrame, terms: DataFrame, text: str = "text") -> D
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(docs: DataFrame, alpha: float = 1.5, support: int = 3, window: int = 10, text: str = "text") -> DataFrame:
+def disclosing_terms(docs: DataFrame, alpha: float = 1.5, prior: float = 1.0, window: int = 10, text: str = "text") -> DataFrame:
     """(term, bits, entities): hashes of the terms that disclose some entity, with the strongest PMI in bits.
 
     p(e, t) and p(e) count different texts, p(t) and the corpus all rows with text (copies of a text make a term look
     commoner, never more telling). Words of digits and the entities' own parts are no terms."""
     met = saved(mentions(docs, window, text), "pii-mentions")
-    pairs = met.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("both")).where(F.col("both") >= support)
-    pairs = saved(pairs, "pii-pairs")
+    pairs = saved(met.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("both")), "pii-pairs")
     entities = pairs.where("term = 0").select("entity", F.col("both").alias("n_entity"))
     pairs = pairs.where("term <> 0")
     n_rows = docs.where(F.octet_length(F.col(text)) > 0).count()
-    # PMI >= IC / alpha  <=>  both / n_term >= p(e) ** (1 - 1 / alpha): first what holds for the fewest n_term, both
-    some = pairs.join(entities, "entity").withColumn("least", F.pow(F.col("n_entity") / F.lit(max(n_rows, 1)), F.lit(1 - 1 / alpha)))
+    # PMI >= IC / alpha  <=>  p(e | t) >= p(e) ** (1 - 1 / alpha)
+    some = pairs.join(entities, "entity").withColumn("rate", F.col("n_entity") / F.lit(float(max(n_rows, 1))))
     counts = term_frequencies(docs, saved(some.select("term").distinct(), "pii-terms"), text)
-    strong = some.join(counts, "term").where(F.col("both") / F.col("n") >= F.col("least"))
-    bits = F.log2(F.col("both") * F.lit(float(max(n_rows, 1))) / (F.col("n_entity") * F.col("n")))
+    given = (F.col("both") + F.lit(float(prior)) * F.col("rate")) / (F.col("n") + F.lit(float(prior)))
+    strong = some.join(counts, "term").withColumn("given", given).where(F.col("given") >= F.pow("rate", F.lit(1 - 1 / alpha)))
+    bits = F.log2(F.col("given") / F.col("rate"))
     return strong.groupBy("term").agg(F.max(bits).alias("bits"), F.count(F.lit(1)).alias("entities"))
 
 
@@ -264,11 +276,11 @@ def marked(docs: DataFrame, terms: DataFrame, text: str, doc_id: str, remove: bo
     return all_spans.join(texts, "_row").select("doc_id", F.array_sort("spans").alias("spans"), "text").mapInArrow(finish, shape)
 
 
-def sanitise(docs: DataFrame, alpha: float = 1.5, support: int = 3, window: int = 10, remove: bool = False, text: str = "text", doc_id: str = "doc_id", block: int = TERMS) -> DataFrame:
+def sanitise(docs: DataFrame, alpha: float = 1.5, prior: float = 1.0, window: int = 10, remove: bool = False, text: str = "text", doc_id: str = "doc_id", block: int = TERMS) -> DataFrame:
     """One row a row of ``docs``: doc_id, spans (kind number in KINDS, start, stop in code points, by kind and start) and
     the sanitised text. Null texts have no spans and stay null; null and repeated doc_ids and repeated rows have a row
     each; extra columns are ignored; no rows give no rows."""
-    terms = saved(disclosing_terms(docs, alpha, support, window, text), "pii-disclosing")
+    terms = saved(disclosing_terms(docs, alpha, prior, window, text), "pii-disclosing")
     return marked(docs, terms, text, doc_id, remove, block)
 
 

@@ -49,6 +49,18 @@ def test_terms_that_reveal_an_entity_go(spark, block):
     assert report[7].n_phone == 1 and report[3].n_email == 1 and report[3].n_term == 2
 
 
+def test_a_name_beside_an_email_that_occurs_once_goes(spark):
+    rng = random.Random(2)
+    common = [f"word{c}" for c in "abcdefghij"]
+    say = lambda *more: " ".join([rng.choice(common) for _ in range(8)] + list(more) + [rng.choice(common) for _ in range(8)])
+    rows = [(1, say("Quillon", "jo@x.org")), (2, say("+1 (743) 555-3824", "Varga", "al@y.org"))] + [(100 + i, say()) for i in range(80)]
+    out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    texts = dict(rows)
+    assert {texts[1][s.start : s.stop] for s in out[1].spans} == {"Quillon", "jo@x.org"} and "[NAME] [EMAIL]" in out[1].text
+    assert {texts[2][s.start : s.stop] for s in out[2].spans} == {"+1 (743) 555-3824", "Varga", "al@y.org"}  # no parts of entities
+    assert not any(out[100 + i].spans for i in range(80))
+
+
 def test_sanitise_awkward_rows(awkward, nothing):
     assert pii.sanitise(awkward).count() == awkward.count() and pii.sanitise(nothing).count() == 0
 
