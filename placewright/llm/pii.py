@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._io import saved, small
+from ._io import hinted, saved, small
 from ._words import ALNUM, mix, slices, words
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -132,70 +132,64 @@ def _around(text: str, first: int, last: int, window: int) -> tuple[list[str], l
     return own(left[-window:]), own(right[:window])
 
 
-def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(term, n): in how many rows with different texts, per partition and then together, each word occurs."""
+def counted(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
+    """(rows with text and in how many rows that text stands: text, copies; the number of different texts). The copied
+    texts' keys go to the rows if they are few, else both are shuffled."""
+    rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_key")).where(F.octet_length("text") > 0)
+    copies = saved(rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-copies")
+    more = hinted(copies.where(F.col("copies") > 1))
+    return rows.join(more, "text_key", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies")), copies.count()
+
+
+def term_frequencies(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n) for the given terms: in how many different texts each occurs, from rows as of counted(). A text with c
+    copies meets a term in c rows, so rows are summed by (term, copies) and divided by the copies. The terms go to the
+    rows if they are few; else all words are counted."""
+    wanted = np.sort(np.array([r["term"] for r in terms.toArrow().to_pylist()], np.int64).astype(np.uint64)) if small(terms, TERMS) else None
+
+    def flush(keys: np.ndarray, copies: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(copies), pa.array(n)], ["term", "copies", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in slices(batches, "text", 4_000_000):
-            names = b.column("text_key").to_pylist()
-            fresh = np.array([not (k in seen or seen.add(k)) for k in names], bool)
-            h, bounds = words(b.column("text").filter(pa.array(fresh)), ALNUM)
+            h, bounds = words(b.column("text"), ALNUM)
             doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds))
+            if wanted is not None:
+                ok = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
+                h, doc = h[ok], doc[ok]
             order = np.lexsort((doc, h))
             h, doc = h[order], doc[order]
             first = np.ones(len(h), bool)
             first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            own, n = np.unique(h[first], return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
-            if len(keys) > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], ["term", "n"])
-                keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], ["term", "n"])
-
-    rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_key"))
-    return rows.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def term_frequencies(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(term, n) for the given terms: in how many rows each occurs. The terms go to the rows if they are few; else all
-    words are counted."""
-    if not small(terms, TERMS):
-        return frequencies(docs, text).join(terms, "term", "left_semi")
-    wanted = np.sort(np.array([r["term"] for r in terms.toArrow().to_pylist()], np.int64).astype(np.uint64))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(wanted), np.int64)
-        for b in slices(batches, "text", 4_000_000):
-            h, bounds = words(b.column("text"), ALNUM)
-            if not len(h) or not len(wanted):
-                continue
-            at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-            ok = wanted[at] == h
-            doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds))[ok]
-            pairs = np.unique(doc * len(wanted) + at[ok])
-            counts += np.bincount(pairs % len(wanted), minlength=len(wanted))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].astype(np.int64)), pa.array(counts[some])], ["term", "n"])
-
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+            h, c = h[first], b.column("copies").to_numpy()[doc[first]]
+            for k in np.unique(c):
+                own, n = np.unique(h[c == k], return_counts=True)
+                old = held.get(int(k), (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+                keys, at = np.unique(np.concatenate([old[0], own]), return_inverse=True)
+                held[int(k)] = keys, np.bincount(at, np.concatenate([old[1], n])).astype(np.int64)
+            if sum(len(x) for x, _ in held.values()) > 1_000_000:
+                yield from (flush(x, np.full(len(x), k, np.int64), n) for k, (x, n) in held.items())
+                held = {}
+        yield from (flush(x, np.full(len(x), k, np.int64), n) for k, (x, n) in held.items())
+
+    found = rows.mapInArrow(run, "term long, copies long, n long").groupBy("term", "copies").agg(F.sum("n").alias("n"))
+    found = found.groupBy("term").agg(F.sum((F.col("n") / F.col("copies")).cast("long")).alias("n"))
+    return found if wanted is not None else found.join(terms, "term", "left_semi")
 
 
 def disclosing_terms(docs: DataFrame, alpha: float = 1.5, prior: float = 1.0, window: int = 10, text: str = "text") -> DataFrame:
     """(term, bits, entities): hashes of the terms that disclose some entity, with the strongest PMI in bits.
 
-    p(e, t) and p(e) count different texts, p(t) and the corpus all rows with text (copies of a text make a term look
-    commoner, never more telling). Words of digits and the entities' own parts are no terms."""
+    All probabilities are over different texts, at every size: copies of a text count once. Words of digits and the entities' own parts are no terms."""
     met = saved(mentions(docs, window, text), "pii-mentions")
     pairs = saved(met.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("both")), "pii-pairs")
     entities = pairs.where("term = 0").select("entity", F.col("both").alias("n_entity"))
     pairs = pairs.where("term <> 0")
-    n_rows = docs.where(F.octet_length(F.col(text)) > 0).count()
+    rows, n_texts = counted(docs, text)
     # PMI >= IC / alpha  <=>  p(e | t) >= p(e) ** (1 - 1 / alpha)
-    some = pairs.join(entities, "entity").withColumn("rate", F.col("n_entity") / F.lit(float(max(n_rows, 1))))
-    counts = term_frequencies(docs, saved(some.select("term").distinct(), "pii-terms"), text)
+    some = pairs.join(entities, "entity").withColumn("rate", F.col("n_entity") / F.lit(float(max(n_texts, 1))))
+    counts = term_frequencies(rows, saved(some.select("term").distinct(), "pii-terms"))
     given = (F.col("both") + F.lit(float(prior)) * F.col("rate")) / (F.col("n") + F.lit(float(prior)))
     strong = some.join(counts, "term").withColumn("given", given).where(F.col("given") >= F.pow("rate", F.lit(1 - 1 / alpha)))
     bits = F.log2(F.col("given") / F.col("rate"))

@@ -61,6 +61,24 @@ def test_a_name_beside_an_email_that_occurs_once_goes(spark):
     assert not any(out[100 + i].spans for i in range(80))
 
 
+def test_terms_are_counted_by_different_texts_at_every_size(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") + "q" for _ in range(6)) + (" Quillon jo@x.org" if i == 0 else "") for i in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts * 3 + texts[:5] * 7 + [None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    words = {w.lower() for t in texts for w in re.findall("[A-Za-z]+", t)}
+    keys = dict(zip(pii._hash(sorted(words)).tolist(), sorted(words)))
+    terms = spark.createDataFrame([(k,) for k in keys], "term long")
+    want = {w: sum(w in re.findall("[a-z]+", t.lower()) for t in set(texts)) for w in words}
+    found = []
+    for limit in (2_000_000, 1):
+        monkeypatch.setattr(pii, "TERMS", limit)
+        counted, n = pii.counted(docs)
+        assert n == len(set(texts)) and {keys[r.term]: r.n for r in pii.term_frequencies(counted, terms).collect()} == want
+        found.append(sorted((r.term, r.bits, r.entities) for r in pii.disclosing_terms(docs).collect()))
+    assert found[0] == found[1] and pii._hash(["quillon"])[0] in {t for t, _, _ in found[0]}
+
+
 def test_sanitise_awkward_rows(awkward, nothing):
     assert pii.sanitise(awkward).count() == awkward.count() and pii.sanitise(nothing).count() == 0
 
