@@ -4,7 +4,8 @@ Pages of a host are merged: a node of the tree is an element's place (the tags a
 number among equals), and the tree counts, over the host's pages, how its presentation (the sequence of its children)
 and, for a block, its content vary. A node that m pages share has importance - sum p log_m p over its variants: 0 for
 what every page repeats, 1 for what no two pages share. An inner node is worth its most important content. Branches of low importance are removed from every page, and so are elements that never hold content
-(scripts, forms, menus ... by tag, class, id or role). What stands in an ``article`` or ``main`` element is content and
+(scripts, forms, menus ... by tag, or by a whole class, id or role). Nothing of this rules out html, body, main, article
+or an element that holds one of them, nor a form that holds blocks: of it only the controls go. What stands in an ``article`` or ``main`` element is content and
 only loses branches of the second kind: copies of one article on a host must not remove each other."""
 
 from __future__ import annotations
@@ -32,9 +33,12 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadc
 #: an opening tag of these ends an open p
 ENDS_P = BLOCK - {"html", "body"}
 MAIN = frozenset(("article", "main"))
+#: what nothing rules out, nor anything around it; blocks that a form is kept for
+KEPT = MAIN | {"html", "body"}
+WRAPPED = BLOCK - {"form", "fieldset"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>|<(?:/?[a-zA-Z!?])[^<>]*+\Z""", re.S)
-_LABEL = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -46,19 +50,26 @@ class Page:
     def __init__(self, source: str, structure: bool):
         self.blocks: list[tuple[str, str, bool]] = []
         self.children: dict[str, list[str]] = {}
-        # open elements: (tag, path, never content, in main, how many of each child)
-        stack: list[tuple[str, str, bool, bool, dict[str, int]]] = [("", "", False, False, {})]
-        held: list[str] = []
+        # open elements: (tag, path, the innermost form and other element that rule it out, in main, how many of each child)
+        stack: list[tuple[str, str, tuple[int, int], bool, dict[str, int]]] = [("", "", (0, 0), False, {})]
+        held: list[tuple[str, tuple[int, int]]] = []
+        blocks: list[tuple[list[tuple[str, tuple[int, int]]], str, bool]] = []
+        children: list[tuple[str, str, tuple[int, int]]] = []
+        outer: dict[int, int] = {}  # the next one of the same kind around it
+        lifted = {0}  # elements that turned out to hold content, and all of their kind around them
         at, end = 0, len(source)
         raw = ""
 
+        def lift(k: int) -> None:
+            while k not in lifted:
+                lifted.add(k)
+                k = outer[k]
+
         def flush() -> None:
             if held:
-                text = " ".join(html.unescape("".join(held)).split())
+                place = next((x for x in reversed(stack) if x[0] in BLOCK), stack[0])
+                blocks.append((held.copy(), place[1], place[3]))
                 held.clear()
-                if text:
-                    place = next((x for x in reversed(stack) if x[0] in BLOCK), stack[0])
-                    self.blocks.append((text, place[1], place[3]))
 
         for m in _TAG.finditer(source):
             if raw:  # inside a raw element only its own end counts
@@ -68,8 +79,8 @@ class Page:
                 at = m.start()
             if m.start() < at:
                 continue
-            if m.start() > at and not stack[-1][2]:
-                held.append(source[at : m.start()])
+            if m.start() > at and stack[-1][0] not in RAW:
+                held.append((source[at : m.start()], stack[-1][2]))
             at = m.end()
             if m[2] is None:
                 continue
@@ -91,25 +102,43 @@ class Page:
                 if tag in ("li", "dd", "dt", "tr"):
                     self._close(stack, tag)
             elif tag in ("br", "td", "th", "img", "hr"):
-                held.append(" ")
+                held.append((" ", (0, 0)))
             if tag in VOID:
                 continue
-            labels = [x for a in _LABEL.findall(m[3]) for x in _SPLIT.split(a[1] or a[2] or a[3]) if x] if m[3] else []
-            labels = [x.lower() for x in labels]
+            names = [x for a in _ATTRIBUTE.findall(m[3]) if a[0].lower() in ("class", "id", "role") for x in (a[1] or a[2] or a[3]).split()] if m[3] else []
+            labels = [x.lower() for name in names for x in _SPLIT.split(name) if x]
             parent = stack[-1]
-            never = parent[2] or (tag in NEVER and not (tag == "header" and parent[3])) or any(x in NOISE for x in labels)
+            form, other = ruled = parent[2]
+            if tag in WRAPPED:
+                lift(form)
+            if tag in KEPT:
+                lift(form)
+                lift(other)
+            elif any(x.lower() in NOISE for x in names) or (tag in NEVER and tag != "form" and not (tag == "header" and parent[3])):
+                ruled = form, m.start() + 1
+                outer[ruled[1]] = other
+            elif tag == "form":
+                ruled = m.start() + 1, other
+                outer[ruled[0]] = form
             step = f"{tag}.{'.'.join(labels)}" if labels else tag
             number = parent[4].get(step, 0) + 1
             parent[4][step] = number
             path = f"{parent[1]}/{step}{number}" if tag in BLOCK else parent[1]
-            if structure and tag in BLOCK and not parent[2]:
-                self.children.setdefault(parent[1], []).append(step)
-            stack.append((tag, path, never, parent[3] or tag in MAIN, {}))
+            if structure and tag in BLOCK:
+                children.append((parent[1], step, parent[2]))
+            stack.append((tag, path, ruled, parent[3] or tag in MAIN, {}))
             if tag in RAW and m[3][-1:] != "/":
                 raw = tag
-        if at < end and not raw and not stack[-1][2]:
-            held.append(source[at:])
+        if at < end and not raw and stack[-1][0] not in RAW:
+            held.append((source[at:], stack[-1][2]))
         flush()
+        for pieces, path, main in blocks:
+            text = " ".join(html.unescape("".join(x for x, ruled in pieces if lifted.issuperset(ruled))).split())
+            if text:
+                self.blocks.append((text, path, main))
+        for path, step, ruled in children:
+            if lifted.issuperset(ruled):
+                self.children.setdefault(path, []).append(step)
 
     @staticmethod
     def _close(stack: list, tag: str) -> None:

@@ -138,6 +138,27 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in html_text.extract(pages).collect()} == {"Same\nSame story"}
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<body class='has-sidebar'><p>Text</p></body>",
+        "<body class='sidebar'><p>Text</p></body>",
+        "<body><div id='content' class='no-sidebar'><p>Text</p></div></body>",
+        "<body><main class='search-results search'><p>Text</p></main></body>",
+        "<body><div class='search'><article class='post comments-open'><p>Text</p></article></div></body>",
+        "<body><div data-id='share' title=\"a class='share'\"><p>Text</p></div></body>",
+        "<body><form action='/'><input><div><p>Text</p></div><label>Name</label><button>Go</button></form></body>",
+        "<body><div class='share'><p>no</p></div><p>Text</p><form>no</form><ul class='x menu'><li>no</ul></body>",
+    ],
+)
+def test_names_rule_out_no_content(body):
+    assert [t for t, _, _ in html_text.Page(f"<html><head><title>t</title></head>{body}</html>", True).blocks] == ["Text"]
+
+
+def test_many_open_names_cost_no_square():
+    assert html_text.Page("<select>" + "<option>x" * 200_000 + "</select><p>Text", True).blocks == [("Text", "/p1", False)]
+
+
 def test_pages_of_the_test_tables_equal_a_plain_reading(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     want = Counter()
