@@ -1,9 +1,13 @@
 """Main text of web pages by a site style tree.
 
-Pages of a host are merged: a node of the tree is an element's place (the tags and classes from the root, with the
-number among equals), and the tree counts, over the host's pages, how its presentation (the sequence of its children)
-and, for a block, its content vary. A node that m pages share has importance - sum p log_m p over its variants: 0 for
-what every page repeats, 1 for what no two pages share. An inner node is worth its most important content. Branches of low importance are removed from every page, and so are elements that never hold content
+Pages of a host are merged, copies of a page (the same blocks) once unless an ``article`` or ``main`` element tells their
+content from the rest: a node of the tree is an element's place (the
+tags and classes from the root, with the number among equals), and the tree counts how its content varies over all the
+host's pages. A page without the node counts as a variant of its own, so that what a few pages share, as copies of an
+article in different frames do, is not taken for the site's. With m pages a node has importance - sum p log_m p over
+its variants: 0 for what every page repeats, 1 for what no two pages share. An inner node is worth its most important
+content; its presentation (the sequence of its children) is counted but decides nothing, as a site shows its articles
+alike. Branches of low importance are removed from every page, and so are elements that never hold content
 (scripts, forms, menus ... by tag, or by a whole class, id or role). Nothing of this rules out html, body, main, article
 or an element that holds one of them, nor a form that holds blocks: of it only the controls go. What stands in an ``article`` or ``main`` element is content and
 only loses branches of the second kind: copies of one article on a host must not remove each other."""
@@ -161,37 +165,39 @@ def host_of(url):
 
 def style_tree(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
     """(host, node, parent, variants, pages, entropy): the nodes outside main elements; entropy is that of their content
-    (blocks) or presentation (inner nodes) over the pages that have them, to the base of their number."""
+    (blocks) or presentation (inner nodes) over the host's different pages, to the base of their number; ``pages`` is the
+    number of those with the node. Pages without any block are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int, int, int], int] = {}
         for b in slices(batches, "html", 8_000_000):
+            hosts, keys, mains, lists = [], [], [], ([], [], [])
             for host, text in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                 page = Page(text or "", True)
+                if not page.blocks:
+                    continue
                 content: dict[str, list[str]] = {}
                 for block, path, main in page.blocks:
                     if not main:
                         content.setdefault(path, []).append(block)
                 nodes = {p: _key("content", *c) for p, c in content.items()} | {p: _key("children", *c) for p, c in page.children.items() if p not in content and not _in_main(p)}
-                for path, variant in nodes.items():
-                    k = (host, _key(path), _key(path.rpartition("/")[0]), variant)
-                    held[k] = held.get(k, 0) + 1
-            if len(held) > 200_000:
-                yield _batch(held)
-                held = {}
-        yield _batch(held)
-
-    def _batch(held: dict) -> pa.RecordBatch:
-        rows = list(held)
-        cols = [pa.array([r[0] for r in rows], pa.string()), *[pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2, 3)], pa.array(list(held.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, ["host", "node", "parent", "variant", "n"])
+                hosts.append(host)
+                mains.append(any(main for _, _, main in page.blocks))
+                keys.append(_key(*[x for block, path, _ in page.blocks for x in (path, block)]))
+                for own, values in zip(lists, ([_key(p) for p in nodes], [_key(p.rpartition("/")[0]) for p in nodes], list(nodes.values()))):
+                    own.append(values)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(mains, pa.bool_()), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], ["host", "page", "main", "nodes", "parents", "variants"])
 
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(source).alias("html"))
-    counts = rows.mapInArrow(run, "host string, node long, parent long, variant long, n long").groupBy("host", "node", "parent", "variant").agg(F.sum("n").alias("n"))
+    parsed = rows.mapInArrow(run, "host string, page long, main boolean, nodes array<long>, parents array<long>, variants array<long>")
+    different = parsed.groupBy("host", "page").agg(F.count(F.lit(1)).alias("copies"), F.first(F.struct("main", "nodes", "parents", "variants")).alias("x"))
+    different = saved(different.select("host", "page", "x.*", F.when(F.col("x.main"), F.col("copies")).otherwise(F.lit(1)).alias("n")), "style-pages")
+    all_pages = different.groupBy("host").agg(F.sum("n").alias("all"))
+    nodes = different.select("host", "n", F.explode(F.arrays_zip("nodes", "parents", "variants")).alias("x"))
+    counts = nodes.groupBy("host", F.col("x.nodes").alias("node"), F.col("x.parents").alias("parent"), F.col("x.variants").alias("variant")).agg(F.sum("n").alias("n"))
     # - sum p log p = log m - (sum n log n) / m
     sums = counts.groupBy("host", "node", "parent").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("variants"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    entropy = F.when(F.col("pages") > 1, 1 - F.col("nlogn") / (F.col("pages") * F.log("pages"))).otherwise(1.0)
-    return sums.select("host", "node", "parent", "variants", "pages", entropy.alias("entropy"))
+    entropy = F.when(F.col("all") > 1, 1 - F.col("nlogn") / (F.col("all") * F.log("all"))).otherwise(1.0)
+    return sums.join(all_pages, "host").select("host", "node", "parent", "variants", "pages", entropy.alias("entropy"))
 
 
 def _in_main(path: str) -> bool:

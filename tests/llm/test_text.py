@@ -159,6 +159,18 @@ def test_many_open_names_cost_no_square():
     assert html_text.Page("<select>" + "<option>x" * 200_000 + "</select><p>Text", True).blocks == [("Text", "/p1", False)]
 
 
+def test_copies_of_an_article_stay_without_article_tags(spark):
+    tail = lambda n: "".join(f"<p>Line {i} of the long story.</p>" for i in range(n))
+    frame = lambda i, body: page(f"<div class='body'>{body}</div><div class='day'>Day {i}</div>")
+    rows = [(i, "https://c.example/", page(f"<div class='body'>{tail(9)}</div>", "c.example")) for i in range(6)]  # copies alone
+    rows += [(10 + i, "https://d.example/", frame(i, tail(9))) for i in range(5)]  # in frames of their own, among others
+    rows += [(20 + i, "https://d.example/", frame(20 + i, f"<p>Story {i}.</p>")) for i in range(20)]
+    out = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    story = "\n".join(f"Line {i} of the long story." for i in range(9))
+    assert all(story in out[i] for i in (*range(6), *range(10, 15)))
+    assert all(out[20 + i] == f"Story {i}.\nDay {20 + i}" for i in range(20))  # what the site repeats goes still
+
+
 def test_pages_of_the_test_tables_equal_a_plain_reading(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     want = Counter()
