@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._io import running_total, saved
+from ._io import hinted, running_total, saved
 from ._tokens import Encoder, text_slices
 
-#: More sources than this are dealt by hash into as many queues.
-QUEUES = 1024
+#: The queues' table is broadcast up to so many sources, else shuffled.
+QUEUES = 200_000
 PACKETS = "part int, row long, doc_id {id}, queue string, start long, n int, doc_tokens long, wide boolean, ids binary"
 
 
@@ -58,24 +58,31 @@ def quanta(packets: DataFrame, seq_len: int, weights: dict[str, float] | None) -
 
     Without weights a queue's share is its share of all tokens, so that all queues end together. With them, sources
     not named share what is left of 1 by their tokens (or go last, in rounds of one token, if nothing is left)."""
-    sums = packets.groupBy("queue").agg(F.sum("n").alias("tokens")).withColumn("all", F.sum("tokens").over(W.partitionBy()))
+    sums = packets.groupBy("queue").agg(F.sum("n").alias("tokens"))
+    sums = saved(sums, "queue-sums")
+    sums = sums.crossJoin(F.broadcast(sums.agg(F.sum("tokens").alias("all"))))
     share = F.col("tokens") / F.col("all")
     if weights:
         given = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
         wanted = given[F.col("queue")]
         sums = sums.withColumn("wanted", wanted)
         left = F.lit(max(0.0, 1.0 - sum(weights.values())))
-        others = F.sum(F.when(F.col("wanted").isNull(), F.col("tokens"))).over(W.partitionBy())
-        share = F.coalesce(F.col("wanted"), left * F.col("tokens") / others)
+        others = sums.agg(F.sum(F.when(F.col("wanted").isNull(), F.col("tokens"))).alias("others"))
+        sums = sums.crossJoin(F.broadcast(others))
+        share = F.coalesce(F.col("wanted"), left * F.col("tokens") / F.col("others"))
     quantum = F.greatest(share * F.lit(float(seq_len)), F.lit(1e-6))
-    return sums.withColumn("quantum", quantum).withColumn("number", F.row_number().over(W.orderBy(F.desc("tokens"), F.asc_nulls_first("queue")))).select("queue", "number", "quantum")
+    # numbers by size: larger queues first, then the place among those of the same size
+    sums = sums.withColumn("quantum", quantum).withColumn("rank", -F.col("tokens"))
+    larger = running_total(sums.groupBy("rank").agg(F.count(F.lit(1)).alias("n")), "rank", "n", "larger")
+    place = F.row_number().over(W.partitionBy("rank").orderBy(F.asc_nulls_first("queue")))
+    return sums.withColumn("place", place).join(larger, "rank").select("queue", (F.col("larger") + F.col("place")).alias("number"), "quantum")
 
 
 def plan(packets: DataFrame, seq_len: int, weights: dict[str, float] | None, block: int = 64) -> DataFrame:
     """(part, row, start, n, at): each packet's place in the stream. Works on the packets' sizes alone."""
     key = F.col("queue").eqNullSafe(F.col("_queue"))
     sized = packets.select("part", "row", "queue", "start", "n")
-    queues = F.broadcast(quanta(sized, seq_len, weights).withColumnRenamed("queue", "_queue"))  # at most QUEUES rows
+    queues = hinted(saved(quanta(sized, seq_len, weights).withColumnRenamed("queue", "_queue"), "queues"), QUEUES)
     sized = sized.join(queues, key).drop("queue", "_queue")
     # place in the queue: tokens in earlier parts, then within the part
     by_part = sized.groupBy("number", "part").agg(F.sum("n").alias("sum"))
@@ -97,8 +104,6 @@ def pack(docs: DataFrame, seq_len: int = 2048, tokenizer: str = "word_bpe_49k.js
 
     Null texts are empty and give the id ``end`` alone; a null source is a queue of its own; null and repeated doc_ids
     and repeated rows are packed as rows of their own; no rows give no pieces. Extra columns are ignored."""
-    if not small_domain(docs, source):
-        docs = docs.withColumn(source, F.concat(F.lit("#"), F.pmod(F.xxhash64(F.col(source)), F.lit(QUEUES)).cast("string")))
     packets = saved(packets_of(docs, text, doc_id, source, tokenizer, end, packet), "packets")
     placed = plan(packets, seq_len, weights)
     # a packet crosses (n - 1) / seq_len + 1 window borders at most
@@ -125,8 +130,3 @@ def pack(docs: DataFrame, seq_len: int = 2048, tokenizer: str = "word_bpe_49k.js
             yield pa.RecordBatch.from_arrays([cols[c] for c in names], names)
 
     return cut.mapInArrow(finish, shape)
-
-
-def small_domain(docs: DataFrame, column: str) -> bool:
-    """Whether the column has at most QUEUES different values."""
-    return docs.select(column).distinct().limit(QUEUES + 1).count() <= QUEUES

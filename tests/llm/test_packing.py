@@ -98,6 +98,19 @@ def test_weights_and_empty(awkward, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+@pytest.mark.parametrize("queues", [1, 200_000])
+def test_more_than_1024_sources_keep_their_names_and_weights(spark, monkeypatch, queues):
+    monkeypatch.setattr(packing, "QUEUES", queues, raising=True)
+    rows = [(i, f"word {i}", f"host{i}") for i in range(1100)] + [(5000 + i, "some more words here", "late") for i in range(40)] + [(9000, "none", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = packing.pack(docs, seq_len=64, weights={"late": 0.9}).collect()
+    assert {(r.doc_id, r.source) for r in got} == {(i, s) for i, _, s in rows}
+    # the heavy source is through before a tenth of the others
+    last = max(r.sequence_id for r in got if r.source == "late")
+    assert sum(r.length for r in got if r.source != "late" and r.sequence_id < last) < 0.4 * sum(r.length for r in got)
+    assert {r.sequence_id for r in got if r.source == "late"} <= set(range(len({r.sequence_id for r in got}) // 2))
+
+
 @pytest.mark.parametrize("block", [16, 1000, 1 << 18])
 def test_separator_scan_gives_lengths_whatever_the_block(awkward, nothing, block):
     got = sorted((str(r.doc_id), r.n_tokens) for r in token_count.count_tokens(awkward, block=block).collect())
