@@ -28,7 +28,7 @@ def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarra
 class Encoder:
     """``cache``: so many words' ids are kept from batch to batch; the first ones seen, which are the common ones."""
 
-    def __init__(self, name: str, cache: int = 400_000):
+    def __init__(self, name: str, cache: int = 100_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core already
         import public_tokenizers
         from tokenizers import Tokenizer

@@ -51,7 +51,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``most`` bytes of text (a longer row makes a piece of its own)."""
     for b in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))

@@ -1,16 +1,20 @@
 """All pairs of documents whose shingle sets have a Jaccard similarity of num/den or more, by PartEnum signatures.
 
-Sets of at most r shingles with that similarity differ in at most k = floor(2 r (den - num) / (den + num)) shingles.
-Set sizes are cut into bands; in a band the shingle hashes are dealt over n1 groups of n2 partitions. Two sets that
-differ in at most k shingles differ, in some group, in at most k2 = floor(k / n1) of them, hence agree on some n2 - k2 of
-its partitions: a set's signatures are the contents of every such choice of partitions in every group. Similar sets of
-one band so share a signature; a set also signs for the next band if a similar set can lie there.
+Two such sets of sizes x and y differ in at most k = floor((x + y) (den - num) / (den + num)) shingles. Sizes are cut into
+bands, and similar sets meet in their band or, where they lie in neighbouring ones, at the border between; either is a
+place with its own k. There the shingle hashes are dealt over n1 groups of n2 partitions. Sets that differ in at most k
+shingles differ, in some groups, in at most k2 of them, hence agree there on some n2 - k2 partitions: a set's signatures
+are the contents of every such choice of partitions in every group. n1, n2 and k2 depend on k (``shape``).
+
+Empty choices are no evidence, yet unrelated sets would meet by them. There are ``m`` groups more than needed, so that
+similar sets agree in m + 1 groups at least: a set with at most m groups in which some choice is empty leaves those
+signatures out, and any other joins them to each of its signatures under a second deal, which similar sets share again.
 
 Copies (equal sets) are one class from the start. Of classes that share a signature, each is compared with the smallest
 one; found links join classes into components, and only classes of different components are compared further, first by
-parity sketches, which bound a difference from below, then in full. Classes in groups of more than ``most`` such members
-(passages that many documents share) are first grouped anew by signatures under another, independent deal of the
-shingles, which similar sets again share."""
+parity sketches, which bound a difference from below, then in full. Where more than ``most`` classes of a signature lie
+outside its commonest component (passages that many documents share), its classes are first grouped anew by their
+signatures under another, independent deal of the shingles, which similar sets again share."""
 
 from __future__ import annotations
 
@@ -26,7 +30,6 @@ from . import graph
 from ._io import hinted, saved
 from ._words import NON_SPACE, mix, shingles, slices, words
 
-N2, K2 = 3, 1
 #: Parity classes of a sketch.
 SKETCH = 512
 
@@ -68,39 +71,72 @@ def document_sets(docs: DataFrame, size: int, text: str, doc_id: str) -> DataFra
     return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, k1 long, k2 long")
 
 
-def signatures(sets: list[np.ndarray], num: int, den: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature) of all sets, for one deal of the shingles."""
-    tops = np.array(bands(num, den, max([len(x) for x in sets], default=0)), np.int64)
-    of, sigs = [], []
-    jobs: dict[int, list[int]] = {}
-    for i, x in enumerate(sets):
-        band = int(np.searchsorted(tops, len(x)))
-        if len(x):
-            jobs.setdefault(band, []).append(i)
-            if len(x) * den >= (int(tops[band]) + 1) * num:  # as similar to the smallest set of the next band
-                jobs.setdefault(band + 1, []).append(i)
-    salt = mix(np.array([seed * 1_000_003 + 17], np.uint64))[0]
+def shape(k: int) -> tuple[int, int, int, int]:
+    """(n1, n2, k2, m) for sets that differ in at most k shingles. Small sets are dealt over few groups, from which two
+    partitions may be left out, so that a signature still holds several shingles."""
+    n2, k2 = (5, 2) if 2 <= k <= 8 else (3, 1)
+    least = k // (k2 + 1) + 1
+    return least + least // 8, n2, k2, least // 8
+
+
+def places(sizes: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(place, k, numbers of the sets that sign there). Sets that only equal ones are similar to sign nowhere."""
+    tops = np.array(bands(num, den, int(sizes.max(initial=0)) + 1), np.int64)
+    band = np.searchsorted(tops, sizes)
+    for j in np.unique(band[sizes > 0]):
+        top = int(tops[j])
+        yield 2 * int(j), 2 * top * (den - num) // (den + num), np.flatnonzero(band == j)
+    for j in range(1, len(tops)):
+        top = int(tops[j])
+        near = (sizes * den >= (top + 1) * num) & (sizes * num <= top * den) & (np.abs(2 * band - 2 * j - 1) == 1)
+        if near.any():
+            yield 2 * j + 1, (top + top * den // num) * (den - num) // (den + num), np.flatnonzero(near)
+
+
+def _dealt(sets: list[np.ndarray], place: int, k: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(signatures, whether the choice is empty), by set and group, for each choice of partitions."""
+    n1, n2, k2, _ = shape(k)
+    salt = mix(np.array([seed * 1_000_003 + place], np.uint64))[0]
+    h = mix(np.concatenate(sets) ^ salt)
+    cell = (h % np.uint64(n1 * n2)).astype(np.int64) + np.repeat(np.arange(len(sets)) * (n1 * n2), [len(x) for x in sets])
+    sums = np.zeros(len(sets) * n1 * n2, np.uint64)
+    np.add.at(sums, cell, mix(h))
+    sums = sums.reshape(len(sets), n1, n2)
+    filled = np.bincount(cell, minlength=len(sets) * n1 * n2).reshape(len(sets), n1, n2) > 0
+    for chosen, which in enumerate(combinations(range(n2), n2 - k2)):
+        sig = mix(np.uint64(chosen + 1) * np.uint64(1_000_003) + np.arange(n1, dtype=np.uint64)) ^ salt
+        for w in which:
+            sig = mix(sig + sums[:, :, w])
+        yield sig, ~filled[:, :, list(which)].any(2)
+
+
+def signatures(sets: list[np.ndarray], num: int, den: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, signature) of all sets, under the deal ``seed`` (empty choices: and the one after it)."""
+    of, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     with np.errstate(over="ignore"):
-        for band, members in jobs.items():
-            top = int(tops[band]) if band < len(tops) else bands(num, den, int(tops[-1]) + 1)[band]
-            k = 2 * top * (den - num) // (den + num)
-            if k == 0:  # only equal sets are similar, and those are one class
+        for place, k, members in places(np.array([len(x) for x in sets], np.int64), num, den):
+            if k == 0:
                 continue
-            n1 = (k + 1 + K2) // (K2 + 1)  # then floor(k / n1) <= K2
-            n = np.array([len(sets[i]) for i in members])
-            h = mix(np.concatenate([sets[i] for i in members]) ^ salt)
-            cell = (h % np.uint64(n1 * N2)).astype(np.int64) + np.repeat(np.arange(len(members)) * (n1 * N2), n)
-            sums = np.zeros(len(members) * n1 * N2, np.uint64)
-            np.add.at(sums, cell, mix(h))
-            sums = sums.reshape(len(members), n1, N2)
-            for chosen, which in enumerate(combinations(range(N2), N2 - K2)):
-                place = np.uint64(band * 64 + chosen) * np.uint64(1_000_003) + np.arange(n1, dtype=np.uint64)
-                sig = place * np.uint64(0x9E3779B97F4A7C15) ^ salt
-                for w in which:
-                    sig = mix(sig + sums[:, :, w])
-                sigs.append(sig.ravel())
-                of.append(np.repeat(np.array(members), n1))
-    return (np.concatenate(of), np.concatenate(sigs)) if of else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            own = [sets[i] for i in members]
+            dealt = list(_dealt(own, place, k, 2 * seed))
+            bare = np.any([empty for _, empty in dealt], axis=0).sum(1) > shape(k)[3]  # too many groups with empty choices
+            for sig, empty in dealt:
+                of.append(np.repeat(members, (~empty).sum(1)))
+                sigs.append(sig[~empty])
+            if bare.any():
+                again = [(members[i], sig, empty) for i, sig, empty in _by_set(np.flatnonzero(bare), dealt)]
+                second = _by_set(np.arange(len(again)), list(_dealt([sets[i] for i, _, _ in again], place, k, 2 * seed + 1)))
+                for (i, sig, empty), (_, other, _) in zip(again, second):
+                    both = mix(mix(sig[empty])[:, None] + other[None, :]).ravel()
+                    of.append(np.full(len(both), i))
+                    sigs.append(both)
+    return np.concatenate(of), np.concatenate(sigs)
+
+
+def _by_set(numbers: np.ndarray, dealt: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, all signatures, whether empty) of the sets with the given numbers."""
+    for i in numbers:
+        yield i, np.concatenate([sig[i] for sig, _ in dealt]), np.concatenate([empty[i] for _, empty in dealt])
 
 
 def signed(docs: DataFrame, size: int, num: int, den: int, text: str) -> DataFrame:
@@ -117,7 +153,7 @@ def signed(docs: DataFrame, size: int, num: int, den: int, text: str) -> DataFra
                     own[c] = x
             seen.update(own)
             names = np.fromiter(own, np.int64, len(own))
-            of, sig = signatures(list(own.values()), num, den, 0)
+            of, sig = signatures(list(own.values()), num, den)
             for at in range(0, len(sig), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 200_000].astype(np.int64)), pa.array(names[of[at : at + 200_000]])], ["sig", "c"])
 
@@ -133,35 +169,25 @@ def shared(rows: DataFrame) -> DataFrame:
     return out.where("least <> most").select("sig", "c", "least")
 
 
-def _read_again(docs: DataFrame, rows: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """(text): one text, or few, of each set in ``wanted`` (c)."""
-    texts = rows.groupBy(F.col("k1").alias("c")).agg(F.min("text_key").alias("text_key")).join(wanted, "c", "left_semi").select("text_key").distinct()
-    texts = saved(texts, "wanted-texts")
-    return docs.select(F.col(text).alias("text")).join(hinted(texts), F.xxhash64(F.col("text")) == F.col("text_key"), "left_semi")
-
-
-def _fresh(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[int, np.ndarray]]:
-    """The different sets of a task's texts, by slice."""
-    seen: set[int] = set()
-    for b in slices(batches, "text"):
-        new = {}
-        for x in _sets(b.column("text"), size):
-            c = _key(x)[0]
-            if c not in seen:
-                new[c] = x
-        seen.update(new)
-        yield new
-
-
 BITS = [f"b{i}" for i in range(SKETCH // 64)]
 
 
-def sketches(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
-    """(c, n, b0, b1, ..., wide): the size of each wanted set and the parities of its numbers of shingles in SKETCH
-    classes, and, packed, in as many classes as a power of two of at least twice its size."""
+def candidate_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
+    """(c, n, b0, b1, ..., wide, s): of each wanted set (c), read again from one text or few, its size, the parities of
+    its numbers of shingles in SKETCH classes and, packed, in as many as a power of two of at least twice its size, and
+    the shingles' hashes."""
+    texts = rows.groupBy(F.col("k1").alias("c")).agg(F.min("text_key").alias("text_key")).join(wanted, "c", "left_semi").select("text_key").distinct()
+    texts = saved(texts, "wanted-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for new in _fresh(batches, size):
+        seen: set[int] = set()
+        for b in slices(batches, "text"):
+            new = {}
+            for x in _sets(b.column("text"), size):
+                c = _key(x)[0]
+                if c not in seen:
+                    new[c] = x
+            seen.update(new)
             bits, wide = np.zeros((len(new), len(BITS)), np.int64), []
             for i, x in enumerate(new.values()):
                 h = mix(x ^ np.uint64(77))
@@ -169,10 +195,15 @@ def sketches(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, tex
                 parity = np.bincount((h % np.uint64(classes)).astype(np.int64), minlength=classes).astype(np.uint8) & 1
                 wide.append(np.packbits(parity).tobytes())
                 bits[i] = np.packbits(np.bitwise_xor.reduce(parity.reshape(-1, SKETCH))).view("<i8")
-            cols = [np.fromiter(new, np.int64, len(new)), np.array([len(x) for x in new.values()], np.int64), *[np.ascontiguousarray(bits[:, k]) for k in range(len(BITS))]]
-            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in cols], pa.array(wide, pa.binary())], ["c", "n", *BITS, "wide"])
+            flat = np.concatenate(list(new.values())).astype(np.int64) if new else np.zeros(0, np.int64)
+            n = np.array([len(x) for x in new.values()], np.int64)
+            at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            cols = [np.fromiter(new, np.int64, len(new)), n, *[np.ascontiguousarray(bits[:, k]) for k in range(len(BITS))]]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in cols], pa.array(wide, pa.binary()), pa.ListArray.from_arrays(at, pa.array(flat))], ["c", "n", *BITS, "wide", "s"])
 
-    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, n long" + "".join(f", {b} long" for b in BITS) + ", wide binary").dropDuplicates(["c"])
+    found = docs.select(F.col(text).alias("text")).join(hinted(texts), F.xxhash64(F.col("text")) == F.col("text_key"), "left_semi")
+    shape_ = "c long, n long" + "".join(f", {b} long" for b in BITS) + ", wide binary, s array<long>"
+    return found.mapInArrow(run, shape_).dropDuplicates(["c"])
 
 
 def _side(df: DataFrame, s: str) -> DataFrame:
@@ -187,15 +218,15 @@ def _may_link(num: int, den: int):
     return (na * den >= nb * num) & (nb * den >= na * num) & (differ * (den + num) <= (na + nb) * (den - num))
 
 
-def sieved(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that may have the similarity."""
-    bits = bits.drop("wide")
+def sieved(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that may have the similarity by their sketches."""
+    bits = sets.select("c", "n", *BITS)
     return pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(_may_link(num, den)).select("a", "b")
 
 
-def sieved_wide(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+def sieved_wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that may have the similarity by their wide sketches; the wider of two is folded to the other."""
-    own = lambda c: bits.select(F.col("c").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"w_{c}"))
+    own = lambda c: sets.select(F.col("c").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"w_{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,46 +242,46 @@ def sieved_wide(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFr
     return pairs.join(own("a"), "a").join(own("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(groups: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): sets of one group (sig, c, root) and different components that may have the similarity."""
-    rows = groups.select("sig", "c", "root").join(bits.drop("wide"), "c")
-    both = _side(rows, "a").join(_side(rows, "b"), "sig").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
-    return both.where(_may_link(num, den)).select("a", "b").distinct()
-
-
-def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int, text: str) -> DataFrame:
-    """(c, s): the shingle hashes of the sets in ``wanted`` (c), read again from one text each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for new in _fresh(batches, size):
-            flat = np.concatenate(list(new.values())).astype(np.int64) if new else np.zeros(0, np.int64)
-            at = np.concatenate([[0], np.cumsum([len(x) for x in new.values()])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(new, np.int64, len(new))), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["c", "s"])
+def open_pairs(groups: DataFrame, sets: DataFrame, num: int, den: int, block: int = 4096) -> DataFrame:
+    """(a, b): sets of one group (sig, c, root, main, members) and different components that may have the similarity.
 
-    return _read_again(docs, rows, wanted, text).mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
+    The sets outside the group's commonest component ``main`` meet all others, which are dealt over blocks of about
+    ``block`` sets: no task gets a whole large group on both sides, and pairs go on only if the sketches allow them."""
+    rows = groups.join(sets.select("c", "n", *BITS), "c").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    left = _side(rows.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "main", "members"), "a")
+    right = _side(rows.withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).drop("blocks", "members"), "b")
+    once = (F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))
+    both = left.join(right, ["sig", "block"]).where((F.col("root_a") != F.col("root_b")) & once & _may_link(num, den))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, bits: DataFrame, fetch, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets really have the similarity; fetch(wanted) reads the sets."""
-    near = saved(sieved_wide(pairs, bits, num, den), "sieved")
-    both = near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c"))).distinct()
-    sets = saved(fetch(both), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets really have the similarity."""
+    near = saved(sieved_wide(pairs, sets, num, den), "sieved")
     left, right = sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), sets.select(F.col("c").alias("b"), F.col("s").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     out = near.join(left, "a").join(right, "b").where(common * (den + num) >= (F.size("sa") + F.size("sb")) * num)
-    return saved(out.select("a", "b"), "verified")
+    return out.select("a", "b")
 
 
-def signed_again(sets: DataFrame, num: int, den: int, seed: int) -> DataFrame:
-    """(sig, c): the signatures of the given sets (c, s) under deal ``seed``."""
+def signed_again(groups: DataFrame, sets: DataFrame, num: int, den: int, seed: int) -> DataFrame:
+    """(sig, c): the members of groups (sig, c) by their group and their signatures under deal ``seed``, together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [np.array(x, np.int64).astype(np.uint64) for x in b.column("s").to_pylist()]
-            of, sig = signatures(own, num, den, seed)
-            yield pa.RecordBatch.from_arrays([b.column("c").take(pa.array(of)), pa.array(sig.astype(np.int64))], ["c", "sig"])
+            for start in range(0, b.num_rows, 64):
+                part = b.slice(start, 64)
+                own = [np.array(x, np.int64).astype(np.uint64) for x in part.column("s").to_pylist()]
+                of, sig = signatures(own, num, den, seed)
+                with np.errstate(over="ignore"):
+                    groups_ = [mix(np.array(x, np.int64).astype(np.uint64)) for x in part.column("sigs").to_pylist()]
+                    times = np.array([len(x) for x in groups_])
+                    made = np.concatenate([mix(groups_[i] + x) for i, x in zip(of, sig)]) if len(of) else np.zeros(0, np.uint64)
+                who = np.repeat(of, times[of])
+                yield pa.RecordBatch.from_arrays([pa.array(made.astype(np.int64)), part.column("c").take(pa.array(who))], ["sig", "c"])
 
-    return sets.mapInArrow(run, "c long, sig long").select("sig", "c")
+    hot = groups.groupBy("c").agg(F.collect_set("sig").alias("sigs"))  # a set has no more groups than signatures
+    return hot.join(sets.select("c", "s"), "c").mapInArrow(run, "sig long, c long")
 
 
 def star(groups: DataFrame) -> DataFrame:
@@ -259,34 +290,31 @@ def star(groups: DataFrame) -> DataFrame:
     return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 128, deals: int = 3) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 1024, deals: int = 3) -> DataFrame:
     """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
-    them. Not every similar pair is listed: pairs that links connect already are not compared again."""
+    them. Not every similar pair is listed: pairs that links connect already are not compared again. After ``deals``
+    deals what is left is compared in full, in blocks, however many there are."""
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
-    bits = saved(sketches(docs, rows, groups.select("c").distinct(), size, text), "sketches")
-    fetch = lambda wanted: wanted_sets(docs, rows, wanted, size, text)
-    found = verified(sieved(star(groups), bits, num, den), bits, fetch, num, den)
-    tried = None
+    sets = saved(candidate_sets(docs, rows, groups.select("c").distinct(), size, text), "candidate-sets")
+    found = None
     for seed in range(1, deals + 1):
+        first = verified(sieved(star(groups), sets, num, den), sets, num, den)
+        found = saved(first if found is None else found.unionByName(first).distinct(), "links")
         roots = graph.components(found)
         named = groups.join(roots, groups["c"] == roots["node"], "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
-        spread = named.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("members")).where("r0 <> r1").select("sig", "members")
+        by_root = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
+        spread = by_root.groupBy("sig").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("main")).where("top < members")
         open_ = saved(named.join(spread, "sig"), "open-groups")
-        last = seed == deals
-        few = open_ if last else open_.where(F.col("members") <= most)
-        pairs = open_pairs(few, bits, num, den)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "open-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = found.unionByName(verified(pairs, bits, fetch, num, den)).distinct()
-        many = open_.where(F.col("members") > most).select("c").distinct()
-        if last or not many.limit(1).count():
+        many = F.col("members") - F.col("top") > most
+        last = seed == deals or not open_.where(many).limit(1).count()
+        few = (open_ if last else open_.where(~many)).drop("top")
+        pairs = saved(open_pairs(few, sets, num, den), "open-pairs")
+        found = saved(found.unionByName(verified(pairs, sets, num, den)).distinct(), "links")
+        if last:
             return found
-        # The sets of large groups, grouped anew under another deal; again each is first compared with one other.
-        groups = saved(shared(signed_again(fetch(many), num, den, seed)), "signature-groups")
-        found = saved(found.unionByName(verified(sieved(star(groups), bits, num, den), bits, fetch, num, den)).distinct(), "found")
-    return found
+        # The sets of large groups, parted by their signatures under another deal; again each meets one other first.
+        groups = saved(shared(signed_again(open_.where(many).select("sig", "c"), sets, num, den, seed)), "signature-groups")
+    raise AssertionError("unreachable")
 
 
 def labelled(docs: DataFrame, size: int, num: int, den: int, text: str, doc_id: str) -> DataFrame:
@@ -320,11 +348,13 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 4, den: int
     doc_id and one text (or of a component of null ids and one text), one. Documents without shingles all stay."""
     found = saved(labelled(docs, size, num, den, text, doc_id).where("n_shingles > 0"), "near-labels")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    losers = saved(found.where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "near-losers")
-    twice = saved(found.where(stays).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).count().where("count > 1").drop("count"), "near-repeated")
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_key"))
-    out = docs.join(hinted(losers), same, "left_anti")
-    if not twice.limit(1).count():
-        return out
-    once = out.join(hinted(twice), same, "left_anti")
-    return once.unionByName(out.join(hinted(twice), same, "left_semi").dropDuplicates([doc_id, text]))
+    names = [F.col("doc_id").alias("of"), F.col("text_key").alias("like")]
+    losers = saved(found.where(~stays).select(*names).distinct(), "near-losers")
+    twice = saved(found.where(stays).groupBy(*names).count().where("count > 1").drop("count"), "near-repeated")
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("like"))
+    out = rows.join(hinted(losers), same, "left_anti")
+    if twice.limit(1).count():
+        again = out.join(hinted(twice), same, "left_semi").groupBy("id", "key").agg(F.first("row").alias("row"))
+        out = out.join(hinted(twice), same, "left_anti").select("row").unionByName(again.select("row"))
+    return out.select("row.*")
