@@ -11,8 +11,9 @@ similar sets agree in m + 1 groups at least: a set with at most m groups in whic
 signatures out, and any other joins them to each of its signatures under a second deal, which similar sets share again.
 
 Copies (equal sets) are one class from the start. Of classes that share a signature, each is compared with the smallest
-one; found links join classes into components, and only classes of different components are compared further, first by
-parity sketches, which bound a difference from below, then in full. Where more than ``most`` classes of a signature lie
+one, then each outside the commonest component of a signature with one inside, another for each signature: as many pairs
+as classes. Found links join classes into components, and only classes of different components are compared further,
+first by parity sketches, which bound a difference from below, then in full. Where more than ``most`` classes of a signature lie
 outside its commonest component (passages that many documents share), its classes are first grouped anew by their
 signatures under another, independent deal of the shingles, which similar sets again share."""
 
@@ -290,6 +291,23 @@ def star(groups: DataFrame) -> DataFrame:
     return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
+def open_groups(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """(sig, c, root, members, top, main): the groups (sig, c) with sets of several components of the links found so far;
+    their sizes, and the size and root of the component that most of their sets belong to."""
+    roots = graph.components(found)
+    named = groups.join(roots, groups["c"] == roots["node"], "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
+    by_root = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
+    spread = by_root.groupBy("sig").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("main")).where("top < members")
+    return saved(named.join(spread, "sig"), "open-groups")
+
+
+def spokes(groups: DataFrame) -> DataFrame:
+    """(a, b): in each open group, each set b outside its main component with one set a of that, another in each group."""
+    hubs = groups.where("root = main").groupBy("sig").agg(F.min(F.struct(F.xxhash64("c", "sig").alias("order"), "c")).alias("hub"))
+    met = groups.where("root <> main").select("sig", "c").join(hubs, "sig")
+    return met.select(F.col("hub.c").alias("a"), F.col("c").alias("b")).distinct()
+
+
 def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 1024, deals: int = 3) -> DataFrame:
     """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
     them. Not every similar pair is listed: pairs that links connect already are not compared again. After ``deals``
@@ -300,11 +318,10 @@ def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text:
     for seed in range(1, deals + 1):
         first = verified(sieved(star(groups), sets, num, den), sets, num, den)
         found = saved(first if found is None else found.unionByName(first).distinct(), "links")
-        roots = graph.components(found)
-        named = groups.join(roots, groups["c"] == roots["node"], "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
-        by_root = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
-        spread = by_root.groupBy("sig").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("main")).where("top < members")
-        open_ = saved(named.join(spread, "sig"), "open-groups")
+        open_ = open_groups(groups, found)
+        second = verified(sieved(spokes(open_), sets, num, den), sets, num, den)
+        found = saved(found.unionByName(second).distinct(), "links")
+        open_ = open_groups(open_.select("sig", "c"), found)
         many = F.col("members") - F.col("top") > most
         last = seed == deals or not open_.where(many).limit(1).count()
         few = (open_ if last else open_.where(~many)).drop("top")
