@@ -16,14 +16,18 @@ NUMBER_M, NEAR_M, SPOT_M = 250, 60, 30
 RANK = {"number": 1, "near": 2, "spot": 3}
 
 
-def with_cell(df: DataFrame) -> DataFrame:
-    return df.withColumns({"cy": geo.cell_y(F.col("lat")), "cx": geo.cell_x(F.col("lng"))})
+#: Cells a side for the near rule, whose reach is short: a row then meets a sixteenth of the others.
+FINE = 4
 
 
-def to_neighbours(df: DataFrame) -> DataFrame:
+def with_cell(df: DataFrame, fine: int = 1) -> DataFrame:
+    return df.withColumns({"cy": geo.cell_y(F.col("lat") * fine), "cx": geo.cell_x(F.col("lng") * fine)})
+
+
+def to_neighbours(df: DataFrame, fine: int = 1) -> DataFrame:
     """A copy of every row in its cell and the eight around it."""
     step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    df = with_cell(df).withColumn("_dy", F.explode(step)).withColumn("_dx", F.explode(step))
+    df = with_cell(df, fine).withColumn("_dy", F.explode(step)).withColumn("_dx", F.explode(step))
     return df.withColumns({"cy": F.col("cy") + F.col("_dy"), "cx": F.col("cx") + F.col("_dx")}).drop("_dy", "_dx")
 
 
@@ -54,7 +58,7 @@ def match_number(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def match_near(a: DataFrame, b: DataFrame) -> DataFrame:
-    far, near = to_neighbours(b), with_cell(a)
+    far, near = to_neighbours(b, FINE), with_cell(a, FINE)
     one = _side(near.where("hn is null"), "a").join(_side(far, "b"), ["cy", "cx"])
     two = _side(near.where("hn is not null"), "a").join(_side(far.where("hn is null"), "b"), ["cy", "cx"])
     return _scored(one.unionByName(two).drop("cy", "cx"), NEAR_M, "near")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, similarity, text
+from ..sources.store import settled
 from .match import distance, to_neighbours, with_cell
 
 # Registers that list storefronts, and the category of what they list.
@@ -33,7 +34,7 @@ def lookalikes(candidates: DataFrame, places: DataFrame) -> DataFrame:
     Jaro-Winkler 0.7 (spaces kept) or the same house number and first word."""
     side = lambda df, n: df.select("cy", "cx", *[F.col(c).alias(f"{n}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
     pairs = side(with_cell(candidates), "a").join(side(to_neighbours(places), "b"), ["cy", "cx"]).withColumn("_m", distance()).where("_m <= 200")
-    pairs = similarity.with_similarity(pairs, "a_nn", "b_nn", "sim")
+    pairs = settled(similarity.with_similarity(pairs, "a_nn", "b_nn", "sim", least=0.9), "lookalike-pairs")  # read three times
     first = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(1))
     door = (F.col("a_hn") == F.col("b_hn")) & (first("a_nn") == first("b_nn"))
     sure = pairs.where((F.col("sim") >= 0.9) | ((F.col("_m") <= 80) & F.coalesce(door, F.lit(False))))
@@ -44,13 +45,13 @@ def lookalikes(candidates: DataFrame, places: DataFrame) -> DataFrame:
     return sure.select("a_id").unionByName(alike).distinct().select(F.col("a_id").alias("id"))
 
 
-def born(register: DataFrame, places: DataFrame, ev: DataFrame, storefronts: dict[str, str] = STOREFRONTS) -> DataFrame:
-    """The records that become places, with place_id: eligible, no lookalike, the first of each (name, number, cell)."""
-    rows = storefront_eligible(register, ev, storefronts)
+def born(register: DataFrame, places: DataFrame, ev: DataFrame, storefronts: dict[str, str] = STOREFRONTS, prefix: str = "new") -> DataFrame:
+    """The records that become places, with place_id (``prefix``:source/source_id): eligible, no lookalike, the first of each (name, number, cell)."""
+    rows = settled(storefront_eligible(register, ev, storefronts), "eligible")
     rows = with_cell(rows.join(lookalikes(rows, places), "id", "left_anti"))
     w = W.partitionBy("nn", "hn", "cy", "cx").orderBy("source", "source_id")
     rows = rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "cy", "cx")
-    return rows.withColumn("place_id", F.concat(F.lit("alm:"), "source", F.lit("/"), "source_id"))
+    return rows.withColumn("place_id", F.concat(F.lit(f"{prefix}:"), "source", F.lit("/"), "source_id"))
 
 
 def minted_places(new: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import canon, evidence, match, mint
+from ..sources.store import settled
 
 BASE_FILL = ["category", "brand", "brand_wikidata", "postcode", "phone", "website"]
 CHAIN_FILL = ["brand", "brand_wikidata", "address", "city", "region", "postcode", "phone", "website"]
@@ -18,12 +19,16 @@ FEATURE_FILL = ["phone", "website", "brand", "brand_wikidata", "address"]
 
 @dataclass
 class Inputs:
-    """base, chain, register and features tables (features may be None: then there is no full layer)."""
+    """base, chain, register and features tables (features may be None: then there is no full layer), and what else tells
+    of closings: ids of closed listings, the edit history, dissolved items (each may be None)."""
 
     base: DataFrame
     chain: DataFrame
     register: DataFrame
     features: DataFrame | None = None
+    closed: DataFrame | None = None
+    history: DataFrame | None = None
+    items: DataFrame | None = None
 
 
 @dataclass
@@ -41,6 +46,7 @@ class Layer:
     member: DataFrame
     evidence: DataFrame
     status: DataFrame
+    ids: DataFrame
 
 
 def named(df: DataFrame, number: str = "address") -> DataFrame:
@@ -57,46 +63,62 @@ def addressed(place: DataFrame) -> DataFrame:
 
 
 def core_layer(inputs: Inputs, params: Params) -> Layer:
-    """Listings, chain rows and register evidence; nothing of the features."""
-    base = named(inputs.base)
-    ids = canon.canonical_ids(base, match.self_match(base), params.rounds)
-    kept = canon.merge_duplicates(base, ids, [c for c in BASE_FILL if c in base.columns], params.dataset)
-    chain = named(inputs.chain, "housenumber")
-    joined = match.best_match(match.match_pairs(kept, chain))
+    """Listings, chain rows and register evidence; nothing of the features.
+
+    Tables that several later steps read are written first: else each step would repeat the plans of all before it."""
+    base = settled(named(inputs.base), "base")
+    ids = settled(canon.canonical_ids(base, settled(match.self_match(base), "duplicates"), params.rounds), "ids")
+    kept = settled(canon.merge_duplicates(base, ids, [c for c in BASE_FILL if c in base.columns], params.dataset), "kept")
+    chain = settled(named(inputs.chain, "housenumber"), "chain")
+    joined = settled(match.best_match(match.match_pairs(kept, chain)), "chain-matches")
     fill = match.fill_row(joined, chain)
     columns = [c for c in CHAIN_FILL if c in kept.columns and c in chain.columns] + ["hn"]
     place = match.gap_fill(kept, fill, columns)
-    alone = match.unmatched(chain, joined)
-    place = addressed(place.unionByName(alone.withColumn("has_dataset", F.lit(False)), allowMissingColumns=True).select(*place.columns))
+    alone = match.unmatched(chain, joined).withColumn("has_dataset", F.lit(False))
+    place = settled(addressed(place.unionByName(alone, allowMissingColumns=True).select(*place.columns)), "places")
     own = ids.select("place_id", F.lit("overture").alias("source"), F.col("id").alias("source_id"), F.when(F.col("id") == F.col("place_id"), "self").otherwise("duplicate").alias("rule"), F.lit(0e0).alias("dist"), F.lit(1e0).alias("sim"))
-    chain_members = match.members(chain, joined, "atp")
-    member = own.unionByName(chain_members)
-    register = keyed_register(inputs.register)
+    chain_members = settled(match.members(chain, joined, "atp"), "chain-members")
+    register = settled(keyed_register(inputs.register), "register")
     ev = match.attach_evidence(place, register)
+    if inputs.closed is not None:
+        ev = ev.unionByName(evidence.id_closures(base, ids, inputs.closed))
     if "collected" in chain.columns:
-        located = chain if "end_date" in chain.columns else chain.withColumn("end_date", F.lit(None).cast("string"))
-        located = located if "address" in located.columns else located.withColumn("address", F.lit(None).cast("string"))
-        ev = ev.unionByName(evidence.locator_open(chain_members, located))
-    ev = evidence.independents_only(ev, place)
-    new = mint.born(register, place, ev, params.storefronts or mint.STOREFRONTS)
+        missing = {c: F.lit(None).cast("string") for c in ("end_date", "address") if c not in chain.columns}
+        ev = ev.unionByName(evidence.locator_open(chain_members, chain.withColumns(missing) if missing else chain))
+    ev = settled(evidence.independents_only(ev, place), "evidence")
+    new = settled(mint.born(register, place, ev, params.storefronts or mint.STOREFRONTS), "born")
     place = place.unionByName(mint.minted_places(new).withColumn("has_dataset", F.lit(False)), allowMissingColumns=True)
-    member = member.unionByName(mint.minted_members(new))
+    member = own.unionByName(chain_members).unionByName(mint.minted_members(new))
     ev = ev.unionByName(mint.minted_evidence(new))
-    return Layer(place, member, ev, evidence.status_of(ev, params.build, params.recent_days))
+    return Layer(place, member, ev, evidence.status_of(ev, params.build, params.recent_days), ids)
 
 
 def full_layer(core: Layer, inputs: Inputs, params: Params) -> Layer:
-    """The core layer with features folded in, and the places that only features have."""
-    f = named(inputs.features.withColumn("address", F.when(F.concat_ws(" ", "housenumber", "street") != "", F.concat_ws(" ", "housenumber", "street"))), "housenumber")
-    joined = match.best_match(match.match_pairs(core.place, f))
-    member = match.members(f, joined, "osm")
+    """The core layer with features folded in, and the places that only features have.
+
+    Features add the evidence of their own life cycle and surveys, of the edit history, of dissolved items and of the
+    registers whose ids they are tagged with (where the features have the columns for it)."""
+    f = inputs.features.withColumn("address", F.when(F.concat_ws(" ", "housenumber", "street") != "", F.concat_ws(" ", "housenumber", "street")))
+    f = settled(named(f, "housenumber"), "features")
+    core_place = settled(core.place, "core-places")
+    joined = settled(match.best_match(match.match_pairs(core_place, f)), "feature-matches")
+    member = settled(match.members(f, joined, "osm"), "feature-members")
     fill = match.fill_row(joined, f.where("lifecycle is null"))
-    only = addressed(match.unmatched(f, joined)).withColumn("has_dataset", F.lit(False))
-    place = match.gap_fill(core.place, fill, FEATURE_FILL).unionByName(only, allowMissingColumns=True).select(*core.place.columns)
-    register = keyed_register(inputs.register)
-    ev = evidence.lifecycle_closures(member, f).unionByName(evidence.survey_open(member, f)).unionByName(match.attach_evidence(only, register))
-    ev = core.evidence.unionByName(evidence.independents_only(ev, only))
-    return Layer(place, core.member.unionByName(member), ev, evidence.status_of(ev, params.build, params.recent_days))
+    only = settled(addressed(match.unmatched(f, joined)).withColumn("has_dataset", F.lit(False)), "feature-places")
+    columns = [c for c in FEATURE_FILL if c in core_place.columns and c in f.columns]
+    place = match.gap_fill(core_place, fill, columns).unionByName(only, allowMissingColumns=True).select(*core_place.columns)
+    register = settled(keyed_register(inputs.register), "register")
+    ev = evidence.lifecycle_closures(member, f).unionByName(evidence.survey_open(member, f))
+    if inputs.history is not None:
+        ev = ev.unionByName(evidence.history_closures(named(inputs.base), core.ids, inputs.history))
+    if inputs.items is not None and "wikidata" in f.columns:
+        ev = ev.unionByName(evidence.item_closures(member, f, inputs.items))
+    if "siret" in f.columns:
+        ev = ev.unionByName(evidence.tagged_id_evidence(member, f, register))
+    branded = only if "brand" in only.columns else only.withColumn("brand", F.lit(None).cast("string"))
+    ev = ev.unionByName(evidence.independents_only(match.attach_evidence(only, register), branded))
+    ev = settled(core.evidence.unionByName(ev), "full-evidence")
+    return Layer(place, core.member.unionByName(member), ev, evidence.status_of(ev, params.build, params.recent_days), core.ids)
 
 
 def flagship(inputs: Inputs, params: Params) -> DataFrame:

@@ -38,23 +38,23 @@ fx_chain as (  -- rows that join the spine by number / near / spot, or stay alon
          p_type as category, date '2001-06-01' as collected,
          388e-1 + ((site * 37) % 200) * 1e-3 + slot * 2e-5 + case when n % 9 = 0 then 1e-4 else 3e-4 end as lat,
          -771e-1 + ((site * 53) % 190) * 1e-3 as lng
-  from fx_b where n % 3 = 0),
-fx_register as (  -- evidence-format rows; no position on every 5th line number
+  from fx_b),
+fx_register as (  -- evidence-format rows; no position on every 5th line number, and an unlisted place on every 13th order
   select case l_suppkey % 4 when 0 then 'reg_front' when 1 then 'reg_list' when 2 then 'abca_dc_active' else 'out_cancelled' end as source,
          cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as source_id,
-         upper(case when l_orderkey % 3 = 0 then b.nm || ' LLC' when l_orderkey % 11 = 0 then 'new ' || b.nm else b.nm end) as name,
+         upper(case when l_orderkey % 13 = 0 then 'unlisted ' || reverse(b.nm) when l_orderkey % 3 = 0 then b.nm || ' LLC' when l_orderkey % 11 = 0 then 'new ' || b.nm else b.nm end) as name,
          cast(100 + site % 90 as string) || ' N MAIN ST, TOWN, DC 200' || lpad(cast(site % 20 as string), 2, '0') as address,
-         case when l_linenumber % 5 = 0 then null else 388e-1 + ((site * 37) % 200) * 1e-3 + 2e-4 end as lat,
+         case when l_linenumber % 5 = 0 then null else 388e-1 + ((site * 37) % 200) * 1e-3 + case when l_orderkey % 13 = 0 then 2e-1 else 2e-4 end end as lat,
          case when l_linenumber % 5 = 0 then null else -771e-1 + ((site * 53) % 190) * 1e-3 end as lng,
          case when l_returnflag = 'R' then 'closed' else 'open' end as state, cast(l_shipdate as date) as date
-  from {lineitem} l join fx_b b on b.n = l.l_partkey where l_orderkey % 10 = 0),
+  from {lineitem} l join fx_b b on b.n = l.l_partkey),
 fx_evidence as (  -- already attached evidence, for status / score / stats
   select 'g' || lpad(cast(l_partkey as string), 7, '0') as place_id,
          case l_suppkey % 3 when 0 then 'alpha_x' when 1 then 'alpha_y' else 'beta_z' end as source,
          cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as source_id,
          case when l_returnflag = 'R' then 'closed' else 'open' end as state, cast(l_shipdate as date) as date,
          case l_linenumber % 3 when 0 then 'number' when 1 then 'near' else 'spot' end as rule, cast(l_quantity as double) as dist
-  from {lineitem} where l_orderkey % 4 = 0),
+  from {lineitem}),
 fx_snap as (  -- two snapshots: half = 'prev' / 'cur'; ids dropped from one side on purpose
   select half, id, case event_type when 'error' then 'closed' when 'purchase' then 'open' when 'signup' then 'open' else 'unknown' end as status
   from (select user_id as id, event_type, half,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import categories, geo, similarity, text
 from ..operators import canon, evidence, match, mint, monitor, publish, registers, report, score
 from ..sources import scan
+from ..sources.store import shared_folder
 from . import build, fixtures
 from . import sqltext as Q
 
@@ -58,8 +59,7 @@ class Data:
 
     def folder(self) -> str:
         """A new folder under the shared one, for queries that write and read back."""
-        root = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
-        return f"{root.rstrip('/')}/placewright-{uuid.uuid4().hex}"
+        return f"{shared_folder(self.spark)}/placewright-{uuid.uuid4().hex}"
 
 
 def q(key: str, sql: str | None = None):
@@ -147,7 +147,7 @@ def _(d: Data):
     return similarity.with_similarity(x.join(y, ["category", "hn"]), "a_nn", "b_nn", least=0.95).select("a_id", "b_id", similarity.passes(c("sim")).alias("ok"))
 
 
-@q("fn_08_same_name", Q.query(_NEAR.format(e=Q.passing(f"({Q.sim(Q.norm('x.name'), Q.norm('y.name'))})")), Q.BASE_N, Q.CHAIN_N))
+@q("fn_08_same_name", Q.query(_NEAR.format(e=Q.passing(f"({Q.sim('x.nn', 'y.nn')})")), Q.BASE_N, Q.CHAIN_N))
 def _(d: Data):
     x, y = d.base().select(c("id").alias("a_id"), c("name").alias("a"), "category", "hn"), d.chain().select(c("id").alias("b_id"), c("name").alias("b"), "category", "hn")
     return x.join(y, ["category", "hn"]).select("a_id", "b_id", similarity.same_name(c("a"), c("b")).alias("ok"))
@@ -254,7 +254,7 @@ _REGION = f"select source, source_id, date from reg_n where date between date '1
 q("flt_04_register_in_region", Q.query(_REGION, Q.BASE_N, Q.REG_N))(lambda d: evidence.in_region(d.register(), d.base(), BUILD, _BOX).select("source", "source_id", "date"))
 q("flt_06_independents_only", Q.query("select * from ev where not (source = 'out_cancelled' and place_id in (select id from base_n where brand is not null))", Q.BASE_N, Q.REG_N, Q.EV))(
     lambda d: evidence.independents_only(match.attach_evidence(d.base(), d.register()), d.base(), ("out_cancelled",)))
-_FSQ = "closed as (select fsq_id as fsq_place_id, case when dataset_no = 1 then 'other ' || name else upper(name) end as name, address, date '2001-03-01' + cast(dataset_no as int) as date_closed from fx_base where dataset_no in (0, 1) and fsq_id is not null)"
+_FSQ = f"closed as (select *, {Q.norm('name')} as nn from (select fsq_id as fsq_place_id, case when dataset_no = 1 then 'other ' || name else upper(name) end as name, address, date '2001-03-01' + cast(dataset_no as int) as date_closed from fx_base where dataset_no in (0, 1) and fsq_id is not null))"
 
 
 def _closed(d: Data) -> DataFrame:
@@ -262,10 +262,11 @@ def _closed(d: Data) -> DataFrame:
 
 
 _ATT = "'{src}' as source, {sid} as source_id, '{st}' as state, {day} as date, {rule} as rule, {dist} as dist, {nm} as ev_name, {ad} as ev_address"
-q("join_10_id_closures", Q.query(f"select k.place_id, {_ATT.format(src='fsq_closed', sid='f.fsq_place_id', st='closed', day='f.date_closed', rule="'id'", dist='0e0', nm='f.name', ad='f.address')} from base_n o join canon k on k.id = o.id join closed f on f.fsq_place_id = o.fsq_id where {Q.passing('(' + Q.sim(Q.norm('f.name'), Q.norm('o.name')) + ')')}", *_CANON, _FSQ))(
+q("join_10_id_closures", Q.query(f"select k.place_id, {_ATT.format(src='fsq_closed', sid='f.fsq_place_id', st='closed', day='f.date_closed', rule="'id'", dist='0e0', nm='f.name', ad='f.address')} from base_n o join canon k on k.id = o.id join closed f on f.fsq_place_id = o.fsq_id where {Q.passing('(' + Q.sim('f.nn', 'o.nn') + ')')}", *_CANON, _FSQ))(
     lambda d: evidence.id_closures(d.base(), canon.canonical_ids(d.base(), match.self_match(d.base())), _closed(d)))
 _HIST_SQL = "select id as overture_id, case when dataset_no = 2 then name else 'quite other place' end as osm_name, case when dataset_no = 3 then 'someone else' else upper(name) end as overture_name, case dataset_no when 0 then 'hard_delete' when 1 then 'substantial_rename' when 2 then 'substantial_rename' else 'primary_tag_deleted' end as event, date '2001-02-03' as event_date, cast(dataset_no as double) / 4e0 as conf_mean from fx_base"
-q("join_11_history_closures", Q.query(f"select k.place_id, {_ATT.format(src='osm_history', sid='h.overture_id', st='closed', day='h.event_date', rule="'id'", dist='0e0', nm='h.event', ad='cast(null as varchar)')} from hist h join base_n o on o.id = h.overture_id join canon k on k.id = o.id where {Q.passing('(' + Q.sim(Q.norm('h.overture_name'), Q.norm('o.name')) + ')')} and not (h.event = 'substantial_rename' and h.osm_name is not null and {Q.passing('(' + Q.sim(Q.norm('h.osm_name'), Q.norm('o.name')) + ')')})", *_CANON, f"hist as ({_HIST_SQL})"))(
+_HIST = f"hist as (select *, {Q.norm('overture_name')} as nn, {Q.norm('osm_name')} as renamed from ({_HIST_SQL}))"
+q("join_11_history_closures", Q.query(f"select k.place_id, {_ATT.format(src='osm_history', sid='h.overture_id', st='closed', day='h.event_date', rule="'id'", dist='0e0', nm='h.event', ad='cast(null as varchar)')} from hist h join base_n o on o.id = h.overture_id join canon k on k.id = o.id where {Q.passing('(' + Q.sim('h.nn', 'o.nn') + ')')} and not (h.event = 'substantial_rename' and h.osm_name is not null and {Q.passing('(' + Q.sim('h.renamed', 'o.nn') + ')')})", *_CANON, _HIST))(
     lambda d: evidence.history_closures(d.base(), canon.canonical_ids(d.base(), match.self_match(d.base())), d.view(_HIST_SQL)))
 _FEAT = "select id, name, 'N Main St' as address, category, collected as edited, case when length(id) % 3 = 0 then 'disused' end as lifecycle, case length(name) % 4 when 0 then '2000-05-06' when 1 then '2000' when 2 then '1999-01' else 'soon' end as end_date, case length(name) % 3 when 0 then '2001-04-05' when 1 then '2001-04' end as check_date, 'Q' || cast(length(name) as string) as wikidata, replace(id, 'sp', 's p ') as siret from fx_chain"
 _FEAT_SQL = "feat as (" + _FEAT.replace("as string", "as varchar") + ")"
@@ -300,40 +301,31 @@ _FRONT = ", ".join(f"'{x}'" for x in STOREFRONTS)
 _KIND = "case source " + " ".join(f"when '{k}' then '{v}'" for k, v in STOREFRONTS.items()) + " end"
 _ELIG = f"elig as (select *, {_KIND} as category from reg_n r where source in ({_FRONT}) and state = 'open' and lat is not null and not exists (select 1 from ev e where e.source = r.source and e.source_id = r.source_id) and name not ilike 'tbd%' and not regexp_matches(lower(name), '\\b({text.LEGAL_ENDING})\\.?\\s*[0-9]*$'))"
 _LOOK = f"look as (select distinct a.id from elig a join base_n b on abs(a.lat - b.lat) < 3e-3 and abs(a.lng - b.lng) < 4e-3 where ({Q.metres()} <= 200 and ({Q.sim('a.nn', 'b.nn')}) >= 9e-1) or ({Q.metres()} <= 80 and (jaro_winkler_similarity(a.nn, b.nn) >= 7e-1 or (a.hn = b.hn and split_part(a.nn, ' ', 1) = split_part(b.nn, ' ', 1)))))"
-_BORN = "born as (select *, 'alm:' || source || '/' || source_id as place_id from elig where id not in (select id from look) qualify row_number() over (partition by nn, hn, floor(lat / 4e-3), floor(lng / 8e-3) order by source, source_id) = 1)"
+_BORN = "born as (select *, 'new:' || source || '/' || source_id as place_id from elig where id not in (select id from look) qualify row_number() over (partition by nn, hn, floor(lat / 4e-3), floor(lng / 8e-3) order by source, source_id) = 1)"
 _M = (Q.BASE_N, Q.REG_N, Q.EV, _ELIG)
-# A wide search for lookalikes would leave nothing to mint from these views: places that are not near it stay.
-_SOME = "base_n as (select * from base_all where cast(substr(id, 2) as int) % 3 = 0)"
-_BASE_ALL = Q.BASE_N.replace("base_n as", "base_all as", 1)
-_M3 = (_BASE_ALL, _SOME, Q.REG_N, Q.EV, _ELIG)
-
-
-def _some(d: Data) -> DataFrame:
-    """The listings that are known; the others are for minting to find."""
-    return d.base().where(F.substring("id", 2, 10).cast("int") % 3 == 0)
 
 
 def _eligible(d: Data) -> DataFrame:
-    return mint.storefront_eligible(d.register(), match.attach_evidence(_some(d), d.register()), STOREFRONTS)
+    return mint.storefront_eligible(d.register(), match.attach_evidence(d.base(), d.register()), STOREFRONTS)
 
 
 def _born(d: Data) -> DataFrame:
-    return mint.born(d.register(), _some(d), match.attach_evidence(_some(d), d.register()), STOREFRONTS)
+    return mint.born(d.register(), d.base(), match.attach_evidence(d.base(), d.register()), STOREFRONTS)
 
 
-q("flt_07_storefront_eligible", Q.query("select id, source, source_id, category from elig", *_M3))(lambda d: _eligible(d).select("id", "source", "source_id", "category"))
-q("join_19_lookalikes", Q.query("select id from look", *_M3, _LOOK))(lambda d: mint.lookalikes(_eligible(d), _some(d)))
-q("win_05_dedupe_minted", Q.query("select place_id, nn, hn from born", *_M3, _LOOK, _BORN))(lambda d: _born(d).select("place_id", "nn", "hn"))
-q("join_20_mint_places", Q.query(f"select place_id as id, {Q.display('name')} as name, category, {Q.title("split_part(address, ', ', 1)")} as address, nullif({Q.title("split_part(address, ', ', 2)")}, '') as city, nullif(regexp_extract(address, ', ([A-Z]{{2}}) [0-9]{{5}}', 1), '') as region, zip as postcode, hn, sk from born", *_M3, _LOOK, _BORN))(
+q("flt_07_storefront_eligible", Q.query("select id, source, source_id, category from elig", *_M))(lambda d: _eligible(d).select("id", "source", "source_id", "category"))
+q("join_19_lookalikes", Q.query("select id from look", *_M, _LOOK))(lambda d: mint.lookalikes(_eligible(d), d.base()))
+q("win_05_dedupe_minted", Q.query("select place_id, nn, hn from born", *_M, _LOOK, _BORN))(lambda d: _born(d).select("place_id", "nn", "hn"))
+q("join_20_mint_places", Q.query(f"select place_id as id, {Q.display('name')} as name, category, {Q.title("split_part(address, ', ', 1)")} as address, nullif({Q.title("split_part(address, ', ', 2)")}, '') as city, nullif(regexp_extract(address, ', ([A-Z]{{2}}) [0-9]{{5}}', 1), '') as region, zip as postcode, hn, sk from born", *_M, _LOOK, _BORN))(
     lambda d: mint.minted_places(_born(d)).select("id", "name", "category", "address", "city", "region", "postcode", "hn", "sk"))
 _INSERT = "select place_id, source, source_id, state, date, rule, ev_name, ev_address from (select * from ev union all select place_id, source, source_id, state, date, 'self' as rule, 0e0 as dist, name, address from born)"
-q("set_02_insert_rows", Q.query(_INSERT, *_M3, _LOOK, _BORN))(lambda d: match.attach_evidence(_some(d), d.register()).unionByName(mint.minted_evidence(_born(d))).drop("dist"))
+q("set_02_insert_rows", Q.query(_INSERT, *_M, _LOOK, _BORN))(lambda d: match.attach_evidence(d.base(), d.register()).unionByName(mint.minted_evidence(_born(d))).drop("dist"))
 
 # --- score and publish -------------------------------------------------------------------------------------------
 _HOURS = "select 'g' || lpad(cast(n as string), 7, '0') as place_id, case when n % 4 = 0 then ' ' else p_brand end as hours, case when n % 2 = 0 then 'atp' else 'osm' end as source, date '2001-01-01' as day from fx_b union all select 'g' || lpad(cast(n as string), 7, '0'), p_type, 'osm', case when n % 3 = 0 then date '2001-02-01' else date '2000-02-01' end from fx_b where n % 5 < 3"
 _HOURS_SQL = f"select place_id, arg_max(hours, row(day, source, hours)) as opening_hours, arg_max(source, row(day, source, hours)) as hours_source, max(day) as hours_date from ({_HOURS.replace('as string', 'as varchar')}) where nullif(trim(hours), '') is not null group by place_id"
 q("agg_07_hours_newest", Q.query(_HOURS_SQL))(lambda d: score.hours(d.view(_HOURS)))
-q("agg_08_max_confidence", Q.query("select k.place_id, max(h.conf_mean) as conf from hist h join canon k on k.id = h.overture_id where h.conf_mean is not null group by 1", *_CANON, f"hist as ({_HIST_SQL})"))(lambda d: score.confidence(d.view(_HIST_SQL), canon.canonical_ids(d.base(), match.self_match(d.base()))))
+q("agg_08_max_confidence", Q.query("select k.place_id, max(h.conf_mean) as conf from hist h join canon k on k.id = h.overture_id where h.conf_mean is not null group by 1", *_CANON, _HIST))(lambda d: score.confidence(d.view(_HIST_SQL), canon.canonical_ids(d.base(), match.self_match(d.base()))))
 _ALLM = f"allm as (select place_id, source, source_id from members union all select id, 'overture', id from base_n)"
 
 
@@ -477,7 +469,7 @@ _HALF = lambda h: f"select case when id % 5 = 0 and half = 'cur' and id % 3 > 0
 _HALF_SQL = lambda h: _HALF(h).replace("as string", "as varchar")
 _CNT = f"nw as (select source, count(*) as now from ({_HALF_SQL('cur')}) group by 1), bf as (select source, count(*) as before from ({_HALF_SQL('prev')}) group by 1)"
 q("reg_11_plausibility_gate", Q.query("select bf.source, coalesce(now, 0) as rows, before, coalesce(now, 0) >= 5e-1 * before as ok from bf left join nw using (source)", _CNT))(lambda d: registers.plausible(d.view(_HALF("cur")), d.view(_HALF("prev"))))
-_ANS = "select distinct address, case when length(address) % 2 = 0 then lat end as lat, case when length(address) % 2 = 0 then lng end as lng from (select address, min(lat) as lat, min(lng) as lng from fx_register where lat is not null group by address) g where length(address) % 5 <> 0"
+_ANS = "select distinct address, case when cast(substr(address, 1, 3) as int) % 2 = 0 then lat end as lat, case when cast(substr(address, 1, 3) as int) % 2 = 0 then lng end as lng from (select address, min(lat) as lat, min(lng) as lng from fx_register where lat is not null group by address) g where cast(substr(address, 1, 3) as int) % 5 <> 0"
 q("join_27_apply_geocodes", Q.query(f"select r.source, r.source_id, r.date, coalesce(r.lat, a.lat) as lat, coalesce(r.lng, a.lng) as lng from reg_n r left join ({_ANS}) a on a.address = r.address and a.lat is not null", Q.REG_N))(lambda d: registers.apply_geocodes(d.register(), d.view(_ANS)).select("source", "source_id", "date", "lat", "lng"))
 q("join_28_geocode_todo", Q.query(f"select distinct address from reg_n where lat is null and regexp_matches(address, '^[0-9]+ .+, .+, [A-Z]{{2}} [0-9]{{5}}') and address not in (select address from ({_ANS}))", Q.REG_N))(lambda d: registers.geocode_todo(d.register(), d.view(_ANS)))
 _ANS2 = "select address, max(lat) as lat, max(lng) as lng from fx_register where lat is not null group by address having count(*) % 2 = 0"
@@ -525,16 +517,17 @@ q("rep_02_merged_by_rule", Q.query("select 'duplicates' as step, 'number, same n
     lambda d: canon.canonical_ids(d.base(), match.self_match(d.base())).where("id <> place_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("duplicates").alias("step"), F.lit("number, same name").alias("rule"), "rows")
     .unionByName(report.count_by(match.best_match(d.pairs()), "rule", name="rows").withColumn("step", F.lit("chain"))))
 q("rep_03_places_out", Q.query("select (select count(*) from base_n) + (select count(*) from chain_n where id not in (select b_id from best)) as core, (select count(*) from chain_n where id not in (select b_id from best)) as chain_only", *_CH))(
-    lambda d: match.unmatched(d.chain(), match.best_match(d.pairs())).agg(F.count(F.lit(1)).alias("chain_only")).join(d.base().agg(F.count(F.lit(1)).alias("n"))).select((c("n") + c("chain_only")).alias("core"), "chain_only"))
-q("rep_04_minted_by_source", Q.query("select source, count(*) as places from born group by 1", *_M3, _LOOK, _BORN))(lambda d: report.count_by(_born(d), "source"))
+    lambda d: match.unmatched(d.chain(), match.best_match(d.pairs())).agg(F.count(F.lit(1)).alias("chain_only")).withColumn("n", F.lit(d.base().count())).select((c("n") + c("chain_only")).alias("core"), "chain_only"))
+q("rep_04_minted_by_source", Q.query("select source, count(*) as places from born group by 1", *_M, _LOOK, _BORN))(lambda d: report.count_by(_born(d), "source"))
 q("rep_05_status_counts", Q.query("select status, count(*) as places from pl group by 1", _PL))(lambda d: report.count_by(_places(d), "status"))
 q("rep_06_decided_by", Q.query("select status, status_source, count(*) as places from pl where status <> 'unknown' group by all", _PL))(lambda d: report.count_by(_places(d).where("status <> 'unknown'"), "status", "status_source"))
 q("rep_07_external_status_cross", Q.query("select coalesce(operating_status, '(none)') as overture_status, status, count(*) as places from pl group by all", _PL))(lambda d: report.count_by(_places(d), F.coalesce("operating_status", F.lit("(none)")).alias("overture_status"), "status"))
 _SEEN = "select 'g' || lpad(cast(n as string), 7, '0') as id, case when n % 3 = 0 then 'closed' else 'open' end as says from fx_b where n % 2 = 0"
 q("rep_11_score_calibration", Q.query(f"select cast(floor({Q.rnd(_SCORE_SQL, 2)} * 10 + 1e-9) as int) as band, count(*) as places, count(*) filter (where says = 'open') as open, count(*) filter (where says = 'closed') as closed from fx_base b left join st s on s.place_id = b.id join ({_SEEN.replace('as string', 'as varchar')}) n on n.id = b.id group by 1", f"st as ({_ST})"))(
     lambda d: report.score_calibration(QUERIES["fn_26_open_score"](d.spark, d.sf_dir), d.view(_SEEN)))
-q("rep_12_layer_separation", Q.query("select place_id as id, 'source' as why from members where starts_with(source, 'osm') union all select place_id, 'license' from allm where starts_with(source, 'osm')", *_CH, _MEMBERS, _ALLM))(
-    lambda d: (lambda m: report.layer_violations(m, score.member_rollup(m).select(c("place_id").alias("id"), c("member_licenses").alias("licenses"))))(_all_members(d)))
+q("rep_12_layer_separation", Q.query("select place_id as id, 'source' as why from members where starts_with(source, 'osm') union all select distinct place_id, 'license' from allm where starts_with(source, 'osm')", *_CH, _MEMBERS.replace("'atp'", "case when length(n.id) % 2 = 0 then 'osm' else 'atp' end"), _ALLM))(
+    lambda d: (lambda m: report.layer_violations(m, score.member_rollup(m).select(c("place_id").alias("id"), c("member_licenses").alias("licenses"))))(
+        _all_members(d).withColumn("source", F.when((c("source") == "atp") & (F.length("source_id") % 2 == 0), "osm").otherwise(c("source")))))
 q("sort_01_review_sample_merge", Q.query("select a_id, b_id, rule from best where rule = 'number' order by md5(b_id), b_id limit 40", *_CH))(
     lambda d: report.review_sample(match.best_match(d.pairs()).where("rule = 'number'").select("a_id", "b_id", "rule"), "b_id"))
 q("sort_02_review_sample_evidence", Q.query("select place_id, source_id, date from (select distinct place_id, source_id, date, place_id || source_id || cast(date as varchar) as k from fx_evidence where source = 'alpha_x' and state = 'closed' and rule = 'number') order by md5(k), k limit 40"))(
@@ -679,8 +672,60 @@ def flagship(d: Data):
     return build.flagship(build.Inputs(d.view("select * from fx_base"), d.chain(), d.register().select(*_REG8.split(", "))), build.Params(BUILD))
 
 
-@q("build_region_core")
+_INDEPENDENT = ", ".join(f"'{x}'" for x in evidence.INDEPENDENTS_ONLY)
+#: The core layer in SQL: duplicates merged, chain rows joined or added, evidence attached, places minted.
+_CORE = (
+    *_CANON, Q.CHAIN_N, Q.REG_N, _FSQ,
+    f"kept as (select b.* replace (m.category as category, m.brand as brand, m.postcode as postcode, m.operating_status as operating_status) from base_n b join ({_MERGE}) m on m.id = b.id)",
+    f"cp as ({Q.pairs('kept', 'chain_n')})", f"cbest as ({Q.best('cp')})",
+    "cfill as (select a_id, hn from cbest join chain_n on id = b_id qualify row_number() over (partition by a_id order by dist, b_id) = 1)",
+    f"place as (select k.id, k.name, k.category, k.brand, k.nn, coalesce(k.hn, nullif(f.hn, '')) as hn, {Q.zip5('k.postcode')} as zip, k.sk, k.lat, k.lng from kept k left join cfill f on f.a_id = k.id union all select id, name, category, null, nn, hn, null, null, lat, lng from chain_n where id not in (select b_id from cbest))",
+    "cmember as (select coalesce(b.a_id, n.id) as place_id, n.id, coalesce(b.rule, 'self') as rule, coalesce(b.dist, 0e0) as dist, n.collected, n.name from chain_n n left join cbest b on b.b_id = n.id)",
+    f"found as ({Q.attached('place', 'reg_n')} union all select k.place_id, 'fsq_closed', f.fsq_place_id, 'closed', f.date_closed, 'id', 0e0, f.name, f.address from base_n o join canon k on k.id = o.id join closed f on f.fsq_place_id = o.fsq_id where {Q.passing('(' + Q.sim('f.nn', 'o.nn') + ')')}"
+    " union all select place_id, 'atp', id, 'open', collected, rule, dist, name, null from cmember where collected is not null)",
+    f"ev as (select * from found f where not (f.source in ({_INDEPENDENT}) and exists (select 1 from place p where p.id = f.place_id and p.brand is not null)))",
+    _ELIG, _LOOK.replace("base_n b", "place b"), _BORN,
+    f"core_place as (select id, name, category, brand, nn, hn, zip, sk, lat, lng from place union all select place_id, {Q.display('name')}, category, null, nn, hn, zip, sk, lat, lng from born)",
+    "core_ev as (select * from ev union all select place_id, source, source_id, state, date, 'self', 0e0, name, address from born)",
+)
+_BUILT = "select p.id, p.name, p.category, s.status, s.status_date, s.status_source from {place} p left join ({status}) s on s.place_id = p.id"
+#: Map features: some lie by listings and join them, others stay alone; tagged, dated and closed in turn.
+_FX_FEATURES = """select 'n' || cast(n as string) as id, case when n % 3 = 0 then nm else nm || 's' end as name, case when n % 5 = 0 then null else cast(100 + site % 90 as string) end as housenumber, 'Main St' as street, cast(null as string) as postcode,
+  p_type as category, date '2001-04-01' as edited, case when n % 6 = 0 then 'disused' end as lifecycle, case n % 4 when 0 then '2000-05-06' when 1 then '2000' end as end_date, case when n % 3 = 1 then '2001-04-05' end as check_date,
+  'Q' || cast(n as string) as wikidata, 388e-1 + ((site * 37) % 200) * 1e-3 + case when n % 7 = 0 then 3e-1 else 1e-4 end as lat, -771e-1 + ((site * 53) % 190) * 1e-3 as lng from fx_b"""
+_FX_ITEMS = "select 'Q' || cast(n as string) as qid, date '1998-07-06' as date from fx_b where n % 8 = 0"
+_FULL = (
+    *_CORE, _HIST,
+    f"feat as (select *, {Q.norm('name')} as nn, {Q.house('housenumber')} as hn, concat_ws(' ', housenumber, street) as address from ({_FX_FEATURES.replace('as string', 'as varchar')}))",
+    f"fp as ({Q.pairs('core_place', 'feat')})", f"fbest as ({Q.best('fp')})",
+    "fmember as (select coalesce(b.a_id, f.id) as place_id, coalesce(b.rule, 'self') as rule, coalesce(b.dist, 0e0) as dist, f.* from feat f left join fbest b on b.b_id = f.id)",
+    f"lone as (select id, name, category, nn, hn, cast(null as varchar) as zip, {Q.street('address')} as sk, lat, lng from feat where id not in (select b_id from fbest))",
+    f"full_place as (select id, name, category from core_place union all select id, name, category from lone)",
+    f"full_ev as (select * from core_ev union all select place_id, 'osm_lifecycle', id, 'closed', coalesce({_DAY('end_date')}, edited), rule, dist, name, address from fmember where lifecycle is not null"
+    f" union all select place_id, 'osm_check_date', id, 'open', {_DAY('check_date')}, rule, dist, name, address from fmember where lifecycle is null and {_DAY('check_date')} is not null"
+    f" union all select k.place_id, 'osm_history', h.overture_id, 'closed', h.event_date, 'id', 0e0, h.event, null from hist h join base_n o on o.id = h.overture_id join canon k on k.id = o.id where {Q.passing('(' + Q.sim('h.nn', 'o.nn') + ')')} and not (h.event = 'substantial_rename' and h.osm_name is not null and {Q.passing('(' + Q.sim('h.renamed', 'o.nn') + ')')})"
+    f" union all select m.place_id, 'wikidata_p576', m.wikidata, 'closed', w.date, m.rule, m.dist, m.name, m.address from fmember m join ({_FX_ITEMS.replace('as string', 'as varchar')}) w on w.qid = m.wikidata where m.category not like 'office=%'"
+    f" union all {Q.attached('lone', 'reg_n')})",
+)
+
+
+def _inputs(d: Data) -> build.Inputs:
+    return build.Inputs(
+        _base_full(d).drop("nn", "hn", "zip", "sk"), d.view("select * from fx_chain"), d.register().select(*_REG8.split(", ")), d.view(_FX_FEATURES), _closed(d), d.view(_HIST_SQL), d.view(_FX_ITEMS)
+    )
+
+
+def _built(layer: build.Layer) -> DataFrame:
+    status = layer.status.select(c("place_id").alias("id"), "status", "status_date", "status_source")
+    return layer.place.select("id", "name", "category").join(status, "id", "left")
+
+
+@q("build_region_core", Q.query(_BUILT.format(place="core_place", status=Q.status("core_ev")), *_CORE))
+def _(d: Data):
+    return _built(build.core_layer(_inputs(d), build.Params(BUILD, storefronts=STOREFRONTS)))
+
+
+@q("build_region_full", Q.query(_BUILT.format(place="full_place", status=Q.status("full_ev")), *_FULL))
 def _(d: Data):
-    inputs = build.Inputs(_base_full(d).drop("nn", "hn", "zip", "sk"), d.view("select * from fx_chain"), d.register().select(*_REG8.split(", ")))
-    layer = build.core_layer(inputs, build.Params(BUILD, storefronts=STOREFRONTS))
-    return layer.place.select("id", "name", "category").join(layer.status.select(c("place_id").alias("id"), "status", "status_date", "status_source"), "id", "left")
+    inputs, params = _inputs(d), build.Params(BUILD, storefronts=STOREFRONTS)
+    return _built(build.full_layer(build.core_layer(inputs, params), inputs, params))

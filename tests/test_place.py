@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from placewright.functions import categories, geo, similarity, text
-from placewright.operators import canon, evidence, match, monitor, publish, registers
-from placewright.plans import queries
+from placewright.operators import canon, evidence, match, monitor, publish, registers, report, score
+from placewright.plans import build, queries
 from placewright.streaming import status as stream_status
 
 SF = "/root/testdata/sf0.001"
@@ -186,10 +186,12 @@ def test_streamed_status_equals_the_batch_fold(spark, tmp_path):
 
 
 def test_core_layer_has_no_feature_rows(spark):
-    assert queries.QUERIES["rep_12_layer_separation"](spark, SF).count() == 0
+    core = build.core_layer(queries._inputs(queries.Data(spark, SF)), build.Params(BUILD, storefronts=queries.STOREFRONTS))
+    licences = score.member_rollup(core.member).select(F.col("place_id").alias("id"), F.col("member_licenses").alias("licenses"))
+    assert core.member.count() > core.place.count() > 0 and report.layer_violations(core.member, licences).count() == 0
 
 
-SOME = ["flagship_status", "join_05_match_pairs", "join_09_matched_evidence", "graph_01_canonical_ids", "agg_01_fill_from_duplicates", "agg_03_status_of", "join_20_mint_places", "join_21_publish_join", "join_24_snapshot_diff", "reg_05_list_cancelled", "fn_17_parse_dates", "src_04_classify_tags"]
+SOME = ["flagship_status", "build_region_core", "build_region_full", "join_28_geocode_todo", "rep_12_layer_separation", "join_05_match_pairs", "join_09_matched_evidence", "graph_01_canonical_ids", "agg_01_fill_from_duplicates", "agg_03_status_of", "join_20_mint_places", "join_21_publish_join", "join_24_snapshot_diff", "reg_05_list_cancelled", "fn_17_parse_dates", "src_04_classify_tags"]
 
 
 @pytest.mark.parametrize("name", SOME)
