@@ -1,11 +1,13 @@
 """Vectorised word splitting and 64-bit word hashes over Arrow string columns.
 
 Words are maximal runs of bytes of a class; all bytes from 0x80 on belong to words, so UTF-8 characters stay whole.
-Two different words share a 64-bit hash with a chance of about n**2 / 2**65 for n distinct words."""
+Words of up to 64 bytes are hashed as polynomials of random values, longer ones (for which such polynomials modulo 2**64
+have known collisions) by BLAKE2b. Two of n different words share a hash with a chance of about n**2 / 2**65."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ NON_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 _MULT = 0x9E3779B97F4A7C15
 _POWERS = {"n": 0}
+LONG = 64
 VALUES = (np.random.RandomState(20240607).randint(1, 2**62, 256).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -36,6 +39,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_MULT ** i and its inverse modulo 2**64 for i < n."""
     if _POWERS["n"] < n:
         size = max(n, 1 << 16)
+        if size > 1 << 24:  # for one very long text; not kept
+            up, down = np.full(n, _MULT, np.uint64), np.full(n, pow(_MULT, -1, 2**64), np.uint64)
+            up[0] = down[0] = 1
+            return np.cumprod(up), np.cumprod(down)
         up, down = np.full(size, _MULT, np.uint64), np.full(size, pow(_MULT, -1, 2**64), np.uint64)
         up[0] = down[0] = 1
         _POWERS.update(n=size, up=np.cumprod(up), down=np.cumprod(down))
@@ -86,6 +93,8 @@ def words(column: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total = np.cumsum(VALUES[low] * up)
         h = (total[ends] - np.where(begins > 0, total[begins - 1], np.uint64(0))) * down[begins]
         h = mix(h + (ends - begins + 1).astype(np.uint64))
+    for i in np.flatnonzero(ends - begins >= LONG):
+        h[i] = int.from_bytes(blake2b(low[begins[i] : ends[i] + 1].tobytes(), digest_size=8).digest(), "little")
     return h, np.searchsorted(begins, offsets)
 
 

@@ -258,5 +258,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, t
 
     key = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
     report = contamination_report(docs.select(key.alias("doc_id"), F.col(text).alias("text")), benchmark.withColumnRenamed(text, "text") if text != "text" else benchmark, window)
-    bad = saved(report.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(hinted(bad), key == F.col("_bad"), "left_anti")
+    bad = saved(report.where("contaminated").select(F.col("doc_id").alias("bad")).distinct(), "contaminated")
+    return docs.select(F.struct("*").alias("row"), key.alias("key")).join(hinted(bad), F.col("key") == F.col("bad"), "left_anti").select("row.*")

@@ -62,8 +62,8 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
     groups = saved(groups, "exact-groups")
     # Rows alone with their text need no look-up by others: only groups of two and more name losers.
     shared = groups.where("group_size > 1").select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
-    keyed = docs.withColumn("_d", digest(F.col(text)))
-    out = keyed.join(hinted(shared), F.col("_d") == F.col("_digest"), "left")
+    keyed = docs.select(F.struct("*").alias("row"), digest(F.col(text)).alias("d"), F.col(doc_id).alias("id"))
+    out = keyed.join(hinted(shared), F.col("d") == F.col("_digest"), "left")
     single = out.where(F.col("_digest").isNull())
-    winners = out.where(F.col("_digest").isNotNull() & F.col(doc_id).eqNullSafe(F.col("_keep"))).dropDuplicates(["_d"])
-    return single.unionByName(winners).select(*[docs[c] for c in docs.columns])
+    winners = out.where(F.col("_digest").isNotNull() & F.col("id").eqNullSafe(F.col("_keep"))).groupBy("d").agg(F.first("row").alias("row"))
+    return single.select("row").unionByName(winners.select("row")).select("row.*")

@@ -204,7 +204,7 @@ def _in_main(path: str) -> bool:
     return any(step.split(".")[0].rstrip("0123456789") in MAIN for step in path.split("/"))
 
 
-def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 4) -> DataFrame:
+def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 2) -> DataFrame:
     """(host, node): content nodes that at least ``min_pages`` pages share and whose importance is at most ``threshold``.
     An inner node is worth what its most important content is, so that a branch goes when all its content does."""
     inner = tree.select("host", F.col("parent").alias("node")).distinct()
@@ -212,7 +212,7 @@ def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 4) ->
     return leaves.where((F.col("pages") >= min_pages) & (F.col("entropy") <= threshold)).select("host", "node")
 
 
-def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 4, url: str = "url", source: str = "html", page_id: str = "page_id", salts: int = 64, limit: int = BROADCAST_ROWS) -> DataFrame:
+def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 2, url: str = "url", source: str = "html", page_id: str = "page_id", salts: int = 64, limit: int = BROADCAST_ROWS) -> DataFrame:
     """One row a row of ``pages``: page_id, url, text, n_chars.
 
     Character references are decoded, white space in a block becomes one space, blocks are joined by \\n in page order.

@@ -52,7 +52,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 out.append((0, first, m.end()))
                 stop = m.end()
     for m in _IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.group().split(".")):
+        if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or "0") <= 255 for x in m.group().split(".")):
             out.append((1, *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

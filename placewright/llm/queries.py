@@ -66,7 +66,7 @@ ORACLES = {
         hosts as (select source, count(*) as host_pages from d group by source),
         common as (select source, trim(line) as line, count(distinct r) as pages from l where trim(line) <> '' group by all),
         b as (select c.source, c.line from common c join hosts h on c.source is not distinct from h.source
-              where c.pages >= 5 and c.pages > 0.1e0 * h.host_pages),
+              where c.pages >= 2 and c.pages > 0.1e0 * h.host_pages),
         k as (select l.r, count(*) as n_lines, count(b.line) as n_dropped,
                      coalesce(string_agg(l.line, chr(10) order by l.i) filter (where b.line is null), '') as text
               from l left join b on l.source is not distinct from b.source and trim(l.line) = b.line group by l.r)

@@ -19,11 +19,11 @@ STEPS = 1024
 
 
 def atoms_of(keys: DataFrame, n_rows: int, shards: int) -> DataFrame:
-    """(key, members, atoms): the groups of two and more, and into how many atoms of about an eighth of a shard's
-    capacity, at most, each is cut."""
-    most = max(2, n_rows // shards // 8)
+    """(key, members, atoms): the groups of two and more, and into how many atoms each is cut: one, if it fills at most half
+    a shard, else of about an eighth of a shard, which fit beside others."""
+    half, most = max(2, n_rows // shards // 2), max(2, n_rows // shards // 8)
     groups = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return groups.withColumn("atoms", F.ceil(F.col("members") / most).cast("int"))
+    return groups.withColumn("atoms", F.when(F.col("members") <= half, 1).otherwise(F.ceil(F.col("members") / most)).cast("int"))
 
 
 def propagate(flow: DataFrame, quota: int, shards: int, rounds: int) -> DataFrame:
@@ -36,7 +36,7 @@ def propagate(flow: DataFrame, quota: int, shards: int, rounds: int) -> DataFram
         best = here.withColumn("r", F.row_number().over(first)).where("r = 1").select("key", "atom", F.col("shard").alias("to"))
         load = flow.groupBy("shard").agg(F.sum("n").alias("load"))
         free = load.select(F.col("shard").alias("to"), F.greatest(F.lit(quota) - F.col("load"), F.lit(0)).alias("free"))
-        step = F.pmod(F.xxhash64("key", "atom"), F.lit(STEPS)).cast("int")
+        step = F.pmod(F.xxhash64("key", "atom", "was"), F.lit(STEPS)).cast("int")  # a part of a group may go ahead
         asked = flow.join(best, ["key", "atom"]).withColumn("step", step)
         sums = asked.where("shard <> to").groupBy("to", "step").agg(F.sum("n").alias("asked"))
         upto = sums.withColumn("upto", F.sum("asked").over(W.partitionBy("to").orderBy("step")))  # STEPS rows a shard
@@ -47,7 +47,7 @@ def propagate(flow: DataFrame, quota: int, shards: int, rounds: int) -> DataFram
     return flow
 
 
-def assign(docs: DataFrame, shards: int = 16, rounds: int = 3, text: str = "text", doc_id: str = "doc_id", link: str | None = None, seed: int = 7) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 16, rounds: int = 6, text: str = "text", doc_id: str = "doc_id", link: str | None = None, seed: int = 7) -> DataFrame:
     """One row a row of ``docs``: doc_id, size, text_crc32, law ('rows'), shard, slot, grown_shard (null), link_key.
 
     Shards hold N div ``shards`` rows each, the first N mod ``shards`` one more; slots run from 0 in each. Documents are
@@ -91,8 +91,9 @@ def level(placed: DataFrame, n_rows: int, shards: int) -> DataFrame:
     ranked = ranked.withColumn("rank", F.col("in_bucket") + F.col("earlier"))
     leaving = F.when(F.col("rank") >= F.col("quota"), F.col("over0") + F.col("rank") - F.col("quota")).alias("leaving")
     ranked = ranked.select("doc_id", "size", "text_crc32", "key", "shard", "rank", leaving)
-    room = fill.where("under > 0").agg(F.array_sort(F.collect_list(F.struct("under0", "under", F.col("shard").alias("to"), "n"))).alias("room"))
-    ranked = ranked.join(F.broadcast(room))  # one row, of at most ``shards`` entries
+    room = fill.where("under > 0").select("under0", "under", F.col("shard").alias("to"), "n").orderBy("under0").collect()
+    entries = [F.struct(*[F.lit(r[c]).cast("long").alias(c) for c in ("under0", "under", "to", "n")]) for r in room]  # at most ``shards``
+    ranked = ranked.withColumn("room", F.array(*entries) if entries else F.array().cast("array<struct<under0:long,under:long,to:long,n:long>>"))
     fits = F.filter("room", lambda x: (x["under0"] <= F.col("leaving")) & (F.col("leaving") < x["under0"] + x["under"]))
     goes = F.get(fits, F.lit(0))
     shard = F.when(F.col("leaving").isNull(), F.col("shard")).otherwise(goes["to"])

@@ -14,12 +14,23 @@ from pyspark.sql import functions as F
 from ._tokens import Encoder, text_slices
 
 
-def flat_files(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = 49407, block: int = 1 << 18, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def separator(tokenizer: str) -> int:
+    """The id after the vocabulary's last one, which must fit the width that its ids are stored in."""
+    coder = Encoder.load(tokenizer)
+    end = max(coder.whole.get_vocab(with_added_tokens=True).values()) + 1
+    if end > np.iinfo(coder.dtype).max:
+        raise ValueError("the vocabulary leaves no id for the end of a document")
+    return end
+
+
+def flat_files(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int | None = None, block: int = 1 << 18, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Token files as rows (file, block, data, doc_ids): a file a partition, cut every ``block`` ids wherever that falls.
 
-    ``data`` holds little-endian unsigned 16- or 32-bit ids, each document's followed by ``end``. doc_ids names the
+    ``data`` holds little-endian unsigned 16- or 32-bit ids, each document's followed by ``end`` (default: the id after the
+    vocabulary's last, which no text holds). doc_ids names the
     documents whose ``end`` lies in the block, in order: a label for reading results, not an index (no positions).
-    A text that itself holds the id ``end`` would count as several documents, so that such ids are left out of it."""
+    Where an ``end`` of the vocabulary is asked for, a text that holds it is an error: it would count as several."""
+    end = separator(tokenizer) if end is None else end
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,9 +48,8 @@ def flat_files(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int =
 
         for b in text_slices(batches, "text"):
             ids, bounds = coder.encode(b.column("text"))
-            own = ids == end
-            if own.any():
-                bounds, ids = bounds - np.concatenate([[0], np.cumsum(own)])[bounds], ids[~own]
+            if (ids == end).any():
+                raise ValueError(f"a text holds the end id {end}")
             ids, bounds = np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))
             part = b.column("part")[0].as_py()
             ends = np.concatenate([ends, len(held) + bounds[1:]])
@@ -54,7 +64,7 @@ def flat_files(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int =
     return rows.mapInArrow(run, f"file int, block long, data binary, doc_ids array<{kind}>")
 
 
-def scan(files: DataFrame, end: int = 49407, width: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+def scan(files: DataFrame, end: int, width: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
     """(file, block, data) rows -> (file, block, place, start, n_tokens): every document's position in its file and its
     ids without the end id; ``place`` counts the ends in the block from 0.
 
@@ -83,11 +93,13 @@ def scan(files: DataFrame, end: int = 49407, width: int = 2, keep: tuple[str, ..
     return found.select("file", "block", F.col("d.place").alias("place"), F.col("d.start").alias("start"), (F.col("d.stop") - F.col("d.start")).alias("n_tokens"), *keep)
 
 
-def count_tokens(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = 49407, block: int = 1 << 18, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int | None = None, block: int = 1 << 18, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a row of ``docs``: doc_id, n_tokens (without the end id), file, start; by writing flat files and scanning
-    them. Null texts are empty; null and repeated doc_ids and repeated rows have a row each; extra columns are ignored."""
+    them. Null and empty texts have no ids; null and repeated doc_ids and repeated rows have a row each; a
+    very long text is cut over many blocks; no rows give no rows; extra columns are ignored."""
     from ._io import saved
 
+    end = separator(tokenizer) if end is None else end
     files = saved(flat_files(docs, tokenizer, end, block, text, doc_id), "token-files")
     width = 4 if Encoder.load(tokenizer).code == "I" else 2
     found = scan(files, end, width, keep=("doc_ids",))

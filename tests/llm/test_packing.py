@@ -72,7 +72,7 @@ def test_order_is_that_of_deficit_round_robin(spark):
     packets = spark.createDataFrame(rows, "part int, row long, queue string, start long, n int").coalesce(1)
     total = {q: sum(x) for q, x in sizes.items()}
     queues = sorted(total, key=lambda q: (-total[q], q))
-    got = packing.plan(packets, 32, None).join(packets, ["part", "row", "start", "n"]) if False else packing.plan(packets, 32, None)
+    got = packing.plan(packets, 32, None)
     # (row, n, queue) pairs are found back by their place in the stream
     want = drr({q: sizes[q] for q in queues}, {q: total[q] / sum(total.values()) * 32 for q in queues})
     at = np.cumsum([0, *[sizes[q][i] for q, i in want]])[:-1].tolist()
@@ -135,3 +135,14 @@ def test_scan_of_raw_blocks_with_open_end(spark):
             want.append((f, start, 500 - start))
     got = token_count.scan(spark.createDataFrame(rows, "file int, block long, data binary"), end=end)
     assert sorted((r.file, r.start, r.n_tokens) for r in got.collect()) == sorted(want)
+
+
+def test_no_id_of_a_text_is_lost_to_the_separator(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["a <|endoftext|> b", "", "plain words", "<|endoftext|><|endoftext|>"]
+    got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), block=3).collect()}
+    assert got == {i: len(whole.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}

@@ -179,3 +179,9 @@ def test_pages_of_the_test_tables_equal_a_plain_reading(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>?", " ", b)).split()) for b in re.split(r"</?(?:p|h1|h2|h3|li|ul|div|article)[^>]*>", inner[1] if inner else "")]
         want[r.page_id, "\n".join(b for b in blocks if b)] += 1
     assert Counter((r.page_id, r.text) for r in html_text.extract(pages).collect()) == want
+
+
+def test_long_runs_of_digits_are_no_addresses(spark):
+    texts = ["1.2.3." + "0" * 5000, "9" * 6000 + ".1.1.1", "0001.2.3.4"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_ip for r in pii.span_report(pii.sanitise(docs)).collect()} == {0: 1, 1: 0, 2: 1}
