@@ -38,7 +38,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", good_quality), ("exact dedup", one_of_equals), ("n-gram Jaccard join", one_of_near), ("benchmark decontamination", clean_of_benchmark), ("mixture packing", packed)]
 
-#: The model, the links and the tokenizer are beyond SQL; tests hold run() against brute force.
+#: The model, the links and the tokenizer are beyond SQL; tests hold run() against a brute-force run of the stages.
 ORACLE_SQL = None
 
 
