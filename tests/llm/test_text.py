@@ -91,7 +91,11 @@ def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame(rows, "text string, lang string, half int")
     alphabets = quality._alphabets(docs.select("text", "lang"))
     counts = quality.gram_counts(docs, alphabets).selectExpr("2 as model", "lang", "gram", "n").groupBy("model", "lang", "gram").sum("n").withColumnRenamed("sum(n)", "n")
-    m = quality.models(*quality.kneser_ney(counts), alphabets, ["en"])[2, "en"]
+    m = quality.Model(alphabets["en"])
+    for table, df in zip((m.p, m.back), quality.kneser_ney(counts)):
+        own = df.toPandas()
+        for k, part in own.groupby("k"):
+            m.put(table, int(k), part.iloc[:, 3].to_numpy(), part.iloc[:, 4].to_numpy())
     for context in ([0, 0, 0], [0, 0, 7], [7, 8, 9], [9, 9, 9], [60, 61, 62]):
         base = np.uint64((context[0] << 18) | (context[1] << 12) | (context[2] << 6))
         assert abs(np.exp(m.log_p(base | np.arange(64, dtype=np.uint64))).sum() - 1) < 1e-6
