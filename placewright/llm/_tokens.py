@@ -104,7 +104,7 @@ class Encoder:
         return np.insert(flat, edges[1:], end), edges + np.arange(len(edges))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 32_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Neighbouring batches put together and cut to about ``most`` bytes of text: more repeats to a batch, bounded memory."""
     from ._words import slices
 
@@ -114,6 +114,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 32_000
         if held and size + n > most:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held, size = [], 0
+            pa.default_memory_pool().release_unused()  # workers live on from task to task
         held.append(b)
         size += n
     if held:
