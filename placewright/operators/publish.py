@@ -10,6 +10,8 @@ from ..functions import geo
 
 STATUS_COLUMNS = ("id", "status", "status_date", "status_source", "open_score", "missing_license")
 ROW_GROUP = 20_000
+#: Rows of a published file at most, which keeps each far below the 2 GB that the manifest can hash as one value.
+FILE_ROWS = 1_000_000
 
 
 def hilbert_order(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -18,10 +20,10 @@ def hilbert_order(df: DataFrame, box: tuple[float, float, float, float]) -> Data
 
 def publish_clustered(df: DataFrame, path: str, box: tuple[float, float, float, float], files: int | None = None, row_group: int = ROW_GROUP) -> None:
     """Zstd parquet along the Hilbert curve: each file a range of it, in row groups of at most ``row_group`` rows, so that
-    a box read skips most of them."""
+    a box read skips most of them, and no file of more than FILE_ROWS rows."""
     out = hilbert_order(df, box)
     out = out.repartitionByRange(files, "curve") if files else out.repartitionByRange("curve")
-    out.sortWithinPartitions("curve", "id").drop("curve").write.option("compression", "zstd").option("parquet.block.row.count.limit", row_group).parquet(path)
+    out.sortWithinPartitions("curve", "id").drop("curve").write.option("compression", "zstd").option("parquet.block.row.count.limit", row_group).option("maxRecordsPerFile", FILE_ROWS).parquet(path)
 
 
 def status_file(df: DataFrame) -> DataFrame:

@@ -183,13 +183,24 @@ _TO = ", ".join(f"sqrt(pow(lng - {_e(x1)} - {_T(x1, y1, x2, y2)} * ({_e(x2)} - {
 expr("geo_02_point_in_polygon", "fx_base", lambda: {"id": c("id"), "inside": geo.point_in_ring(c("lng"), c("lat"), _RING())}, {"id": "id", "inside": f"({_IN}) % 2 = 1"})
 expr("geo_03_within_degrees", "fx_base", lambda: {"id": c("id"), "far": geo.round_to(geo.degrees_to_ring(c("lng"), c("lat"), _RING()), 6), "near": geo.degrees_to_ring(c("lng"), c("lat"), _RING()) <= 0.05}, {"id": "id", "far": Q.rnd(f"least({_TO})", 6), "near": f"least({_TO}) <= 5e-2"})
 _SQUARE = lambda: F.array(*[F.struct((c("lng") + dx).alias("x"), (c("lat") + dy).alias("y")) for dx, dy in ((0.0, 0.0), (0.02, 0.0), (0.02, 0.01), (0.0, 0.01))])
-expr("geo_04_centroid", "fx_base", lambda: {"id": c("id"), "ok": (F.abs(geo.ring_centroid(_SQUARE())["x"] - c("lng") - 0.01) < 1e-6) & (F.abs(geo.ring_centroid(_SQUARE())["y"] - c("lat") - 0.005) < 1e-6)}, {"id": "id", "ok": "true"})
+_MIDDLE = lambda part: geo.round_to(geo.ring_centroid(_SQUARE())[part], 6)
+expr("geo_04_centroid", "fx_base", lambda: {"id": c("id"), "x": _MIDDLE("x"), "y": _MIDDLE("y")}, {"id": "id", "x": Q.rnd("lng + 1e-2", 6), "y": Q.rnd("lat + 5e-3", 6)})
 
 
-@q("geo_06_reproject_lambert93")
+def _lambert_sql() -> str:
+    """The inverse conic as a chain of subqueries: the isometric latitude, then six steps to the latitude."""
+    e, first = "818191910428158e-16", "select id, dx, dy, exp(-ln(sqrt(dx * dx + dy * dy) / 11754255426096e-6) / 7256077650532670e-16) as t from (select id, 65e4 + (lng + 77e0) * 1e5 - 7e5 as dx, 686e4 + (lat - 388e-1) * 1e5 - 12655612049876e-6 as dy from fx_base)"
+    out = f"select *, 2e0 * atan(t) - pi() / 2e0 as phi from ({first})"
+    for _ in range(6):
+        out = f"select id, dx, dy, t, 2e0 * atan(t * pow((1e0 + {e} * sin(phi)) / (1e0 - {e} * sin(phi)), {e} / 2e0)) - pi() / 2e0 as phi from ({out})"
+    return f"select id, {Q.rnd('degrees(atan(-dx / dy) / 7256077650532670e-16) + 3e0', 7)} as lng, {Q.rnd('degrees(phi)', 7)} as lat from ({out})"
+
+
+@q("geo_06_reproject_lambert93", Q.query(_lambert_sql()))
 def _(d: Data):
     x, y = F.lit(650_000.0) + (c("lng") + 77) * 100_000, F.lit(6_860_000.0) + (c("lat") - 38.8) * 100_000
-    return d.view("select * from fx_base").select("id", geo.lambert93(x, y, "lng").alias("lng"), geo.lambert93(x, y, "lat").alias("lat"))
+    placed = d.view("select * from fx_base").select("id", x.alias("x"), y.alias("y"))  # apart: an alias lng would stand for the column in the next one
+    return placed.select("id", *[geo.round_to(geo.lambert93(c("x"), c("y"), part), 7).alias(part) for part in ("lng", "lat")])
 
 
 # --- matching ----------------------------------------------------------------------------------------------------
@@ -358,7 +369,7 @@ q("join_21_publish_join", Q.query(_PUB, *_CH, _MEMBERS, _ALLM, f"roll as ({_ROLL
     lambda d: _published(d).select("id", "name", "status", "status_date", "status_source", "opening_hours", "hours_source", F.array_join(F.transform("sources", lambda s: F.concat_ws(":", s["source"], s["id"])), ",").alias("sources"), evidence.evidence_text("evidence").alias("evidence"), "openpois_conf", "open_score"))
 
 
-@q("snk_01_publish_clustered")
+@q("snk_01_publish_clustered", Q.query(f"select p.id, p.name, p.status, p.open_score, f.lat, f.lng from ({_PUB}) p join fx_base f on f.id = p.id", *_CH, _MEMBERS, _ALLM, f"roll as ({_ROLL})"))
 def _(d: Data):
     path = d.folder()
     publish.publish_clustered(_published(d), path, fixtures.BOX)
@@ -399,7 +410,22 @@ def _(d: Data):
 _HOLD = lambda h: f"select 'snap' as source, cast(id as string) as source_id, status as state from fx_snap where half = '{h}'"
 _HOLD_SQL = lambda h: _HOLD(h).replace("as string", "as varchar")
 q("snk_05_hold_records", Q.query(f"select * from ({_HOLD_SQL('cur')}) union all select * from ({_HOLD_SQL('prev')}) where source_id not in (select source_id from ({_HOLD_SQL('cur')}))"))(lambda d: monitor.hold(d.view(_HOLD("cur")), d.view(_HOLD("prev"))))
-q("sort_03_hilbert_order")(lambda d: publish.hilbert_order(d.base(), fixtures.BOX).select("id", "curve"))
+
+
+def _hilbert_sql() -> str:
+    """One subquery a bit, from the highest: which quarter, and the turn within it."""
+    grid = lambda v, lo, hi: f"cast(greatest(0, least(65535, floor(({v} - {lo!r}e0) / ({hi!r}e0 - {lo!r}e0) * 65536e0))) as bigint)"
+    s, w, n, e = fixtures.BOX
+    out = f"select id, {grid('lng', w, e)} as x, {grid('lat', s, n)} as y, cast(0 as bigint) as d from fx_base"
+    for k in range(15, -1, -1):
+        bits = f"select *, (x >> {k}) & 1 as right_half, (y >> {k}) & 1 as top_half from ({out})"
+        quarter = "case when top_half = 1 then 1 + right_half else 3 * right_half end"
+        turned = lambda v: f"case when top_half = 1 then {v} when right_half = 1 then 65535 - {'xy'[v == 'x']} else {'xy'[v == 'x']} end"
+        out = f"select id, {turned('x')} as x, {turned('y')} as y, d + (cast({quarter} as bigint) << {2 * k}) as d from ({bits})"
+    return f"select f.*, h.d as curve from fx_base f join ({out}) h on h.id = f.id"
+
+
+q("sort_03_hilbert_order", Q.query(f"select id, curve from ({_hilbert_sql()})"))(lambda d: publish.hilbert_order(d.base(), fixtures.BOX).select("id", "curve"))
 
 # --- filters -----------------------------------------------------------------------------------------------------
 q("flt_01_clip_box", Q.query("select id, lat, lng from fx_base where lat between 3885e-2 and 3895e-2 and lng between -7705e-2 and -7695e-2"))(lambda d: d.view("select id, lat, lng from fx_base").where(geo.in_box(c("lat"), c("lng"), _BOX)))
@@ -471,8 +497,8 @@ _CNT = f"nw as (select source, count(*) as now from ({_HALF_SQL('cur')}) group b
 q("reg_11_plausibility_gate", Q.query("select bf.source, coalesce(now, 0) as rows, before, coalesce(now, 0) >= 5e-1 * before as ok from bf left join nw using (source)", _CNT))(lambda d: registers.plausible(d.view(_HALF("cur")), d.view(_HALF("prev"))))
 _ANS = "select distinct address, case when cast(substr(address, 1, 3) as int) % 2 = 0 then lat end as lat, case when cast(substr(address, 1, 3) as int) % 2 = 0 then lng end as lng from (select address, min(lat) as lat, min(lng) as lng from fx_register where lat is not null group by address) g where cast(substr(address, 1, 3) as int) % 5 <> 0"
 q("join_27_apply_geocodes", Q.query(f"select r.source, r.source_id, r.date, coalesce(r.lat, a.lat) as lat, coalesce(r.lng, a.lng) as lng from reg_n r left join ({_ANS}) a on a.address = r.address and a.lat is not null", Q.REG_N))(lambda d: registers.apply_geocodes(d.register(), d.view(_ANS)).select("source", "source_id", "date", "lat", "lng"))
-q("join_28_geocode_todo", Q.query(f"select distinct address from reg_n where lat is null and regexp_matches(address, '^[0-9]+ .+, .+, [A-Z]{{2}} [0-9]{{5}}') and address not in (select address from ({_ANS}))", Q.REG_N))(lambda d: registers.geocode_todo(d.register(), d.view(_ANS)))
 _ANS2 = "select address, max(lat) as lat, max(lng) as lng from fx_register where lat is not null group by address having count(*) % 2 = 0"
+q("join_28_geocode_todo", Q.query(f"select distinct address from reg_n where lat is null and regexp_matches(address, '^[0-9]+ .+, .+, [A-Z]{{2}} [0-9]{{5}}') and address not in (select address from ({_ANS2}))", Q.REG_N))(lambda d: registers.geocode_todo(d.register(), d.view(_ANS2)))
 q("join_29_merge_geocodes", Q.query(f"select address, arg_max(lat, k) filter (where k = m) as lat, arg_max(lng, k) filter (where k = m) as lng from (select *, max(k) over (partition by address) as m from (select *, 0 as k from ({_ANS}) union all select *, 1 as k from ({_ANS2}))) group by address"))(lambda d: registers.merge_answers(d.view(_ANS), d.view(_ANS2)))
 
 # --- monitoring and reports --------------------------------------------------------------------------------------
@@ -648,7 +674,9 @@ def _(d: Data):
 
 _PT = lambda: F.when(c("dataset_no") == 0, F.concat(F.lit("("), "lat", F.lit(", "), "lng", F.lit(")"))).when(c("dataset_no") == 1, F.concat(F.lit('{"type":"Point","coordinates":['), "lng", F.lit(","), "lat", F.lit("]}"))).when(c("dataset_no") == 2, F.lit("(0.0, 0)"))
 expr("src_15_point_of", "fx_base", lambda: {"id": c("id"), "lat": scan.point_of(_PT(), "lat"), "lng": scan.point_of(_PT(), "lng")}, {"id": "id", "lat": "case when dataset_no < 2 then lat end", "lng": "case when dataset_no < 2 then lng end"})
-q("src_16_extract_html_rows")(lambda d: scan.extract_html_rows(d.table("pages"), r"(?s)<ul>(.*?)</ul>", r"(?s)<li>(.*?)</li>", keep=("page_id",)).select("page_id", "row", F.array_join("cells", "|").alias("cells")))
+_ROWS_SQL = r"""select page_id, cast(r.i - 1 as int) as "row", array_to_string(list_transform(regexp_extract_all(r.v, '(?s)<li>(.*?)</li>', 1), lambda x: replace(replace(replace(replace(replace(replace(trim(regexp_replace(x, '<[^>]*>', '', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')), '|') as cells
+  from (select page_id, unnest(list_transform(regexp_extract_all(html, '(?s)<ul>(.*?)</ul>', 1), lambda v, i: {'v': v, 'i': i})) as r from pages)"""
+q("src_16_extract_html_rows", _ROWS_SQL)(lambda d: scan.extract_html_rows(d.table("pages"), r"(?s)<ul>(.*?)</ul>", r"(?s)<li>(.*?)</li>", keep=("page_id",)).select("page_id", "row", F.array_join("cells", "|").alias("cells")))
 _OD = lambda: F.to_date("o_orderdate")
 expr("src_17_as_of_date", "", lambda: {"o_orderkey": c("o_orderkey"), "month_end": scan.as_of("month_end", _OD()), "school": scan.as_of("school_year", F.date_format(_OD(), "yyyy")), "tag": scan.as_of("file_tag", F.concat(F.lit("list_"), F.date_format(_OD(), "yyyyMMdd"), F.lit(".csv"))), "url": scan.as_of("month_in_url", F.concat(F.lit("/files/20"), F.date_format(_OD(), "yy-MM"), F.lit("/x")))},
      {"o_orderkey": "o_orderkey", "month_end": "last_day(o_orderdate)", "school": "make_date(year(o_orderdate) + 1, 6, 30)", "tag": "cast(o_orderdate as date)", "url": "make_date(2000 + year(o_orderdate) % 100, month(o_orderdate), 1)"}, table="orders")
