@@ -23,6 +23,8 @@ from ._tokens import Encoder, text_slices
 
 #: The queues' table is broadcast up to so many sources, else shuffled.
 QUEUES = 200_000
+#: Rows of a part whose packets of one queue are summed in one task.
+STRETCH = 64
 PACKETS = "part int, row long, doc_id {id}, queue string, start long, n int, doc_tokens long, wide boolean, ids binary"
 
 
@@ -84,12 +86,16 @@ def plan(packets: DataFrame, seq_len: int, weights: dict[str, float] | None, blo
     sized = packets.select("part", "row", "queue", "start", "n")
     queues = hinted(saved(quanta(sized, seq_len, weights).withColumnRenamed("queue", "_queue"), "queues"), QUEUES)
     sized = sized.join(queues, key).drop("queue", "_queue")
-    # place in the queue: tokens in earlier parts, then within the part
-    by_part = sized.groupBy("number", "part").agg(F.sum("n").alias("sum"))
+    # place in the queue: tokens in earlier parts, in the part's earlier stretches of rows, then within the stretch
+    sized = sized.withColumn("stretch", F.floor(F.col("row") / STRETCH))
+    by_stretch = saved(sized.groupBy("number", "part", "stretch").agg(F.sum("n").alias("sum")), "stretches")
     before = W.partitionBy("number").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    by_part = by_part.select("number", "part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("earlier"))
-    inside = W.partitionBy("number", "part").orderBy("row", "start")
-    placed = sized.withColumn("upto", F.sum("n").over(inside)).join(by_part, ["number", "part"]).withColumn("upto", F.col("upto") + F.col("earlier"))
+    by_part = by_stretch.groupBy("number", "part").agg(F.sum("sum").alias("sum")).select("number", "part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("parts"))
+    above = W.partitionBy("number", "part").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    by_stretch = by_stretch.withColumn("above", F.coalesce(F.sum("sum").over(above), F.lit(0))).join(by_part, ["number", "part"])
+    by_stretch = by_stretch.select("number", "part", "stretch", (F.col("parts") + F.col("above")).alias("earlier"))
+    inside = W.partitionBy("number", "part", "stretch").orderBy("row", "start")
+    placed = sized.withColumn("upto", F.sum("n").over(inside)).join(by_stretch, ["number", "part", "stretch"]).withColumn("upto", F.col("upto") + F.col("earlier"))
     placed = placed.withColumn("round", F.greatest(F.ceil(F.col("upto") / F.col("quantum")) - 1, F.lit(0)).cast("long")).withColumn("block", F.floor(F.col("round") / block).cast("long"))
     # place in the stream: tokens in earlier blocks of rounds, then within the block
     begins = running_total(placed.groupBy("block").agg(F.sum("n").alias("sum")), "block", "sum", "begins")
