@@ -6,6 +6,7 @@ have known collisions) by BLAKE2b. Two of n different words share a hash with a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -24,6 +25,8 @@ NON_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 _MULT = 0x9E3779B97F4A7C15
 _POWERS = {"n": 0}
+#: glibc's way to hand back the free parts of its heap; other C libraries have none
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 LONG = 64
 VALUES = (np.random.RandomState(20240607).randint(1, 2**62, 256).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -58,6 +61,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: Python workers live on from task to task, beside each other."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``most`` bytes of text (a longer row makes a piece of its own)."""
     for b in batches:
@@ -68,6 +78,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1_000_000)
             end = max(at + 1, int(np.searchsorted(sizes, base + most, "right")))
             yield b.slice(at, end - at)
             at = end
+        give_back()
 
 
 def words(column: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
