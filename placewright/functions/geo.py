@@ -1,4 +1,4 @@
-"""Positions: distances, grid cells, outlines, the Hilbert curve and one projection, as column expressions."""
+"""Positions: distances, grid cells, the Hilbert curve and one projection, as column expressions."""
 
 from __future__ import annotations
 
@@ -36,48 +36,6 @@ def in_box(lat: Column, lng: Column, box: tuple[float, float, float, float]) ->
     return lat.between(s, n) & lng.between(w, e)
 
 
-def _edges(ring: Column) -> Column:
-    """The ring's sides, as pairs of points; open rings are closed."""
-    n = F.size(ring)
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, (i + 1) % n).alias("q")))
-
-
-def point_in_ring(lng: Column, lat: Column, ring: Column) -> Column:
-    """Whether a point lies in a ring (array of struct x, y): an odd number of sides to its east."""
-
-    def crosses(e: Column) -> Column:
-        above = (e["p"]["y"] > lat) != (e["q"]["y"] > lat)
-        x = e["p"]["x"] + (lat - e["p"]["y"]) / (e["q"]["y"] - e["p"]["y"]) * (e["q"]["x"] - e["p"]["x"])
-        return F.when(above & (lng < x), 1).otherwise(0)
-
-    return F.aggregate(_edges(ring), F.lit(0), lambda s, e: s + crosses(e)) % 2 == 1
-
-
-def degrees_to_ring(lng: Column, lat: Column, ring: Column) -> Column:
-    """Distance in degrees to the nearest side."""
-
-    def to(e: Column) -> Column:
-        dx, dy = e["q"]["x"] - e["p"]["x"], e["q"]["y"] - e["p"]["y"]
-        size = dx * dx + dy * dy
-        t = F.when(size == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((lng - e["p"]["x"]) * dx + (lat - e["p"]["y"]) * dy) / size)))
-        return F.sqrt(F.pow(lng - e["p"]["x"] - t * dx, F.lit(2)) + F.pow(lat - e["p"]["y"] - t * dy, F.lit(2)))
-
-    return F.array_min(F.transform(_edges(ring), to))
-
-
-def ring_centroid(ring: Column) -> Column:
-    """struct(x, y): the area's centroid, or the mean of the points of a ring without area."""
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-
-    def step(s: Column, e: Column) -> Column:
-        cross = e["p"]["x"] * e["q"]["y"] - e["q"]["x"] * e["p"]["y"]
-        return F.struct((s["a"] + cross).alias("a"), (s["x"] + (e["p"]["x"] + e["q"]["x"]) * cross).alias("x"), (s["y"] + (e["p"]["y"] + e["q"]["y"]) * cross).alias("y"))
-
-    mean = lambda f: F.aggregate(ring, F.lit(0.0), lambda s, p: s + p[f]) / F.size(ring)
-    finish = lambda s: F.struct(F.when(s["a"] != 0, s["x"] / (3 * s["a"])).otherwise(mean("x")).alias("x"), F.when(s["a"] != 0, s["y"] / (3 * s["a"])).otherwise(mean("y")).alias("y"))
-    return F.aggregate(_edges(ring), zero, step, finish)
-
-
 def hilbert(lat: Column, lng: Column, box: tuple[float, float, float, float], bits: int = 16) -> Column:
     """The point's place on the Hilbert curve through the box, for clustering."""
     s, w, n, e = box

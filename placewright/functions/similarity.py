@@ -1,44 +1,73 @@
-"""Name similarity. Only pairs that native tests leave undecided reach the one Python function, each pair once."""
+"""Name similarity. Only pairs that native tests leave undecided reach the one Python function, which works on batches."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-
-def _jaro_winkler(a: str, b: str) -> float:
-    if a == b:
-        return 1.0 if a else 0.0
-    n, m = len(a), len(b)
-    if not n or not m:
-        return 0.0
-    reach = max(max(n, m) // 2 - 1, 0)
-    taken, left = [False] * m, []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(m, i + reach + 1)):
-            if b[j] == c and not taken[j]:
-                taken[j] = True
-                left.append(c)
-                break
-    k = len(left)
-    if not k:
-        return 0.0
-    right = [c for c, t in zip(b, taken) if t]
-    half = sum(x != y for x, y in zip(left, right)) // 2
-    jaro = (k / n + k / m + (k - half) / k) / 3
-    if jaro <= 0.7:
-        return jaro
-    same = 0
-    while same < min(4, n, m) and a[same] == b[same]:
-        same += 1
-    return jaro + 0.1 * same * (1 - jaro)
+#: Pairs compared at once, and the widths of the letter tables they are put into.
+BATCH, WIDTHS = 4096, (8, 16, 24, 32, 64)
+
+
+def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaro-Winkler of two arrays of non-empty strings, as tables of letters: letter by letter of all ``a`` at once, the
+    first free equal letter of ``b`` within reach is taken."""
+    n = len(a)
+    left, right = a.view(np.uint32).reshape(n, -1), b.view(np.uint32).reshape(n, -1)
+    la, lb = np.char.str_len(a), np.char.str_len(b)
+    reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    at = np.arange(right.shape[1])
+    free = at < lb[:, None]
+    hit = np.zeros(left.shape, bool)
+    rows = np.arange(n)
+    for i in range(left.shape[1]):
+        low, high = max(0, i - int(reach.max())), i + int(reach.max()) + 1
+        can = (right[:, low:high] == left[:, i : i + 1]) & free[:, low:high] & (np.abs(at[low:high] - i) <= reach[:, None])
+        if not can.shape[1]:
+            break
+        can &= (i < la)[:, None]
+        first = can.argmax(1)
+        hit[:, i] = can[rows, first]
+        free[rows[hit[:, i]], low + first[hit[:, i]]] = False
+    taken = ~free & (at < lb[:, None])
+    k = hit.sum(1)
+    swapped = np.zeros(n, np.int64)
+    # the letters that met, in either's order: a row has as many on both sides
+    of = np.repeat(rows, k)
+    np.add.at(swapped, of[left[hit] != right[taken]], 1)
+    met = np.maximum(k, 1)
+    jaro = np.where(k > 0, (k / la + k / lb + (k - swapped // 2) / met) / 3, 0.0)
+    width = min(4, left.shape[1], right.shape[1])
+    same = np.cumprod((left[:, :width] == right[:, :width]) & (left[:, :width] != 0), axis=1).sum(1)
+    return np.where(jaro > 0.7, jaro + 0.1 * same * (1 - jaro), jaro)
+
+
+def jaro_winkler_array(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaro-Winkler of two arrays of strings: 0 where one is empty. Pairs are compared with those of like length."""
+    out = np.zeros(len(a))
+    la, lb = np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b))
+    longest = np.maximum(la, lb)
+    bounds = [*WIDTHS, *sorted({1 << int(x - 1).bit_length() for x in longest[longest > WIDTHS[-1]].tolist()})]
+    before = 0
+    for width in bounds:
+        todo = np.flatnonzero((longest > before) & (longest <= width) & (la > 0) & (lb > 0))
+        step = max(1, BATCH * WIDTHS[0] // width)
+        for i in range(0, len(todo), step):
+            part = todo[i : i + step]
+            out[part] = _scores(np.array(a[part], dtype=str), np.array(b[part], dtype=str))
+        before = width
+    return out
 
 
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
+    out = np.full(len(a), np.nan)
+    known = (a.notna() & b.notna()).to_numpy()
+    out[known] = jaro_winkler_array(a.to_numpy(dtype=object)[known], b.to_numpy(dtype=object)[known])
+    return pd.Series(out).astype("Float64").where(known, None)
 
 
 def is_atm(c: Column) -> Column:
@@ -64,18 +93,14 @@ def possible(a: Column, b: Column, least: float) -> Column:
 
 def with_similarity(pairs: DataFrame, a: str, b: str, out: str = "sim", least: float | None = None) -> DataFrame:
     """``pairs`` with name_sim of two normalized-name columns. With ``least``, pairs whose lengths rule it out get 0
-    instead of their low score. Undecided name pairs are made distinct, scored once each, and joined back."""
-    known = decided(F.col(a), F.col(b))
-    df = pairs.withColumn("_known", known)
+    instead of their low score. Only undecided pairs carry their names to the Python function; nothing is read twice."""
     x, y = squeezed(F.col(a)), squeezed(F.col(b))
     ask = F.col("_known").isNull() & F.col(a).isNotNull() & F.col(b).isNotNull()
     if least is not None:
         ask = ask & possible(x, y, least)
-    todo = df.where(ask).select(x.alias("_x"), y.alias("_y")).distinct()
-    scored = todo.withColumn("_jw", jaro_winkler("_x", "_y"))
-    df = df.withColumns({"_kx": F.when(ask, x), "_ky": F.when(ask, y)})
-    df = df.join(scored, (F.col("_kx") == F.col("_x")) & (F.col("_ky") == F.col("_y")), "left")
-    return df.withColumn(out, F.coalesce("_known", F.when(F.col("_jw").isNotNull(), F.least("_jw", F.lit(0.99e0))), F.lit(0e0))).drop("_known", "_kx", "_ky", "_x", "_y", "_jw")
+    df = pairs.withColumn("_known", decided(F.col(a), F.col(b))).withColumns({"_kx": F.when(ask, x), "_ky": F.when(ask, y)})
+    df = df.withColumn("_jw", jaro_winkler("_kx", "_ky"))
+    return df.withColumn(out, F.coalesce("_known", F.least("_jw", F.when(F.col("_jw").isNotNull(), F.lit(0.99e0))), F.lit(0e0))).drop("_known", "_kx", "_ky", "_jw")
 
 
 def passes(sim: Column) -> Column:

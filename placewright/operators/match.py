@@ -1,8 +1,8 @@
-"""Entity matching by grid cell, house number and name.
+"""Entity matching by position, house number and name.
 
-The three rules exclude each other on house numbers, so that each is an equality join of its own: ``number`` on (cell,
-house number), ``near`` on the cell where a number is missing, ``spot`` on (cell, name). The copied side is the one with
-the nine neighbour cells; AQE splits cells that hold too many rows."""
+The three rules exclude each other on house numbers, so that each is an equality join of its own on the grid's leaves
+(``grid``): ``number`` by house number, ``near`` where a number is missing, ``spot`` by name. The smaller side is copied to
+the leaves that the rule's reach touches; crowded cells are split. Pairs within reach are scored as they stream by."""
 
 from __future__ import annotations
 
@@ -11,81 +11,79 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, similarity
+from . import grid
 
 NUMBER_M, NEAR_M, SPOT_M = 250, 60, 30
 RANK = {"number": 1, "near": 2, "spot": 3}
 
 
-#: Cells a side for the near rule, whose reach is short: a row then meets a sixteenth of the others.
-FINE = 4
-
-
-def with_cell(df: DataFrame, fine: int = 1) -> DataFrame:
-    return df.withColumns({"cy": geo.cell_y(F.col("lat") * fine), "cx": geo.cell_x(F.col("lng") * fine)})
-
-
-def to_neighbours(df: DataFrame, fine: int = 1) -> DataFrame:
-    """A copy of every row in its cell and the eight around it."""
-    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    df = with_cell(df, fine).withColumn("_dy", F.explode(step)).withColumn("_dx", F.explode(step))
-    return df.withColumns({"cy": F.col("cy") + F.col("_dy"), "cx": F.col("cx") + F.col("_dx")}).drop("_dy", "_dx")
+def with_cell(df: DataFrame) -> DataFrame:
+    return df.withColumns({"cy": geo.cell_y(F.col("lat")), "cx": geo.cell_x(F.col("lng"))})
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
-    return df.select("cy", "cx", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
+    return df.select(*[F.col(c).alias(f"{name}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
 
 
 def distance() -> Column:
     return geo.dist_m(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng"))
 
 
-def grid_candidates(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(a_id, b_id, dist): every pair in the same or neighbouring cells. For inspection; the rules join more closely."""
-    out = _side(with_cell(a), "a").join(_side(to_neighbours(b), "b"), ["cy", "cx"])
+def larger(a: DataFrame, b: DataFrame) -> str:
+    """'a' or 'b': the side with more rows, which is not to be copied."""
+    return "a" if a.count() >= b.count() else "b"
+
+
+def grid_candidates(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+    """(a_id, b_id, dist): every pair in the same or neighbouring cells. For inspection; the rules join more closely.
+
+    The smaller side is copied to the blocks of four cells that its neighbours lie in: four copies on average, not nine."""
+    lay = lay or larger(a, b)
+    side = lambda df, n: grid.blocks(df.select("id", "lat", "lng"), wide=n != lay).withColumnsRenamed({c: f"{n}_{c}" for c in ("id", "lat", "lng", "cy", "cx")})
+    near = (F.abs(F.col("a_cy") - F.col("b_cy")) <= 1) & (F.abs(F.col("a_cx") - F.col("b_cx")) <= 1)
+    out = side(a, "a").join(side(b, "b"), ["_by", "_bx"]).where(near)
     return out.select("a_id", "b_id", geo.round_to(distance(), 1).alias("dist"))
 
 
-def _scored(pairs: DataFrame, most: float, rule: str) -> DataFrame:
-    pairs = pairs.withColumn("_m", distance()).where(F.col("_m") <= most)
+def _scored(pairs: DataFrame, rule: str) -> DataFrame:
     pairs = similarity.with_similarity(pairs, "a_nn", "b_nn", "sim", least=0.95).where(similarity.passes(F.col("sim")))
     return pairs.select("a_id", "b_id", geo.round_to(F.col("_m"), 1).alias("dist"), geo.round_to(F.col("sim"), 3).alias("sim"), F.lit(rule).alias("rule"))
 
 
-def match_number(a: DataFrame, b: DataFrame) -> DataFrame:
-    left, right = _side(with_cell(a.where("hn is not null")), "a"), _side(to_neighbours(b.where("hn is not null")), "b")
-    on = (left.cy == right.cy) & (left.cx == right.cx) & (left.a_hn == right.b_hn)
-    return _scored(left.join(right, on).drop("cy", "cx"), NUMBER_M, "number")
+def match_number(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+    left, right = _side(a.where("hn is not null"), "a"), _side(b.where("hn is not null"), "b")
+    return _scored(grid.within(left, right, NUMBER_M, ("hn",), lay=lay), "number")
 
 
-def match_near(a: DataFrame, b: DataFrame) -> DataFrame:
-    far, near = to_neighbours(b, FINE), with_cell(a, FINE)
-    one = _side(near.where("hn is null"), "a").join(_side(far, "b"), ["cy", "cx"])
-    two = _side(near.where("hn is not null"), "a").join(_side(far.where("hn is null"), "b"), ["cy", "cx"])
-    return _scored(one.unionByName(two).drop("cy", "cx"), NEAR_M, "near")
+def match_near(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+    one = grid.within(_side(a.where("hn is null"), "a"), _side(b, "b"), NEAR_M, lay=lay)
+    two = grid.within(_side(a.where("hn is not null"), "a"), _side(b.where("hn is null"), "b"), NEAR_M, lay=lay)
+    return _scored(one.unionByName(two), "near")
 
 
-def match_spot(a: DataFrame, b: DataFrame) -> DataFrame:
-    left, right = _side(with_cell(a.where("hn is not null")), "a"), _side(to_neighbours(b.where("hn is not null")), "b")
-    on = (left.cy == right.cy) & (left.cx == right.cx) & (left.a_nn == right.b_nn) & (left.a_hn != right.b_hn)
-    pairs = left.join(right, on).withColumn("_m", distance()).where(F.col("_m") <= SPOT_M)
+def match_spot(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+    left, right = _side(a.where("hn is not null"), "a"), _side(b.where("hn is not null"), "b")
+    pairs = grid.within(left, right, SPOT_M, ("nn",), lay=lay).where("a_hn <> b_hn")
     return pairs.select("a_id", "b_id", geo.round_to(F.col("_m"), 1).alias("dist"), F.lit(1e0).alias("sim"), F.lit("spot").alias("rule"))
 
 
-def match_pairs(a: DataFrame, b: DataFrame, require_name: bool = False) -> DataFrame:
+def match_pairs(a: DataFrame, b: DataFrame, require_name: bool = False, lay: str | None = None) -> DataFrame:
     """(a_id, b_id, dist, sim, rule) of every pair that a rule takes. Sides: id, nn, hn, lat, lng; rows without a name
-    or position match nothing. Empty normalized names match each other unless ``require_name``."""
+    or position match nothing. Empty normalized names match each other unless ``require_name``.
+
+    ``lay`` ('a' or 'b') names the side that is not copied; without it the sides are counted."""
     ready = F.col("nn").isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull()
     ready = ready & (F.col("nn") != "") if require_name else ready
     a, b = a.where(ready), b.where(ready)
-    return match_number(a, b).unionByName(match_near(a, b)).unionByName(match_spot(a, b))
+    lay = lay or larger(a, b)
+    return match_number(a, b, lay).unionByName(match_near(a, b, lay)).unionByName(match_spot(a, b, lay))
 
 
 def self_match(df: DataFrame) -> DataFrame:
     """(a_id, b_id): listings of one table with the same number and normalized name within the number rule's reach."""
     df = df.where(F.col("hn").isNotNull() & F.col("nn").isNotNull())
-    left, right = _side(with_cell(df), "a"), _side(to_neighbours(df), "b")
-    on = (left.cy == right.cy) & (left.cx == right.cx) & (left.a_hn == right.b_hn) & (left.a_nn == right.b_nn) & (left.a_id != right.b_id)
-    return left.join(right, on).where(distance() <= NUMBER_M).select("a_id", "b_id")
+    pairs = grid.within(_side(df, "a"), _side(df, "b"), NUMBER_M, ("hn", "nn"), lay="a")
+    return pairs.where("a_id <> b_id").select("a_id", "b_id")
 
 
 def match_address(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, similarity, text
 from ..sources.store import settled
-from .match import distance, to_neighbours, with_cell
+from . import grid
+from .match import with_cell
 
 # Registers that list storefronts, and the category of what they list.
 STOREFRONTS = {
@@ -32,8 +33,8 @@ def storefront_eligible(register: DataFrame, ev: DataFrame, storefronts: dict[st
 def lookalikes(candidates: DataFrame, places: DataFrame) -> DataFrame:
     """(id): candidates near a listed place that may be the same: within 200 m and similarity 0.9, or within 80 m and
     Jaro-Winkler 0.7 (spaces kept) or the same house number and first word."""
-    side = lambda df, n: df.select("cy", "cx", *[F.col(c).alias(f"{n}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
-    pairs = side(with_cell(candidates), "a").join(side(to_neighbours(places), "b"), ["cy", "cx"]).withColumn("_m", distance()).where("_m <= 200")
+    side = lambda df, n: df.select(*[F.col(c).alias(f"{n}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
+    pairs = grid.within(side(candidates, "a"), side(places, "b"), 200)
     pairs = settled(similarity.with_similarity(pairs, "a_nn", "b_nn", "sim", least=0.9), "lookalike-pairs")  # read three times
     first = lambda c: F.split_part(F.col(c), F.lit(" "), F.lit(1))
     door = (F.col("a_hn") == F.col("b_hn")) & (first("a_nn") == first("b_nn"))

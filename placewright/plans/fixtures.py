@@ -60,7 +60,12 @@ fx_snap as (  -- two snapshots: half = 'prev' / 'cur'; ids dropped from one side
   from (select user_id as id, event_type, half,
                row_number() over (partition by user_id, half order by ts desc, event_id desc) as rn
         from (select *, case when cast(ts as date) < date '2024-01-16' then 'prev' else 'cur' end as half from {events}) e) r
-  where rn = 1 and not (half = 'prev' and id % 17 = 0) and not (half = 'cur' and id % 13 = 0))
+  where rn = 1 and not (half = 'prev' and id % 17 = 0) and not (half = 'cur' and id % 13 = 0)),
+fx_outline as (  -- a state of as many vertices as parts: a mainland with a lake, an island, and an islet in the lake
+  select ring, i, floor((mx + r * cos(t)) * 1e7 + 5e-1) / 1e7 as x, floor((my + r * sin(t)) * 1e7 + 5e-1) / 1e7 as y
+  from (select n % 4 as ring, cast(floor(n / 4e0) as int) as i, t, case n % 4 when 2 then -7693e-2 when 0 then -77e0 else -7701e-2 end as mx, case n % 4 when 2 then 3898e-2 when 0 then 389e-1 else 3891e-2 end as my,
+               case n % 4 when 0 then 7e-2 * (1e0 + 15e-2 * sin(5e0 * t)) when 1 then 2e-2 when 2 then 15e-3 else 8e-3 end as r
+        from (select n, 2e0 * pi() * floor(n / 4e0) / (floor((select count(*) from fx_b) / 4e0) + 1e0) as t from fx_b)))
 """
 
 

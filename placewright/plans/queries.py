@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import categories, geo, similarity, text
-from ..operators import canon, evidence, match, mint, monitor, publish, registers, report, score
+from ..functions import categories, geo, shapes, similarity, text
+from ..operators import canon, evidence, match, mint, monitor, outline, publish, registers, report, score
 from ..sources import scan
-from ..sources.store import shared_folder
+from ..sources.store import settled, shared_folder
 from . import build, fixtures
 from . import sqltext as Q
 
@@ -167,24 +167,81 @@ def _(d: Data):
 # --- positions ---------------------------------------------------------------------------------------------------
 expr("geo_01_dist_m", "fx_base", lambda: {"id": c("id"), "m": geo.round_to(geo.dist_m(c("lat"), c("lng"), F.lit(38.9), F.lit(-77.0)), 1)}, {"id": "id", "m": Q.rnd("111320e0 * sqrt(pow(lat - 389e-1, 2) + pow((lng + 77e0) * cos(radians((lat + 389e-1) / 2)), 2))", 1)})
 expr("geo_05_cell_xy", "fx_base", lambda: {"id": c("id"), "cy": geo.cell_y(c("lat")), "cx": geo.cell_x(c("lng"))}, {"id": "id", "cy": "cast(floor(lat / 4e-3) as int)", "cx": "cast(floor(lng / 8e-3) as int)"})
-RING = [(-77.08, 38.82), (-76.95, 38.85), (-76.93, 38.97), (-77.00, 38.91), (-77.06, 38.98)]
-
-
-def ring_of(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("DC", [(x, y) for x, y in RING])], "state string, ring array<struct<x:double,y:double>>")
-
-
-_RING = lambda: F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in RING])
-_EDGES = [(*RING[i], *RING[(i + 1) % len(RING)]) for i in range(len(RING))]
-_e = lambda v: f"({v!r}e0)"
-_IN = " + ".join(f"(case when ({_e(y1)} > lat) <> ({_e(y2)} > lat) and lng < {_e(x1)} + (lat - {_e(y1)}) / ({_e(y2)} - {_e(y1)}) * ({_e(x2)} - {_e(x1)}) then 1 else 0 end)" for x1, y1, x2, y2 in _EDGES)
-_T = lambda x1, y1, x2, y2: f"greatest(0e0, least(1e0, ((lng - {_e(x1)}) * ({_e(x2)} - {_e(x1)}) + (lat - {_e(y1)}) * ({_e(y2)} - {_e(y1)})) / (pow({_e(x2)} - {_e(x1)}, 2) + pow({_e(y2)} - {_e(y1)}, 2))))"
-_TO = ", ".join(f"sqrt(pow(lng - {_e(x1)} - {_T(x1, y1, x2, y2)} * ({_e(x2)} - {_e(x1)}), 2) + pow(lat - {_e(y1)} - {_T(x1, y1, x2, y2)} * ({_e(y2)} - {_e(y1)}), 2))" for x1, y1, x2, y2 in _EDGES)
-expr("geo_02_point_in_polygon", "fx_base", lambda: {"id": c("id"), "inside": geo.point_in_ring(c("lng"), c("lat"), _RING())}, {"id": "id", "inside": f"({_IN}) % 2 = 1"})
-expr("geo_03_within_degrees", "fx_base", lambda: {"id": c("id"), "far": geo.round_to(geo.degrees_to_ring(c("lng"), c("lat"), _RING()), 6), "near": geo.degrees_to_ring(c("lng"), c("lat"), _RING()) <= 0.05}, {"id": "id", "far": Q.rnd(f"least({_TO})", 6), "near": f"least({_TO}) <= 5e-2"})
-_SQUARE = lambda: F.array(*[F.struct((c("lng") + dx).alias("x"), (c("lat") + dy).alias("y")) for dx, dy in ((0.0, 0.0), (0.02, 0.0), (0.02, 0.01), (0.0, 0.01))])
-_MIDDLE = lambda part: geo.round_to(geo.ring_centroid(_SQUARE())[part], 6)
-expr("geo_04_centroid", "fx_base", lambda: {"id": c("id"), "x": _MIDDLE("x"), "y": _MIDDLE("y")}, {"id": "id", "x": Q.rnd("lng + 1e-2", 6), "y": Q.rnd("lat + 5e-3", 6)})
+# Outlines: the state DC with an island, a lake and an islet, and a plain neighbour that no query asks for.
+_OUTLINE = "outline as (select x as x1, y as y1, coalesce(lead(x) over w, first_value(x) over w) as x2, coalesce(lead(y) over w, first_value(y) over w) as y2 from fx_outline window w as (partition by ring order by i))"
+_T = "greatest(0e0, least(1e0, ((lng - x1) * (x2 - x1) + (lat - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2))))"
+_MET = f"""met as (select id, count(*) filter (where (y1 > lat) <> (y2 > lat) and lng < x1 + (lat - y1) / (y2 - y1) * (x2 - x1)) % 2 = 1 as inside,
+  min(sqrt(pow(lng - x1 - {_T} * (x2 - x1), 2) + pow(lat - y1 - {_T} * (y2 - y1), 2))) as far from fx_base cross join outline group by id)"""
+
+
+def outlines_of(d: Data) -> DataFrame:
+    """(state, geometry): GeoJSON, made of the points of fx_outline."""
+    ring = d.view("select * from fx_outline").groupBy("ring").agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("p"))
+    ring = ring.select("ring", F.transform("p", lambda p: F.array(p["x"], p["y"])).alias("p")).groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("ring", "p"))), lambda r: r["p"]).alias("r"))
+    r = lambda i: c("r")[i]
+    state = ring.select(F.lit("DC").alias("state"), F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(r(0), r(1)), F.array(r(2)), F.array(r(3))).alias("coordinates"))).alias("geometry"))
+    other = d.spark.createDataFrame([("VA", '{"type":"Polygon","coordinates":[[[-77.2,38.7],[-76.8,38.7],[-76.8,39.1],[-77.2,38.7]]]}')], state.schema)
+    return state.unionByName(other)
+
+
+def _sides(d: Data) -> DataFrame:
+    return settled(outline.edges(outlines_of(d)), "edges")
+
+
+q("geo_02_point_in_polygon", Q.query("select id, inside from met", _OUTLINE, _MET))(lambda d: outline.with_inside(d.view("select id, lat, lng from fx_base"), _sides(d), "DC").select("id", "inside"))
+q("geo_03_within_degrees", Q.query(f"select id, case when far <= 5e-2 then {Q.rnd('far', 6)} end as far, far <= 5e-2 as near from met", _OUTLINE, _MET))(
+    lambda d: outline.with_degrees(d.view("select id, lat, lng from fx_base"), _sides(d), "DC", 0.05).select("id", geo.round_to(c("degrees"), 6).alias("far"), c("degrees").isNotNull().alias("near")))
+# One geometry of each kind, as offsets from a position; the last has a point beside its area.
+SHAPES = {
+    "Point": (1e-3, 2e-3),
+    "MultiPoint": [(0.0, 0.0), (2e-3, 1e-3), (4e-3, 5e-3)],
+    "LineString": [(0.0, 0.0), (1e-2, 0.0), (1e-2, 2e-2)],
+    "MultiLineString": [[(0.0, 0.0), (5e-3, 0.0)], [(0.0, 2e-3), (0.0, 9e-3), (3e-3, 9e-3)]],
+    "Polygon": [[(0.0, 0.0), (2e-2, 0.0), (2e-2, 1e-2), (0.0, 1e-2), (0.0, 0.0)], [(1e-3, 1e-3), (1e-3, 5e-3), (6e-3, 5e-3), (6e-3, 1e-3), (1e-3, 1e-3)]],
+    "MultiPolygon": [[[(0.0, 0.0), (1e-2, 0.0), (5e-3, 8e-3), (0.0, 0.0)]], [[(2e-2, 0.0), (2e-2, 6e-3), (3e-2, 6e-3), (3e-2, 0.0), (2e-2, 0.0)], [(2.2e-2, 1e-3), (2.6e-2, 1e-3), (2.6e-2, 3e-3), (2.2e-2, 1e-3)]]],
+}
+KINDS = [*SHAPES, "GeometryCollection"]
+
+
+def _geometry(kind: Column, x: Column, y: Column) -> Column:
+    """GeoJSON of the shape of number ``kind`` at a position."""
+    nest = lambda v: F.array(x + v[0], y + v[1]) if isinstance(v, tuple) else F.array(*[nest(e) for e in v])
+    text_of = {k: F.to_json(F.struct(F.lit(k).alias("type"), nest(v).alias("coordinates"))) for k, v in SHAPES.items()}
+    text_of["GeometryCollection"] = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), text_of["Point"], F.lit(","), text_of["Polygon"], F.lit("]}"))
+    return F.coalesce(*[F.when(kind == i, text_of[k]) for i, k in enumerate(KINDS)])
+
+
+def _middles_sql() -> str:
+    """(kind, cx, cy): each shape's centroid, from its vertices: areas by the shoelace formula, lines by length, points by mean."""
+    rows = []
+
+    def walk(kind: int, v, dim: int, path: tuple) -> None:
+        if isinstance(v, tuple):
+            rows.append((kind, dim, *(path[:-1] + (0, 0, 0))[:2], path[-1] if path else 0, v))
+        else:
+            for i, e in enumerate(v):
+                walk(kind, e, dim, (*path, i))
+
+    for k, (name, v) in enumerate(SHAPES.items()):
+        walk(k, [v] if name == "Polygon" else v, 0 if "Point" in name else 1 if "Line" in name else 2, ())
+    walk(len(SHAPES), [SHAPES["Polygon"]], 2, ())
+    values = ", ".join(f"({k}, {d}, {p}, {r}, {i}, {v[0]!r}::double, {v[1]!r}::double)" for k, d, p, r, i, v in rows)
+    return f"""middles as (select kind, case dim when 2 then sum(hole * area * mx) / sum(hole * area) when 1 then sum(len * mx) / sum(len) else avg(x) end as cx, case dim when 2 then sum(hole * area * my) / sum(hole * area) when 1 then sum(len * my) / sum(len) else avg(y) end as cy
+      from (select kind, dim, ring, part, case when dim = 2 and ring > 0 then -1 else 1 end as hole, abs(sum(w) / 2) as area, any_value(x) as x, any_value(y) as y, case dim when 2 then sum((x + x2) * w) / (3 * sum(w)) else sum((x + x2) / 2 * seg) / nullif(sum(seg), 0) end as mx,
+              case dim when 2 then sum((y + y2) * w) / (3 * sum(w)) else sum((y + y2) / 2 * seg) / nullif(sum(seg), 0) end as my, sum(seg) as len
+            from (select *, x * y2 - x2 * y as w, sqrt(pow(x - x2, 2) + pow(y - y2, 2)) as seg
+                  from (select *, lead(x) over v as x2, lead(y) over v as y2 from (values {values}) s(kind, dim, part, ring, i, x, y) window v as (partition by kind, part, ring order by i)))
+            group by kind, dim, part, ring, case when dim = 0 then i end) group by kind, dim)"""
+
+
+_AT_SQL = f"select id, {Q.rnd('lng + cx', 6)} as x, {Q.rnd('lat + cy', 6)} as y from fx_base join middles on kind = cast(substr(id, 2) as int) % {len(KINDS)}"
+
+
+@q("geo_04_centroid", Q.query(_AT_SQL, _middles_sql()))
+def _(d: Data):
+    kind = F.substring("id", 2, 20).cast("int") % len(KINDS)
+    rows = shapes.with_centroid(d.view("select id, lat, lng from fx_base").select("id", _geometry(kind, c("lng"), c("lat")).alias("geometry")), x="x", y="y")
+    return rows.select("id", geo.round_to(c("x"), 6).alias("x"), geo.round_to(c("y"), 6).alias("y"))
 
 
 def _lambert_sql() -> str:
@@ -429,7 +486,7 @@ q("sort_03_hilbert_order", Q.query(f"select id, curve from ({_hilbert_sql()})"))
 
 # --- filters -----------------------------------------------------------------------------------------------------
 q("flt_01_clip_box", Q.query("select id, lat, lng from fx_base where lat between 3885e-2 and 3895e-2 and lng between -7705e-2 and -7695e-2"))(lambda d: d.view("select id, lat, lng from fx_base").where(geo.in_box(c("lat"), c("lng"), _BOX)))
-q("flt_02_clip_outline", Q.query(f"select id from fx_base where ({_IN}) % 2 = 1 or (coalesce(region = 'DC', false) and least({_TO}) <= 5e-2)"))(lambda d: scan.clip_outline(d.base(), ring_of(d.spark), "DC").select("id"))
+q("flt_02_clip_outline", Q.query("select id from fx_base join met using (id) where inside or (coalesce(region = 'DC', false) and far <= 5e-2)", _OUTLINE, _MET))(lambda d: outline.clip(d.base(), outlines_of(d), "DC").select("id"))
 q("flt_03_drop_non_places", Q.query("select id, category from fx_base where coalesce(category, '') not in ('STANDARD', 'PROMO')"))(lambda d: scan.drop_non_places(d.view("select id, category from fx_base"), ("STANDARD", "PROMO")))
 q("flt_09_select_replace", Q.query("select * exclude (fsq_id, lat, lng) replace (upper(name) as name) from fx_base"))(lambda d: d.view("select * from fx_base").withColumn("name", F.upper("name")).drop("fsq_id", "lat", "lng"))
 q("flt_10_trade_filters", "select p_partkey from part where regexp_matches(lower(p_name), 'red|blue|old') and not regexp_matches(lower(p_name), 'green') and p_type like 'S%' and not starts_with(p_type, 'SMALL')")(
@@ -607,12 +664,19 @@ q("src_04_classify_tags", _TAG_SQL)(lambda d: scan.classify_tags(_tagged(d)).sel
 q("src_05_project_tags", "select p_partkey as osm_id, cast(p_partkey as varchar) as housenumber, case when p_partkey % 4 = 0 then '2' when p_partkey % 2 = 0 then '1' end as phone, '2001-01-01' as check_date from part")(lambda d: scan.project_tags(_tagged(d)).select("osm_id", "housenumber", "phone", "check_date"))
 
 
-@q("src_06_scan_ndjson_features", "select osm_id, edited, name from (select cast(p_partkey % 500 as varchar) as osm_id, cast(to_timestamp(p_size * 86400 * 100) as date) as edited, p_name as name, p_size, p_brand from part) qualify row_number() over (partition by osm_id order by p_size desc, name, p_brand) = 1")
+_PLACED = "cast(-7705e-2 as double) + (p_partkey % 100) * 1e-3 as x0, cast(3885e-2 as double) + (p_partkey % 97) * 2e-3 as y0"
+
+
+@q("src_06_scan_ndjson_features", Q.query(f"""select osm_id, edited, name, {Q.rnd('x', 6)} as lng, {Q.rnd('y', 6)} as lat
+  from (select cast(p_partkey % 500 as varchar) as osm_id, cast(to_timestamp(p_size * 86400 * 100) as date) as edited, p_name as name, p_size, p_brand, x0 + cx as x, y0 + cy as y from (select *, {_PLACED} from part) join middles on kind = p_partkey % {len(KINDS)})
+  where x between -771e-1 and -769e-1 and y between 388e-1 and 390e-1 qualify row_number() over (partition by osm_id order by p_size desc, name, p_brand) = 1""", _middles_sql()))
 def _(d: Data):
     path = d.folder()
-    ring = F.array(F.struct(F.lit(-77.0).alias("x"), F.lit(38.9).alias("y")))
-    d.table("part").select((c("p_partkey") % 500).cast("string").alias("osm_id"), (c("p_size").cast("long") * 8_640_000).alias("edited"), c("p_name").alias("name"), c("p_brand").alias("category"), ring.alias("ring")).write.json(path)
-    return scan.scan_features(d.spark, path, fixtures.BOX).select("osm_id", "edited", "name")
+    rows = d.table("part").withColumns({"x0": F.lit(-77.05) + (c("p_partkey") % 100) * 1e-3, "y0": F.lit(38.85) + (c("p_partkey") % 97) * 2e-3})
+    line = F.concat(F.lit('{"osm_id":"'), (c("p_partkey") % 500).cast("string"), F.lit('","edited":'), (c("p_size").cast("long") * 8_640_000).cast("string"), F.lit(',"name":"'), c("p_name"), F.lit('","category":"'), c("p_brand"), F.lit('","geometry":'), _geometry(c("p_partkey") % len(KINDS), c("x0"), c("y0")), F.lit("}"))
+    rows.select(line.alias("value")).write.text(path)
+    found = scan.scan_features(d.spark, path, fixtures.BOX)
+    return found.select("osm_id", "edited", "name", geo.round_to(c("lng"), 6).alias("lng"), geo.round_to(c("lat"), 6).alias("lat"))
 
 
 q("win_02_newest_edit", "select cast(p_partkey % 500 as varchar) as osm_id, p_size as edited, p_name as name from part qualify row_number() over (partition by p_partkey % 500 order by p_size desc, p_name, p_brand) = 1")(

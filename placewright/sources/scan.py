@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import geo, text
+from ..functions import geo, shapes, text
 from ..operators.evidence import EVIDENCE
 
 # Fixed values of the map features' tags.
@@ -82,7 +82,7 @@ def project_tags(df: DataFrame, tags: str = "tags") -> DataFrame:
     return df.withColumns(cols)
 
 
-FEATURES = "osm_id string, edited long, name string, category string, lifecycle string, ring array<struct<x:double,y:double>>"
+FEATURES = "osm_id string, edited long, name string, category string, lifecycle string, geometry string"
 
 
 def newest_edit(df: DataFrame) -> DataFrame:
@@ -91,10 +91,10 @@ def newest_edit(df: DataFrame) -> DataFrame:
 
 
 def scan_features(spark: SparkSession, path: str, box: tuple[float, float, float, float] | None = None, schema: str = FEATURES) -> DataFrame:
-    """Line-JSON features with declared columns: epoch seconds to a date, a centroid, the box, the newest edit an id."""
+    """Line-JSON features with declared columns, ``geometry`` as GeoJSON: epoch seconds to a date, the geometry's centroid
+    as lng and lat, the box, the newest edit an id. Features whose geometry cannot be read have no position; a box drops them."""
     df = spark.read.schema(schema).json(path)
-    c = geo.ring_centroid(F.col("ring"))
-    df = df.withColumns({"lng": F.when(F.size("ring") == 1, F.col("ring")[0]["x"]).otherwise(c["x"]), "lat": F.when(F.size("ring") == 1, F.col("ring")[0]["y"]).otherwise(c["y"])}).drop("ring")
+    df = shapes.with_centroid(df).drop("geometry")
     df = df if box is None else df.where(geo.in_box(F.col("lat"), F.col("lng"), box))
     return newest_edit(df).withColumn("edited", F.to_date(F.timestamp_seconds("edited")))
 
@@ -217,15 +217,3 @@ def establishments(est: DataFrame, units: DataFrame) -> DataFrame:
 
 def drop_non_places(df: DataFrame, deny: tuple[str, ...], category: str = "category") -> DataFrame:
     return df.where(~F.coalesce(F.col(category), F.lit("")).isin(*deny))
-
-
-def clip_outline(df: DataFrame, rings: DataFrame, state: str, near: float = 0.05) -> DataFrame:
-    """Rows inside the state's outline, or that name the state and lie within ``near`` degrees of it. The outline is one
-    row of ``rings`` (state, ring); a box around it is compared first."""
-    ring = rings.where(F.col("state") == state).select(F.col("ring").alias("_ring"))
-    edge = lambda f, c: f(F.transform("_ring", lambda p: p[c]))
-    ring = ring.withColumns({"_w": edge(F.array_min, "x") - near, "_e": edge(F.array_max, "x") + near, "_s": edge(F.array_min, "y") - near, "_n": edge(F.array_max, "y") + near})
-    out = df.join(F.broadcast(ring), F.col("lng").between(F.col("_w"), F.col("_e")) & F.col("lat").between(F.col("_s"), F.col("_n")))
-    inside = geo.point_in_ring(F.col("lng"), F.col("lat"), F.col("_ring"))
-    close = F.coalesce(F.col("region") == state, F.lit(False)) & (geo.degrees_to_ring(F.col("lng"), F.col("lat"), F.col("_ring")) <= near)
-    return out.where(inside | close).drop("_ring", "_w", "_e", "_s", "_n")

@@ -1,8 +1,11 @@
 """The place domain against golden cases of our own and against DuckDB on the test tables."""
 
+import random
 from datetime import date
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,21 +44,25 @@ def test_full_date(spark, value, want):
 
 @pytest.mark.parametrize("a,b,want", [("martha", "marhta", 0.961111), ("dixon", "dicksonx", 0.813333), ("", "a", 0.0), ("a", "a", 1.0), ("abc", "xyz", 0.0)])
 def test_jaro_winkler(a, b, want):
-    assert round(similarity._jaro_winkler(a, b), 6) == want
+    assert round(float(similarity.jaro_winkler_array(np.array([a, "x"], object), np.array([b, "y"], object))[0]), 6) == want
 
 
 def test_jaro_winkler_equals_duckdb_and_the_length_filter_loses_nothing():
-    import random
-
     rng = random.Random(7)
-    words = ["".join(rng.choice("abcde ") for _ in range(rng.randint(1, 14))) for _ in range(60)]
-    con = duckdb.connect()
-    for a in words:
-        for b in words:
-            got = similarity._jaro_winkler(a, b)
-            assert abs(got - con.execute("select jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0]) < 1e-9
-            if got >= 0.95:
-                assert min(len(a), len(b)) >= 0.75 * max(len(a), len(b)) - 1e-9
+    words = ["".join(rng.choice("abcde ") for _ in range(rng.choice([*range(1, 15), 40, 70]))) for _ in range(80)]
+    words += [w[:-1] + "x" for w in words] + [w[1:] for w in words if len(w) > 1] + [w + w[:3] for w in words]
+    pairs = pd.DataFrame([(a, b) for a in words for b in words], columns=["a", "b"])
+    got = similarity.jaro_winkler_array(pairs.a.to_numpy(object), pairs.b.to_numpy(object))
+    want = duckdb.sql("select jaro_winkler_similarity(a, b) as s from pairs").df().s.to_numpy()
+    assert np.abs(got - want).max() < 1e-9
+    short, long_ = np.minimum(pairs.a.str.len(), pairs.b.str.len()), np.maximum(pairs.a.str.len(), pairs.b.str.len())
+    assert (short[got >= 0.95] >= 0.75 * long_[got >= 0.95] - 1e-9).all()
+
+
+def test_jaro_winkler_of_letters_and_nulls(spark):
+    rows = [("é", "é"), ("größe", "grösse"), (None, "a"), ("a", None), ("", ""), ("a" * 3000, "a" * 2999 + "b")]
+    got = [r.s for r in spark.createDataFrame(rows, "a string, b string").select(similarity.jaro_winkler("a", "b").alias("s")).collect()]
+    assert got[0] == 1.0 and 0.8 < got[1] < 1.0 and got[2] is None and got[3] is None and got[4] == 0.0 and got[5] > 0.99
 
 
 def side(spark, rows):
