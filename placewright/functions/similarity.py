@@ -66,7 +66,11 @@ def jaro_winkler_array(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     out = np.full(len(a), np.nan)
     known = (a.notna() & b.notna()).to_numpy()
-    out[known] = jaro_winkler_array(a.to_numpy(dtype=object)[known], b.to_numpy(dtype=object)[known])
+    if known.any():  # a batch has many rows of the same two names: they are neighbours in a join's output
+        x, y = a[known], b[known]
+        (ix, ux), (iy, uy) = pd.factorize(x), pd.factorize(y)
+        _, first, back = np.unique(ix.astype(np.int64) * len(uy) + iy, return_index=True, return_inverse=True)
+        out[known] = jaro_winkler_array(x.to_numpy(dtype=object)[first], y.to_numpy(dtype=object)[first])[back]
     return pd.Series(out).astype("Float64").where(known, None)
 
 
@@ -91,6 +95,45 @@ def possible(a: Column, b: Column, least: float) -> Column:
     return F.least(x, y) >= F.lit(ratio) * F.greatest(x, y)
 
 
+#: The letters of normalized names; each has a bit for its first occurrence, and the first 26 one for another.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def letters(c: Column) -> Column:
+    """The letters of a normalized name as a set of bits, for ``reaches``; null for null."""
+    one = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at)
+
+    def add(s: Column, ch: Column) -> Column:
+        at = F.call_function("locate", ch, F.lit(LETTERS))
+        again = (at <= 26) & (s.bitwiseAND(one(at - 1)) != 0)
+        return F.when(at == 0, s).otherwise(s.bitwiseOR(one(F.when(again, at + len(LETTERS) - 1).otherwise(at - 1))))
+
+    return F.aggregate(F.filter(F.split(squeezed(c), ""), lambda x: x != ""), F.lit(0).cast("long"), add)
+
+
+def traits(name: Column, prefix: str) -> list[Column]:
+    """What the name test asks of one name alone, to be computed once a row before names meet: its letters, its length
+    without spaces, whether it is a cash machine."""
+    return [letters(name).alias(f"{prefix}_bits"), F.length(squeezed(name)).alias(f"{prefix}_size"), is_atm(name).alias(f"{prefix}_atm")]
+
+
+def _leads(x: Column, y: Column) -> Column:
+    return F.startswith(y, x) & (F.length(x) >= 4) & (F.substring(y, F.length(x) + 1, F.lit(1)) == " ")
+
+
+def hopeful(a: str = "a", b: str = "b", least: float = 0.95) -> Column:
+    """Whether the names {a}_nn and {b}_nn may pass the name test, by their ``traits``: they are equal, one leads the other,
+    or Jaro-Winkler can reach ``least``. A letter that the other name lacks has no match: JW >= w needs J >= (w - .4) / .6,
+    and J <= (m / one length + m / the other + 1) / 3 with m matches."""
+    col = lambda s, c: F.col(f"{s}_{c}")
+    lack = lambda p, q: F.bit_count(col(p, "bits").bitwiseAND(F.bitwise_not(col(q, "bits"))))
+    n, m = col(a, "size"), col(b, "size")
+    met = F.least(n - lack(a, b), m - lack(b, a))
+    near = met * (n + m) >= (3 * (least - 0.4) / 0.6 - 1 - 1e-9) * n * m
+    x, y = col(a, "nn"), col(b, "nn")
+    return (x == y) | ((col(a, "atm") == col(b, "atm")) & (near | _leads(x, y) | _leads(y, x)))
+
+
 def with_similarity(pairs: DataFrame, a: str, b: str, out: str = "sim", least: float | None = None) -> DataFrame:
     """``pairs`` with name_sim of two normalized-name columns. With ``least``, pairs whose lengths rule it out get 0
     instead of their low score. Only undecided pairs carry their names to the Python function; nothing is read twice."""
@@ -103,6 +146,11 @@ def with_similarity(pairs: DataFrame, a: str, b: str, out: str = "sim", least: f
     return df.withColumn(out, F.coalesce("_known", F.least("_jw", F.when(F.col("_jw").isNotNull(), F.lit(0.99e0))), F.lit(0e0))).drop("_known", "_kx", "_ky", "_jw")
 
 
+def passing(pairs: DataFrame, a: str = "a", b: str = "b", out: str = "sim") -> DataFrame:
+    """The ``pairs`` ({a}_nn and {b}_nn, with their ``traits``) that pass the name test, with ``out``."""
+    return with_similarity(pairs.where(hopeful(a, b)), f"{a}_nn", f"{b}_nn", out, 0.95).where(passes(F.col(out)))
+
+
 def passes(sim: Column) -> Column:
     """The name test: identical, leading words, or a spelling variant."""
     return (sim == 1.0) | (sim == 0.9) | (sim >= 0.95)

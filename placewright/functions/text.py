@@ -29,24 +29,26 @@ def accent_map() -> tuple[str, str]:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.translate(c, *accent_map())
+    """Base letters; text of ASCII alone, which is most, is not looked up letter by letter."""
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, *accent_map()))
 
 
 def null_if_empty(c: Column) -> Column:
-    return F.when(c != "", c)
+    """``c``, computed once, or null where it is empty."""
+    return F.nullif(c, F.lit(""))
 
 
 def clean_name(c: Column) -> Column:
     """Lower case, no accents, no apostrophes, backticks or full stops, '&' as 'and', the rest single spaces."""
-    c = F.regexp_replace(F.lower(strip_accents(c)), "['’`.]", "")
+    c = F.translate(F.lower(strip_accents(c)), "'’`.", "")
     return F.trim(F.regexp_replace(F.replace(c, F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " "))
 
 
 def norm_name(c: Column) -> Column:
     """clean_name without trailing numbers, legal words and articles; all ways to write credit union become one."""
     clean = clean_name(c)
-    short = F.regexp_replace(F.regexp_replace(clean, "( [0-9]+)+$", ""), rf"\b({CREDIT_UNION})\b", "cu")
-    short = F.trim(F.regexp_replace(F.regexp_replace(short, rf"\b({LEGAL})\b", " "), " +", " "))
+    short = F.regexp_replace(F.regexp_replace(clean, "( [0-9]+)+$", ""), rf"\b(?:{CREDIT_UNION})\b", "cu")
+    short = F.trim(F.regexp_replace(short, rf"(?:(?:^| )(?:{LEGAL})(?![a-z0-9]))+", ""))
     return F.coalesce(null_if_empty(short), clean)
 
 

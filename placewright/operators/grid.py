@@ -118,18 +118,19 @@ def _inside(cells: Column, node: Column) -> Column:
     return F.filter(cells, lambda k: F.floor(k / F.lit(FAN)).cast("long") == node)
 
 
-def within(a: DataFrame, b: DataFrame, metres: float, keys: tuple[str, ...] = (), most: int = LEAF_ROWS, lay: str | None = None) -> DataFrame:
+def within(a: DataFrame, b: DataFrame, metres: float, keys: tuple[str, ...] = (), most: int | None = LEAF_ROWS, lay: str | None = None) -> DataFrame:
     """Pairs of ``a`` (a_lat, a_lng, ...) and ``b`` (b_lat, b_lng, ...) in the same or neighbouring cells and at most
     ``metres`` apart, with ``_m``, the distance; of equal a_k and b_k for each k of ``keys``.
 
     The larger side is laid out and the smaller copied (``lay`` 'a' or 'b' saves the count). Rows without a position meet
-    nothing; a null key meets no row."""
+    nothing; a null key meets no row. ``most`` is a leaf's rows; None leaves out the count of the cells, for a side of which
+    it is known that no cell is crowded."""
     placed = lambda df, s: df.where(F.col(f"{s}_lat").isNotNull() & F.col(f"{s}_lng").isNotNull()).withColumns({"lat": F.col(f"{s}_lat"), "lng": F.col(f"{s}_lng")})
     side = {"a": placed(a, "a"), "b": placed(b, "b")}
     lay = lay or ("a" if side["a"].count() >= side["b"].count() else "b")
     other = "b" if lay == "a" else "a"
     mine, theirs = tuple(f"{lay}_{k}" for k in keys), tuple(f"{other}_{k}" for k in keys)
-    nodes = crowded(side[lay], mine, most)
+    nodes = None if most is None else crowded(side[lay], mine, most)
     small = nodes is None or nodes.limit(SENT + 1).count() <= SENT
     left = laid_out(side[lay], nodes, mine, most, small).drop("lat", "lng")
     renamed = nodes if nodes is None else nodes.withColumnsRenamed(dict(zip(mine, theirs)))

@@ -11,10 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, similarity
+from ..sources.store import settled
 from . import grid
 
 NUMBER_M, NEAR_M, SPOT_M = 250, 60, 30
 RANK = {"number": 1, "near": 2, "spot": 3}
+SIDE = ("id", "nn", "hn", "lat", "lng")
 
 
 def with_cell(df: DataFrame) -> DataFrame:
@@ -22,7 +24,7 @@ def with_cell(df: DataFrame) -> DataFrame:
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{name}_{c}") for c in ("id", "nn", "hn", "lat", "lng")])
+    return df.select(*[F.col(c).alias(f"{name}_{c}") for c in SIDE], *similarity.traits(F.col("nn"), name))
 
 
 def distance() -> Column:
@@ -46,37 +48,41 @@ def grid_candidates(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataF
 
 
 def _scored(pairs: DataFrame, rule: str) -> DataFrame:
-    pairs = similarity.with_similarity(pairs, "a_nn", "b_nn", "sim", least=0.95).where(similarity.passes(F.col("sim")))
+    pairs = similarity.passing(pairs)
     return pairs.select("a_id", "b_id", geo.round_to(F.col("_m"), 1).alias("dist"), geo.round_to(F.col("sim"), 3).alias("sim"), F.lit(rule).alias("rule"))
 
 
-def match_number(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+def match_number(a: DataFrame, b: DataFrame, lay: str | None = None, most: int | None = grid.LEAF_ROWS) -> DataFrame:
     left, right = _side(a.where("hn is not null"), "a"), _side(b.where("hn is not null"), "b")
-    return _scored(grid.within(left, right, NUMBER_M, ("hn",), lay=lay), "number")
+    return _scored(grid.within(left, right, NUMBER_M, ("hn",), most, lay), "number")
 
 
-def match_near(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
-    one = grid.within(_side(a.where("hn is null"), "a"), _side(b, "b"), NEAR_M, lay=lay)
-    two = grid.within(_side(a.where("hn is not null"), "a"), _side(b.where("hn is null"), "b"), NEAR_M, lay=lay)
+def match_near(a: DataFrame, b: DataFrame, lay: str | None = None, most: int | None = grid.LEAF_ROWS) -> DataFrame:
+    one = grid.within(_side(a.where("hn is null"), "a"), _side(b, "b"), NEAR_M, (), most, lay)
+    two = grid.within(_side(a.where("hn is not null"), "a"), _side(b.where("hn is null"), "b"), NEAR_M, (), most, lay)
     return _scored(one.unionByName(two), "near")
 
 
-def match_spot(a: DataFrame, b: DataFrame, lay: str | None = None) -> DataFrame:
+def match_spot(a: DataFrame, b: DataFrame, lay: str | None = None, most: int | None = grid.LEAF_ROWS) -> DataFrame:
     left, right = _side(a.where("hn is not null"), "a"), _side(b.where("hn is not null"), "b")
-    pairs = grid.within(left, right, SPOT_M, ("nn",), lay=lay).where("a_hn <> b_hn")
+    pairs = grid.within(left, right, SPOT_M, ("nn",), most, lay).where("a_hn <> b_hn")
     return pairs.select("a_id", "b_id", geo.round_to(F.col("_m"), 1).alias("dist"), F.lit(1e0).alias("sim"), F.lit("spot").alias("rule"))
 
 
-def match_pairs(a: DataFrame, b: DataFrame, require_name: bool = False, lay: str | None = None) -> DataFrame:
+def match_pairs(a: DataFrame, b: DataFrame, require_name: bool = False, lay: str | None = None, stored: bool = False) -> DataFrame:
     """(a_id, b_id, dist, sim, rule) of every pair that a rule takes. Sides: id, nn, hn, lat, lng; rows without a name
     or position match nothing. Empty normalized names match each other unless ``require_name``.
 
-    ``lay`` ('a' or 'b') names the side that is not copied; without it the sides are counted."""
+    Each rule reads the sides, so that they are written first, with these columns only, unless they are ``stored`` tables
+    already. ``lay`` ('a' or 'b') names the side that is not copied; without it the sides are counted."""
     ready = F.col("nn").isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull()
     ready = ready & (F.col("nn") != "") if require_name else ready
-    a, b = a.where(ready), b.where(ready)
+    a, b = a.where(ready).select(*SIDE), b.where(ready).select(*SIDE)
+    if not stored:
+        a, b = settled(a, "match-places"), settled(b, "match-rows")
     lay = lay or larger(a, b)
-    return match_number(a, b, lay).unionByName(match_near(a, b, lay)).unionByName(match_spot(a, b, lay))
+    most = None if grid.crowded({"a": a, "b": b}[lay]) is None else grid.LEAF_ROWS  # without a crowded cell no rule has one
+    return match_number(a, b, lay, most).unionByName(match_near(a, b, lay, most)).unionByName(match_spot(a, b, lay, most))
 
 
 def self_match(df: DataFrame) -> DataFrame:
@@ -88,10 +94,10 @@ def self_match(df: DataFrame) -> DataFrame:
 
 def match_address(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pairs of equal ZIP, house number and street word whose names pass. Sides: id, nn, hn, zip, sk."""
-    side = lambda df, n: df.select(*[F.col(c).alias(f"{n}_{c}") for c in ("id", "nn", "hn", "zip", "sk")])
+    side = lambda df, n: df.select(*[F.col(c).alias(f"{n}_{c}") for c in ("id", "nn", "hn", "zip", "sk")], *similarity.traits(F.col("nn"), n))
     left, right = side(a, "a"), side(b, "b")
     pairs = left.join(right, (left.a_zip == right.b_zip) & (left.a_hn == right.b_hn) & (left.a_sk == right.b_sk))
-    pairs = similarity.with_similarity(pairs, "a_nn", "b_nn", "sim", least=0.95).where(similarity.passes(F.col("sim")))
+    pairs = similarity.passing(pairs)
     return pairs.select("a_id", "b_id", F.lit(None).cast("double").alias("dist"), geo.round_to(F.col("sim"), 3).alias("sim"), F.lit("address").alias("rule"))
 
 
@@ -110,12 +116,15 @@ def any_number(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("any_number", F.max(F.col("rule") == "number").over(W.partitionBy("b_id")))
 
 
-def attach_evidence(places: DataFrame, register: DataFrame) -> DataFrame:
+def attach_evidence(places: DataFrame, register: DataFrame, stored: bool = False) -> DataFrame:
     """(place_id, source, source_id, state, date, rule, dist, ev_name, ev_address): records attached to places.
 
     Number matches all count; a record without any takes its nearest place; records without position go by address.
-    ``register`` has id, nn, hn, zip, sk beside the evidence columns."""
-    pairs = any_number(match_pairs(places, register.where("lat is not null")))
+    ``register`` has id, nn, hn, zip, sk beside the evidence columns. Both are read by every rule: they are written first,
+    unless they are ``stored`` tables already."""
+    if not stored:
+        places, register = settled(places.select(*SIDE, "zip", "sk"), "evidence-places"), settled(register, "evidence-rows")
+    pairs = any_number(match_pairs(places, register.where("lat is not null"), stored=True))
     w = W.partitionBy("b_id").orderBy(F.desc("sim"), "dist", "a_id")
     near = pairs.withColumn("_r", F.row_number().over(w)).where((F.col("rule") == "number") | (~F.col("any_number") & (F.col("_r") == 1)))
     found = near.select("a_id", "b_id", "rule", "dist").unionByName(match_address(places, register.where("lat is null")).select("a_id", "b_id", "rule", "dist"))

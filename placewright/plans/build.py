@@ -47,6 +47,7 @@ class Layer:
     evidence: DataFrame
     status: DataFrame
     ids: DataFrame
+    register: DataFrame
 
 
 def named(df: DataFrame, number: str = "address") -> DataFrame:
@@ -70,7 +71,7 @@ def core_layer(inputs: Inputs, params: Params) -> Layer:
     ids = settled(canon.canonical_ids(base, settled(match.self_match(base), "duplicates"), params.rounds), "ids")
     kept = settled(canon.merge_duplicates(base, ids, [c for c in BASE_FILL if c in base.columns], params.dataset), "kept")
     chain = settled(named(inputs.chain, "housenumber"), "chain")
-    joined = settled(match.best_match(match.match_pairs(kept, chain)), "chain-matches")
+    joined = settled(match.best_match(match.match_pairs(kept, chain, lay="a", stored=True)), "chain-matches")
     fill = match.fill_row(joined, chain)
     columns = [c for c in CHAIN_FILL if c in kept.columns and c in chain.columns] + ["hn"]
     place = match.gap_fill(kept, fill, columns)
@@ -79,7 +80,7 @@ def core_layer(inputs: Inputs, params: Params) -> Layer:
     own = ids.select("place_id", F.lit("overture").alias("source"), F.col("id").alias("source_id"), F.when(F.col("id") == F.col("place_id"), "self").otherwise("duplicate").alias("rule"), F.lit(0e0).alias("dist"), F.lit(1e0).alias("sim"))
     chain_members = settled(match.members(chain, joined, "atp"), "chain-members")
     register = settled(keyed_register(inputs.register), "register")
-    ev = match.attach_evidence(place, register)
+    ev = match.attach_evidence(place, register, stored=True)
     if inputs.closed is not None:
         ev = ev.unionByName(evidence.id_closures(base, ids, inputs.closed))
     if "collected" in chain.columns:
@@ -90,7 +91,7 @@ def core_layer(inputs: Inputs, params: Params) -> Layer:
     place = place.unionByName(mint.minted_places(new).withColumn("has_dataset", F.lit(False)), allowMissingColumns=True)
     member = own.unionByName(chain_members).unionByName(mint.minted_members(new))
     ev = ev.unionByName(mint.minted_evidence(new))
-    return Layer(place, member, ev, evidence.status_of(ev, params.build, params.recent_days), ids)
+    return Layer(place, member, ev, evidence.status_of(ev, params.build, params.recent_days), ids, register)
 
 
 def full_layer(core: Layer, inputs: Inputs, params: Params) -> Layer:
@@ -101,13 +102,13 @@ def full_layer(core: Layer, inputs: Inputs, params: Params) -> Layer:
     f = inputs.features.withColumn("address", F.when(F.concat_ws(" ", "housenumber", "street") != "", F.concat_ws(" ", "housenumber", "street")))
     f = settled(named(f, "housenumber"), "features")
     core_place = settled(core.place, "core-places")
-    joined = settled(match.best_match(match.match_pairs(core_place, f)), "feature-matches")
+    joined = settled(match.best_match(match.match_pairs(core_place, f, lay="a", stored=True)), "feature-matches")
     member = settled(match.members(f, joined, "osm"), "feature-members")
     fill = match.fill_row(joined, f.where("lifecycle is null"))
     only = settled(addressed(match.unmatched(f, joined)).withColumn("has_dataset", F.lit(False)), "feature-places")
     columns = [c for c in FEATURE_FILL if c in core_place.columns and c in f.columns]
     place = match.gap_fill(core_place, fill, columns).unionByName(only, allowMissingColumns=True).select(*core_place.columns)
-    register = settled(keyed_register(inputs.register), "register")
+    register = core.register
     ev = evidence.lifecycle_closures(member, f).unionByName(evidence.survey_open(member, f))
     if inputs.history is not None:
         ev = ev.unionByName(evidence.history_closures(named(inputs.base), core.ids, inputs.history))
@@ -116,9 +117,9 @@ def full_layer(core: Layer, inputs: Inputs, params: Params) -> Layer:
     if "siret" in f.columns:
         ev = ev.unionByName(evidence.tagged_id_evidence(member, f, register))
     branded = only if "brand" in only.columns else only.withColumn("brand", F.lit(None).cast("string"))
-    ev = ev.unionByName(evidence.independents_only(match.attach_evidence(only, register), branded))
+    ev = ev.unionByName(evidence.independents_only(match.attach_evidence(only, register, stored=True), branded))
     ev = settled(core.evidence.unionByName(ev), "full-evidence")
-    return Layer(place, core.member.unionByName(member), ev, evidence.status_of(ev, params.build, params.recent_days), core.ids)
+    return Layer(place, core.member.unionByName(member), ev, evidence.status_of(ev, params.build, params.recent_days), core.ids, core.register)
 
 
 def flagship(inputs: Inputs, params: Params) -> DataFrame:
