@@ -156,13 +156,9 @@ def passes(sim: Column) -> Column:
     return (sim == 1.0) | (sim == 0.9) | (sim >= 0.95)
 
 
-def name_sim(a: Column, b: Column) -> Column:
-    """The similarity as one expression (Jaro-Winkler for every undecided row): for small tables and look-ups by id."""
-    jw = jaro_winkler(squeezed(a), squeezed(b))
-    return F.coalesce(decided(a, b), F.when(jw > 0.99, 0.99).otherwise(jw))
-
-
-def same_name(a: Column, b: Column) -> Column:
+def with_same_name(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """``df`` with whether two columns name the same; false where one is null. Each name is normalized once a row."""
     from .text import norm_name
 
-    return passes(name_sim(norm_name(a), norm_name(b)))
+    df = df.withColumns({"_an": norm_name(F.col(a)), "_bn": norm_name(F.col(b))})
+    return with_similarity(df, "_an", "_bn", "_same", least=0.95).withColumn(out, passes(F.col("_same"))).drop("_an", "_bn", "_same")

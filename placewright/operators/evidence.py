@@ -65,7 +65,8 @@ def _attached(df: DataFrame, source: str | Column, source_id: str, state: str |
 def id_closures(base: DataFrame, canon: DataFrame, closed: DataFrame, source: str = "fsq_closed") -> DataFrame:
     """Closings by an id that listings carry, while the names still agree."""
     c = closed.where("date_closed is not null").select(F.col("fsq_place_id"), F.col("name").alias("c_name"), F.col("address").alias("c_address"), "date_closed")
-    out = base.select("id", F.col("name").alias("b_name"), "fsq_id").join(c, F.col("fsq_id") == F.col("fsq_place_id")).where(similarity.same_name(F.col("c_name"), F.col("b_name")))
+    out = base.select("id", F.col("name").alias("b_name"), "fsq_id").join(c, F.col("fsq_id") == F.col("fsq_place_id"))
+    out = similarity.with_same_name(out, "c_name", "b_name", "_ok").where("_ok")
     return _attached(out.join(canon, "id"), source, "fsq_place_id", "closed", "date_closed", F.lit("id"), F.lit(0e0), "c_name", "c_address")
 
 
@@ -74,8 +75,8 @@ def history_closures(base: DataFrame, canon: DataFrame, history: DataFrame, sour
     h = history.where(F.col("event").isin(*GONE_EVENTS) & F.col("event_date").isNotNull())
     out = h.join(base.select("id", F.col("name").alias("b_name")), h.overture_id == F.col("id"))
     renamed = (F.col("event") == "substantial_rename") & F.col("osm_name").isNotNull()
-    already = F.when(renamed, F.coalesce(similarity.same_name(F.col("osm_name"), F.col("b_name")), F.lit(False))).otherwise(False)
-    out = out.where(similarity.same_name(F.col("overture_name"), F.col("b_name")) & ~already).join(canon, "id")
+    out = similarity.with_same_name(similarity.with_same_name(out, "overture_name", "b_name", "_ok").where("_ok"), "osm_name", "b_name", "_already")
+    out = out.where(~(renamed & F.col("_already"))).join(canon, "id")
     return _attached(out, source, "overture_id", "closed", "event_date", F.lit("id"), F.lit(0e0), "event", F.lit(None).cast("string"))
 
 

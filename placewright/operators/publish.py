@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
+from ..sources.register_text import opened
 
 STATUS_COLUMNS = ("id", "status", "status_date", "status_source", "open_score", "missing_license")
 ROW_GROUP = 20_000
-#: Rows of a published file at most, which keeps each far below the 2 GB that the manifest can hash as one value.
-FILE_ROWS = 1_000_000
+#: Rows of a published file at most, and the bytes of it that the manifest holds at once.
+FILE_ROWS, BLOCK = 1_000_000, 8 << 20
+WORLD = (-90.0, -180.0, 90.0, 180.0)
 
 
 def hilbert_order(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -30,12 +37,58 @@ def status_file(df: DataFrame) -> DataFrame:
     return df.select(*STATUS_COLUMNS).sort("id")
 
 
+def publish_regions(df: DataFrame, path: str, regions: list[str] | None = None, order: str = "curve") -> None:
+    """One job that writes ``df`` as ``path``/region=.../, along one Hilbert curve of the world (or by id with ``order`` 'id').
+
+    Rows are dealt by ranges of (region, order), so that a large region is many tasks' and small ones share one. Only the
+    regions that ``regions`` names (by default all of ``df``) are replaced; the others' files stay as they are. A named
+    region without a row is an error: its files would stay silently."""
+    if regions is not None:
+        df = df.where(F.col("region").isin(regions))
+        if missing := set(regions) - {r["region"] for r in df.select("region").distinct().collect()}:
+            raise ValueError(f"nothing to publish for {', '.join(sorted(missing))}")
+    df = df.withColumn("curve", geo.hilbert(F.col("lat"), F.col("lng"), WORLD, bits=22)) if order == "curve" else df
+    out = df.repartitionByRange("region", order).sortWithinPartitions("region", *dict.fromkeys([order, "id"]))
+    out = out.drop("curve").write.option("compression", "zstd").option("parquet.block.row.count.limit", ROW_GROUP).option("maxRecordsPerFile", FILE_ROWS)
+    out.partitionBy("region").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def publish_layers(layers: dict[str, DataFrame], path: str, license_: str, regions: list[str] | None = None) -> DataFrame:
+    """Publish several layers (name to table with region, id; with lat and lng they are clustered) under ``path``, and give
+    the manifest of all their files, which is also written to ``path``/manifest as JSON."""
+    out = None
+    for name, df in layers.items():
+        publish_regions(df, f"{path}/{name}", regions, "curve" if {"lat", "lng"} <= set(df.columns) else "id")
+        found = manifest(df.sparkSession, f"{path}/{name}", name, license_)
+        out = found if out is None else out.unionByName(found)
+    out.repartitionByRange("layer", "region", "name").sortWithinPartitions("layer", "region", "name").write.mode("overwrite").json(f"{path}/manifest")
+    return out.sparkSession.read.schema(out.schema).json(f"{path}/manifest")
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, sha256, rows) of parquet files, read block by block; the rows are those of the footer."""
+    for b in batches:
+        paths, sums, rows = b.column("path").to_pylist(), [], []
+        for p in paths:
+            system, at = opened(p)
+            state = hashlib.sha256()
+            with system.open_input_file(at) as file:
+                while block := file.read(BLOCK):
+                    state.update(block)
+                file.seek(0)
+                rows.append(pq.ParquetFile(file).metadata.num_rows)
+            sums.append(state.hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sums, pa.string()), pa.array(rows, pa.int64())], ["path", "sha256", "rows"])
+
+
 def manifest(spark: SparkSession, path: str, layer: str, license_: str) -> DataFrame:
-    """(name, layer, license, bytes, sha256, rows) of each parquet file in a folder."""
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(name.alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
-    return files.join(rows, "name", "left").select("name", F.lit(layer).alias("layer"), F.lit(license_).alias("license"), "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
+    """(name, layer, license, region, bytes, sha256, rows) of each parquet file below a folder; region is null outside of
+    region folders. Files are dealt one by one and read as a stream, so that their size costs time only."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path", "length")
+    read = listed.select("path").repartition("path").mapInArrow(_digested, "path string, sha256 string, rows long")
+    out = read.join(listed.select("path", F.col("length").alias("bytes")), "path")
+    region = F.regexp_extract("path", "/region=([^/]+)/", 1)
+    return out.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.lit(layer).alias("layer"), F.lit(license_).alias("license"), F.nullif(region, F.lit("")).alias("region"), "bytes", "sha256", "rows")
 
 
 def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: tuple[str, ...] = ("region", "id")) -> DataFrame:

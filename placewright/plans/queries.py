@@ -150,7 +150,7 @@ def _(d: Data):
 @q("fn_08_same_name", Q.query(_NEAR.format(e=Q.passing(f"({Q.sim('x.nn', 'y.nn')})")), Q.BASE_N, Q.CHAIN_N))
 def _(d: Data):
     x, y = d.base().select(c("id").alias("a_id"), c("name").alias("a"), "category", "hn"), d.chain().select(c("id").alias("b_id"), c("name").alias("b"), "category", "hn")
-    return x.join(y, ["category", "hn"]).select("a_id", "b_id", similarity.same_name(c("a"), c("b")).alias("ok"))
+    return similarity.with_same_name(x.join(y, ["category", "hn"]), "a", "b", "ok").select("a_id", "b_id", "ok")
 
 
 _SCORE_SQL = f"""case when s.status = 'closed' then 1e-1 when s.status_date is not null then greatest(case when s.conflict then 8e-1 else 97e-2 end * pow(9e-1, greatest({Q.BUILD} - s.status_date, 0) / 36525e-2), case when s.conflict then 5e-1 else 75e-2 end)
@@ -447,6 +447,22 @@ def _(d: Data):
     return publish.manifest(d.spark, path, "core", "CDLA-Permissive-2.0")
 
 
+# All regions, then one of them anew: its rows are the later ones, the others' the first.
+@q("snk_06_publish_regions", Q.query("select id, case when region = 'DC' then upper(name) else name end as name, lat, lng, region from fx_base where region is not null"))
+def _(d: Data):
+    path, rows = d.folder(), d.view("select id, name, lat, lng, region from fx_base where region is not null")
+    publish.publish_regions(rows, path)
+    publish.publish_regions(rows.withColumn("name", F.upper("name")), path, ["DC"])
+    return d.spark.read.parquet(path).select("id", "name", "lat", "lng", "region")
+
+
+@q("snk_07_publish_layers", Q.query("select layer, region, count(*) as rows from (select 'places' as layer, region from fx_base union all select 'status', region from fx_base) where region is not null group by all"))
+def _(d: Data):
+    rows = d.view("select id, name, lat, lng, region from fx_base where region is not null")
+    found = publish.publish_layers({"places": rows, "status": rows.select("id", "region")}, d.folder(), "ODbL-1.0")
+    return found.groupBy("layer", "region").agg(F.sum("rows").alias("rows"))
+
+
 _DIFF = """select coalesce(n.id, o.id) as id, case when o.id is null then 'appeared' when n.id is null then 'vanished' when o.status <> 'closed' and n.status = 'closed' then 'closed' when o.status = 'closed' and n.status = 'open' then 'reopened'
   when o.status = 'unknown' and n.status = 'open' then 'confirmed_open' when o.status = 'open' and n.status = 'unknown' then 'went_quiet' when o.status = 'closed' and n.status = 'unknown' then 'closure_withdrawn' end as change, o.status as old_status, n.status as new_status
   from (select * from fx_snap where half = 'cur') n full outer join (select * from fx_snap where half = 'prev') o on o.id = n.id where o.id is null or n.id is null or o.status <> n.status"""
@@ -722,11 +738,17 @@ def _(d: Data):
     return scan.scan_strings(d.spark, path)
 
 
-@q("src_13_scan_register_text", "select cast(p_partkey as varchar) as id, p_name as name, p_brand as brand from part")
+@q("src_13_scan_register_text", "select cast(p_partkey as varchar) as id, p_name as name, case when p_partkey % 10 > 0 then p_brand end as brand, case when p_partkey % 10 = 1 then 'more|and more' end as rest, case when p_partkey % 2 = 0 then 'List of even' else '' end as preamble from part")
 def _(d: Data):
-    path = d.folder()
-    d.table("part").select("p_partkey", "p_name", "p_brand").write.option("sep", "|").csv(path)
-    return scan.scan_register_text(d.spark, path, scan.FileSpec(columns=["id", "name", "brand"], sep="|", quote="", header=False, trim=True))
+    """Two lists with columns in another order, one under a preamble, with short rows and rows with too many fields."""
+    path, p = d.folder(), d.table("part")
+    n = c("p_partkey")
+    last = F.when(n % 10 == 0, F.lit("")).when(n % 10 == 1, F.concat(F.lit("|"), c("p_brand"), F.lit("|more|and more"))).otherwise(F.concat(F.lit("|"), c("p_brand")))
+    for half, head, line in ((0, ["List of even", "Id | Name|Brand"], F.concat(n.cast("string"), F.lit(" | "), c("p_name"), last)), (1, ["Name|Id|Brand"], F.concat(c("p_name"), F.lit("|"), n.cast("string"), last))):
+        lines = d.spark.createDataFrame([(i - 9, x) for i, x in enumerate(head)], "i long, value string").unionByName(p.where(n % 2 == half).select(n.cast("long").alias("i"), line.alias("value")))
+        lines.repartition(1).sortWithinPartitions("i").select("value").write.text(f"{path}/half-{half}")
+    spec = scan.FileSpec(columns=["Id", "Name", "Brand"], sep="|", quote="", trim=True, skip_until=r"\bId\b")
+    return scan.scan_register_text(d.spark, path, spec).select(c("Id").alias("id"), c("Name").alias("name"), c("Brand").alias("brand"), c("_rest").alias("rest"), c("_preamble").alias("preamble"))
 
 
 @q("src_14_explode_feature_pages", "select p_partkey as id, p_name as name, cast(p_size as double) as x from part")

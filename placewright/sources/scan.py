@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo, shapes, text
 from ..operators.evidence import EVIDENCE
+from .register_text import RegisterText
 
 # Fixed values of the map features' tags.
 MAIN_KEYS = ("amenity", "shop", "tourism", "leisure", "office", "craft", "healthcare", "historic")
@@ -149,18 +150,13 @@ class FileSpec:
 
 def scan_register_text(spark: SparkSession, path: str, spec: FileSpec) -> DataFrame:
     """A delimited register, all columns strings. ``columns`` names them in order where the file has no header;
-    ``skip_until`` is a pattern of the header line behind a preamble."""
-    options = dict(sep=spec.sep, quote=spec.quote, escape=spec.quote, encoding=spec.encoding, ignoreLeadingWhiteSpace=spec.trim, ignoreTrailingWhiteSpace=spec.trim, mode="PERMISSIVE")
+    ``skip_until`` is a pattern of the header line behind a preamble, which every file then has for itself: such files are
+    read by ``register_text``, with its columns about file, offset, surplus fields and preamble."""
     if spec.skip_until:
-        lines = spark.read.text(path)
-        head = lines.where(F.col("value").rlike(spec.skip_until)).limit(1).collect()
-        if not head:
-            raise ValueError(f"no line of {path} matches {spec.skip_until}")
-        names = [x.strip().strip(spec.quote or '"') for x in head[0]["value"].split(spec.sep)]
-        body = lines.where((F.col("value") != head[0]["value"]) & (F.size(F.split("value", spec.sep, -1)) >= len(names)))
-        kind = ", ".join(f"`{n}` string" for n in names)
-        parsed = body.select(F.from_csv("value", kind, {"sep": spec.sep, "quote": spec.quote}).alias("r"))
-        return parsed.select("r.*")
+        spark.dataSource.register(RegisterText)
+        reader = spark.read.format("register_text").options(path=path, sep=spec.sep, quote=spec.quote, encoding=spec.encoding, trim=str(spec.trim), skip_until=spec.skip_until)
+        return (reader.option("columns", "\n".join(spec.columns)) if spec.columns else reader).load()
+    options = dict(sep=spec.sep, quote=spec.quote, escape=spec.quote, encoding=spec.encoding, ignoreLeadingWhiteSpace=spec.trim, ignoreTrailingWhiteSpace=spec.trim, mode="PERMISSIVE")
     df = spark.read.csv(path, header=spec.header, **options)
     return df.toDF(*spec.columns, *df.columns[len(spec.columns) :]) if spec.columns else df
 
