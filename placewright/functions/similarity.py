@@ -63,7 +63,7 @@ def jaro_winkler_array(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(DoubleType())
-def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
+def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     out = np.full(len(a), np.nan)
     known = (a.notna() & b.notna()).to_numpy()
     if known.any():  # a batch has many rows of the same two names: they are neighbours in a join's output
@@ -74,6 +74,11 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out).astype("Float64").where(known, None)
 
 
+#: Called nondeterministic, so that a filter on its result stays behind it: pushed down, it would be computed again for
+#: each time the filter names it, with all that its arguments are made of.
+jaro_winkler = _jaro_winkler.asNondeterministic()
+
+
 def is_atm(c: Column) -> Column:
     return (c == "atm") | c.endswith(" atm") | c.contains(" atm ")
 
