@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import canon, evidence, match, mint
-from ..sources.store import settled
+from ..sources.store import bucketed, settled
 
 BASE_FILL = ["category", "brand", "brand_wikidata", "postcode", "phone", "website"]
 CHAIN_FILL = ["brand", "brand_wikidata", "address", "city", "region", "postcode", "phone", "website"]
@@ -129,3 +129,17 @@ def flagship(inputs: Inputs, params: Params) -> DataFrame:
     return st.groupBy("status", "status_source").agg(F.count(F.lit(1)).alias("places"), F.count_if("conflict").alias("conflicts"), F.max("status_date").alias("newest"))
 
 
+def stored_by_place(layer: Layer, params: Params, buckets: int | None = None) -> Layer:
+    """The layer with its places, members and evidence in tables bucketed by place id: statuses, roll-ups and the published
+    join then read each table once and shuffle none of them."""
+    ev = bucketed(layer.evidence, "evidence", "place_id", buckets=buckets)
+    place, member = bucketed(layer.place, "place", "id", buckets=buckets), bucketed(layer.member, "member", "place_id", buckets=buckets)
+    return Layer(place, member, ev, evidence.status_of(ev, params.build, params.recent_days), layer.ids, layer.register)
+
+
+def summary_by_place(layer: Layer) -> DataFrame:
+    """(id, name, members, status, status_date): each place with the count of its members and its status."""
+    count = layer.member.groupBy("place_id").agg(F.count(F.lit(1)).alias("members"))
+    out = layer.place.select("id", "name").join(count, F.col("id") == count["place_id"], "left").drop("place_id")
+    st = layer.status.select("place_id", "status", "status_date")
+    return out.join(st, F.col("id") == st["place_id"], "left").select("id", "name", F.coalesce("members", F.lit(0)).alias("members"), F.coalesce("status", F.lit("unknown")).alias("status"), "status_date")

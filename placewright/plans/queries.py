@@ -777,6 +777,14 @@ def _(d: Data):
     return scan.establishments(est, units).select("o_orderkey", "name")
 
 
+@q("join_31_bucketed_places", Q.query(f"select b.id, b.name, coalesce(m.n, 0) as members, coalesce(s.status, 'unknown') as status, s.status_date from fx_base b left join (select place_id, count(*) as n from members group by 1) m on m.place_id = b.id left join ({Q.status('fx_evidence')}) s on s.place_id = b.id", *_CH, _MEMBERS))
+def _(d: Data):
+    chain, params = d.chain(), build.Params(BUILD)
+    member = match.members(chain, match.best_match(d.pairs()), "atp")
+    layer = build.stored_by_place(build.Layer(d.view("select * from fx_base"), member, d.evidence(), None, None, None), params)
+    return build.summary_by_place(layer)
+
+
 # --- whole builds ------------------------------------------------------------------------------------------------
 _FLAG = f"select status, status_source, count(*) as places, count(*) filter (where conflict) as conflicts, max(status_date) as newest from ({Q.status('ev')}) group by all"
 

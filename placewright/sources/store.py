@@ -21,3 +21,17 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, *keys: str, buckets: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, dealt to buckets by ``keys`` and sorted in them: joins and groupings by the
+    same keys, of tables of as many buckets, meet without a shuffle, however often the table is read.
+
+    ``buckets`` (by default the session's shuffle partitions) should leave each bucket a few hundred MB."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    # one task a bucket writes, so that a bucket is one file and its order holds
+    dealt = df.repartition(n, *keys)
+    dealt.write.format("parquet").option("compression", "zstd").option("path", f"{shared_folder(spark)}/{table}").bucketBy(n, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
