@@ -89,10 +89,35 @@ expr("fn_03_norm_name", "fx_base", lambda: {"id": c("id"), "nn": text.norm_name(
 expr("fn_04_house_number", "fx_register", lambda: {"source_id": c("source_id"), "hn": text.house_number(c("address"))}, {"source_id": "source_id", "hn": Q.house("address")})
 expr("fn_09_zip5", "fx_register", lambda: {"source_id": c("source_id"), "zip": text.zip5(c("address"))}, {"source_id": "source_id", "zip": Q.zip5("address")})
 expr("fn_10_street_key", "fx_register", lambda: {"source_id": c("source_id"), "sk": text.street_key(c("address"))}, {"source_id": "source_id", "sk": Q.street("address")})
-_CATS = "bar,amenity=pub,restaurant,shop=books,office=lawyer,leisure=park,craft=winery,shop=florist,historic=castle,tourism=hotel,amenity=atm,bank,shop=hairdresser,fast_food_restaurant,art_museum,high_school,ev_charging_station,amenity=cafe,pharmacy,unknown_kind".split(",")
+# Kinds and, from the published vocabulary, their group, subgroup, bucket, and whether they need a licence to
+# sell alcohol, written out here to be held against the library's rules.
+_EXPECTED = [
+    ("bar", None, None, "bars", True),
+    ("amenity=pub", "food_and_drink", "alcoholic_beverage_venue", "bars", True),
+    ("restaurant", "food_and_drink", "restaurant", "restaurants and cafes", False),
+    ("shop=books", "shopping", "specialty_store", "everything else", False),
+    ("office=lawyer", "services_and_business", None, "everything else", False),
+    ("leisure=park", "sports_and_recreation", "park", "parks", False),
+    ("craft=winery", "food_and_drink", "alcoholic_beverage_venue", "everything else", False),
+    ("shop=florist", "shopping", "specialty_store", "everything else", False),
+    ("historic=castle", "cultural_and_historic", "historic_site", "everything else", False),
+    ("tourism=hotel", "lodging", "hotel", "hotels", False),
+    ("amenity=atm", "services_and_business", "financial_service", "everything else", False),
+    ("bank", "services_and_business", "financial_service", "banks and credit unions", False),
+    ("shop=hairdresser", "lifestyle_services", "personal_or_beauty_service", "everything else", False),
+    ("fast_food_restaurant", None, None, "fast food", False),
+    ("art_museum", None, None, "museums", False),
+    ("high_school", None, None, "schools", False),
+    ("ev_charging_station", None, None, "ev chargers", False),
+    ("amenity=cafe", "food_and_drink", "non_alcoholic_beverage_venue", "restaurants and cafes", False),
+    ("pharmacy", None, None, "pharmacies", False),
+    ("unknown_kind", None, None, "everything else", False),
+    ("night_club", None, None, "bars", True),
+]
+_CATS = [x[0] for x in _EXPECTED]
+_PICKED = lambda i, values: f"(array[{', '.join('null' if v is None else repr(v) for v in values)}])[cast({i} % {len(values)} as int) + 1]"
 _CAT_SPARK = lambda: F.get(F.array(*[F.lit(x) for x in _CATS]), (c("p_partkey") % len(_CATS)).cast("int"))
-_CAT_SQL = f"(array[{', '.join(f"'{x}'" for x in _CATS)}])[cast(p_partkey % {len(_CATS)} as int) + 1]"
-expr("fn_11_needs_alcohol_license", "", lambda: {"p_partkey": c("p_partkey"), "needs": categories.needs_alcohol_license(_CAT_SPARK())}, {"p_partkey": "p_partkey", "needs": f"{_CAT_SQL} in ({', '.join(f"'{x}'" for x in categories.NEEDS_LICENSE.split())})"}, table="part")
+expr("fn_11_needs_alcohol_license", "", lambda: {"p_partkey": c("p_partkey"), "needs": categories.needs_alcohol_license(_CAT_SPARK())}, {"p_partkey": "p_partkey", "needs": _PICKED("p_partkey", [x[4] for x in _EXPECTED])}, table="part")
 expr("fn_12_title_case", "fx_register", lambda: {"source_id": c("source_id"), "shown": text.title_case(c("name"))}, {"source_id": "source_id", "shown": Q.title("name")})
 expr("fn_13_display_name", "fx_register", lambda: {"source_id": c("source_id"), "shown": text.display_name(F.concat(c("name"), F.lit(" STORE #12")))}, {"source_id": "source_id", "shown": Q.display("(name || ' STORE #12')")})
 expr("fn_14_address_parts", "fx_register", lambda: {"source_id": c("source_id"), "street": text.address_street(c("address")), "city": text.address_city(c("address")), "region": text.address_state(c("address"))},
@@ -109,12 +134,17 @@ expr("fn_17_parse_dates", "", lambda: {"o_orderkey": c("o_orderkey"), "day": tex
 expr("fn_18_trade_name", "fx_base", lambda: {"id": c("id"), "behind": text.trade_name(F.concat(F.lit("HOLDING LTD DBA "), c("name"))), "column": text.trade_name(c("name"), c("brand")), "added": text.trade_name(c("name"), None, " Credit Union")},
      {"id": "id", "behind": "trim(name)", "\"column\"": "coalesce(nullif(trim(brand), ''), trim(name))", "added": "trim(name) || ' Credit Union'"})
 expr("fn_19_surrogate_id", "fx_register", lambda: {"source_id": c("source_id"), "sid": text.surrogate_id(c("name"), c("address"))}, {"source_id": "source_id", "sid": "substr(sha1(upper(concat_ws('|', name, address))), 1, 16)"})
-_SRC = "overture fsq_closed atp wikidata_p576 biz_nola osm_history dol_wa abca_dc_cancelled childcare_ca childcare_co childcare_tx dca_ca_auto sla_ny dohmh_nyc cdph_chicago_oob lb_boston sirene snap_current foodsafety_ia abc_ky".split()
+# Sources and the licence that each is under, as published.
+_LICENSED = [
+    ("overture", "CDLA-Permissive-2.0"), ("fsq_closed", "Apache-2.0"), ("atp", "CC0-1.0"), ("wikidata_p576", "CC0-1.0"), ("biz_nola", "CC0-1.0"), ("osm_history", "ODbL-1.0"), ("dol_wa", "ODbL-1.0"),
+    ("abca_dc_cancelled", "CC-BY-4.0"), ("childcare_ca", "CC-BY-4.0"), ("childcare_co", "PDDL-1.0"), ("childcare_tx", "none-stated"), ("dca_ca_auto", "none-stated"), ("sla_ny", "OPEN-NY-terms"), ("dohmh_nyc", "NYC-Open-Data-terms"),
+    ("cdph_chicago_oob", "Chicago-Data-Portal-terms"), ("lb_boston", "PDDL-1.0"), ("sirene", "etalab-2.0"), ("snap_current", "US-public-domain"), ("foodsafety_ia", "none-stated"), ("abc_ky", "none-stated"),
+]
+_SRC = [x[0] for x in _LICENSED]
 _SRC_SPARK = lambda: F.get(F.array(*[F.lit(x) for x in _SRC]), (c("l_orderkey") % len(_SRC)).cast("int"))
-_SRC_SQL = f"(array[{', '.join(f"'{x}'" for x in _SRC)}])[cast(l_orderkey % {len(_SRC)} as int) + 1]"
-expr("fn_20_license_of", "", lambda: {"l_orderkey": c("l_orderkey"), "license": categories.license_of(_SRC_SPARK())}, {"l_orderkey": "l_orderkey", "license": Q.case_of(_SRC_SQL, categories.LICENSES, f"'{categories.OTHER_LICENSE}'")}, table="lineitem")
-for _key, _f, _t, _o in (("fn_21_group_of", categories.group_of, categories.GROUPS, "null"), ("fn_22_subgroup_of", categories.subgroup_of, categories.SUBGROUPS, "null"), ("fn_23_bucket", categories.bucket, categories.BUCKETS, "'everything else'")):
-    expr(_key, "", lambda f=_f: {"p_partkey": c("p_partkey"), "named": f(_CAT_SPARK())}, {"p_partkey": "p_partkey", "named": Q.case_of(_CAT_SQL, _t, _o)}, table="part")
+expr("fn_20_license_of", "", lambda: {"l_orderkey": c("l_orderkey"), "license": categories.license_of(_SRC_SPARK())}, {"l_orderkey": "l_orderkey", "license": _PICKED("l_orderkey", [x[1] for x in _LICENSED])}, table="lineitem")
+for _key, _f, _i in (("fn_21_group_of", categories.group_of, 1), ("fn_22_subgroup_of", categories.subgroup_of, 2), ("fn_23_bucket", categories.bucket, 3)):
+    expr(_key, "", lambda f=_f: {"p_partkey": c("p_partkey"), "named": f(_CAT_SPARK())}, {"p_partkey": "p_partkey", "named": _PICKED("p_partkey", [x[_i] for x in _EXPECTED])}, table="part")
 _DS = lambda: F.when(c("dataset_no") == 0, F.array(F.lit("Foursquare"), F.lit("Overture"))).when(c("dataset_no") == 1, F.array(F.lit("meta"), F.lit("Microsoft"))).when(c("dataset_no") == 2, F.array(F.lit("BrightQuery")))
 _DS_SQL = "case dataset_no when 0 then ['Foursquare', 'Overture'] when 1 then ['meta', 'Microsoft'] when 2 then ['BrightQuery'] end"
 expr("fn_24_overture_sources_of", "fx_base", lambda: {"id": c("id"), "sources": F.array_join(score.base_sources(_DS()), ",")}, {"id": "id", "sources": f"array_to_string(list_sort(list_filter(list_transform({_DS_SQL}, lambda d: lower(d)), lambda d: d not in ('overture', 'overture-signals'))), ',')"})
