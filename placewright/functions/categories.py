@@ -26,6 +26,7 @@ services_and_business: shop=car_repair shop=funeral_directors shop=travel_agency
 shopping: shop=* amenity=marketplace
 sports_and_recreation: leisure=*
 """
+# Fixed values, in the same form.
 SUBGROUPS = """
 financial_service: bank amenity=bank amenity=atm amenity=bureau_de_change amenity=money_transfer
 restaurant: restaurant food_service amenity=restaurant amenity=food_court
@@ -62,7 +63,7 @@ shipping_or_delivery_service: amenity=post_office
 park: leisure=park leisure=playground leisure=dog_park leisure=garden
 sport_or_fitness_facility: leisure=fitness_centre leisure=sports_centre leisure=stadium
 """
-# Here '*x*' stands for every category that contains x.
+# Fixed values. Here '*x*' stands for every category that contains x.
 BUCKETS = """
 bars: bar pub sports_bar cocktail_bar wine_bar dive_bar lounge brewery beer_bar irish_pub gay_bar night_club dance_club amenity=bar amenity=pub amenity=nightclub
 banks and credit unions: bank credit_union bank_or_credit_union amenity=bank
@@ -79,8 +80,9 @@ schools: *school*
 hospitals: hospital amenity=hospital
 """
 #: kinds of place that cannot trade without an alcohol licence
+# Kinds that sell alcohol.
 NEEDS_LICENSE = "bar pub sports_bar cocktail_bar wine_bar dive_bar lounge beer_bar irish_pub gay_bar night_club dance_club hookah_bar gastropub brewery amenity=bar amenity=pub amenity=nightclub"
-# The licence of each source; 'x*' stands for every source that begins so, '-x' for an exception to the line.
+# The licence of each source; 'x*' stands for every source that begins so, '-x' for an exception to the line.
 LICENSES = """
 CDLA-Permissive-2.0: overture
 Apache-2.0: fsq fsq_closed

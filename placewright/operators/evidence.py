@@ -11,9 +11,9 @@ from ..functions import geo, similarity, text
 
 EVIDENCE = "source string, source_id string, name string, address string, lat double, lng double, state string, date date"
 ATTACHED = ("place_id", "source", "source_id", "state", "date", "rule", "dist", "ev_name", "ev_address")
-#: closures of these sources do not close a place that carries a brand
+#: Closures of these sources do not close a place that carries a brand
 INDEPENDENTS_ONLY = ("cdph_chicago_oob", "abca_dc_cancelled", "bacp_chicago_cancelled")
-#: edit-history events that mean the place is gone
+#: Edit-history events that mean the place is gone
 GONE_EVENTS = ("hard_delete", "primary_tag_deleted", "substantial_rename")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import categories, geo, text
 
-#: regions whose list of active alcohol licences is complete
+#: Regions whose list of active alcohol licences is complete
 LICENSE_LISTS = {"DC": "abca_dc_active", "NY": "sla_ny"}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -116,9 +117,12 @@ def union_evidence(spark: SparkSession, *dfs: DataFrame) -> DataFrame:
 
 def optional(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one of the schema if nothing is there."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def scan_snapshot(spark: SparkSession, glob: str, pattern: str = r"status-([^/]+?)\.parquet") -> DataFrame:
