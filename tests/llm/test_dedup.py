@@ -216,3 +216,15 @@ def test_small_groups_come_together(spark):
         if r.doc_id < 400:
             groups[r.doc_id // 4].add(r.shard)
     assert sum(len(s) == 1 for s in groups.values()) >= 95
+
+
+@pytest.mark.parametrize("sizes,least", [([50] * 12, 12), ([62] * 10 + [6] * 40, 48), ([300] + [10] * 50, 50)])
+def test_groups_that_fit_a_shard_stay_whole(spark, sizes, least):
+    texts = [f"group {k}" for k, size in enumerate(sizes) for _ in range(size)]
+    texts += [f"alone {i}" for i in range(1000 - len(texts))]
+    out = sharding.assign(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(Counter(r.shard for r in out).values()) == [62] * 8 + [63] * 8
+    shards = defaultdict(set)
+    for r in out:
+        shards[texts[r.doc_id]].add(r.shard)
+    assert sum(len(shards[f"group {k}"]) == 1 for k in range(len(sizes))) >= least
