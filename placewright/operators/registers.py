@@ -102,6 +102,7 @@ class RegisterSpec:
     lng: Column | None = None
     keep: Column | None = None
     expires: str | None = None
+    undated: str = "keep"
     newest_by: list[str] = field(default_factory=list)
     newest_day: str | None = None
     dedupe: list[Column] = field(default_factory=list)
@@ -120,7 +121,7 @@ def normalize_register(raw: DataFrame, spec: RegisterSpec, today: date) -> DataF
     if spec.period:
         df = newest_period(df, spec.period)
     if spec.expires:
-        df = unexpired(df, spec.expires, today)
+        df = unexpired(df, spec.expires, today, on_bad=spec.undated)
     if spec.newest_by:
         df = newest(df, spec.newest_by, spec.newest_day, spec.order)
     if spec.dedupe:

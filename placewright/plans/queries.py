@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import categories, geo, shapes, similarity, text
 from ..operators import canon, evidence, match, mint, monitor, outline, publish, registers, report, score
-from ..sources import scan
+from ..sources import register_specs, scan
 from ..sources.store import settled, shared_folder
 from . import build, fixtures
 from . import sqltext as Q
@@ -594,6 +594,37 @@ q("reg_09_latest_of_two_dates", f"select l_orderkey, l_linenumber, greatest(cast
     .where(~registers.deactivated(c("off"), c("b"))).select("l_orderkey", "l_linenumber", registers.latest_of(c("a"), c("b")).alias("day")))
 q("reg_10_multi_layer_config", f"{_EVID("'reg_n' as source, 'open' as state, visit as date", "where l_returnflag = 'N'")} union all {_EVID("'reg_a' as source, 'closed' as state, visit as date", "where l_returnflag = 'A'")}")(
     lambda d: registers.normalize_many({"n": _raw(d), "a": _raw(d)}, {"n": _spec(source="reg_n", day=c("visit"), keep=c("l_returnflag") == "N"), "a": _spec(source="reg_a", state="closed", day=c("visit"), keep=c("l_returnflag") == "A")}, _TODAY))
+# Rows of the tables in four registers' own columns.
+_LANDED = {
+    "dohmh_nyc": "cast(l_partkey as string) as camis, p_name as dba, cast(l_suppkey % 90 as string) as building, 'N MAIN ST' as street, 'Queens' as boro, '11101-22' as zipcode, '40.7' as latitude, if(l_partkey % 7 = 0, '0', '-73.9') as longitude, if(l_returnflag = 'A', '1900-01-01', date_format(visit, 'yyyy-MM-dd')) || 'T00:00:00.000' as inspection_date",
+    "cdph_chicago": "if(l_suppkey % 50 = 0, '0', cast(l_partkey as string)) as license_, p_name as dba_name, case l_linenumber % 3 when 0 then '' when 1 then 'Sign ' || p_brand end as aka_name, ' ' || cast(l_suppkey % 90 as string) || ' N MAIN ST' as address, '60601' as zip, date_format(visit, 'yyyy-MM-dd') || 'T00:00:00.000' as inspection_date, case l_returnflag when 'R' then 'Out of Business' when 'N' then 'Pass' else 'No Entry' end as results, '41.9' as latitude, '-87.6' as longitude, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, visit) as inspection_id",
+    "cpa_tx": "cast(l_orderkey as string) as tp_number, cast(l_linenumber as string) as loc_number, p_name as loc_name, cast(l_suppkey % 90 as string) as address_number, 'N MAIN ST' as address_text, 'WACO' as loc_city, '767' || lpad(cast(l_partkey % 100 as string), 2, '0') as loc_zip, 'TX' as loc_state, case l_suppkey % 4 when 0 then '445110' when 1 then '454110' when 2 then '722511' else '541110' end as naics, if(l_returnflag = 'R', visit, null) as out_of_business_date",
+    "dmv_ny": "cast(l_partkey as string) as facility, p_name as facility_name, p_brand as facility_name_overflow, cast(l_suppkey % 90 as string) || ' N MAIN ST' as facility_street, 'Troy' as facility_city, '12180' as facility_zip_code, 'NY' as facility_state, if(l_linenumber = 4, null, date_format(date_add(visit, 1500), 'MM/dd/yyyy')) as expiration_date, if(l_partkey % 3 = 0, null, named_struct('coordinates', array(-73.6D, 42.7D))) as georeference",
+}
+_SPECS = f"""
+raw as (select *, cast(l_suppkey % 90 as varchar) || ' N MAIN ST, ' as street from ({_RAW})),
+visits as (select *, coalesce(case when l_linenumber % 3 = 1 then 'Sign ' || p_brand end, p_name) as sign, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_returnflag || '-' || visit as no from raw where l_suppkey % 50 <> 0 and l_partkey <> 0 and l_returnflag <> 'A' and visit > date '2001-11-05' - 1825),
+garages as (select *, visit + 1500 as expires from raw where l_linenumber <> 4 and visit + 1500 >= date '2001-11-05')"""
+_SPECS_SQL = """
+select 'dohmh_nyc' as source, cast(l_partkey as varchar) as source_id, trim(p_name) as name, street || 'QUEENS, NY 11101' as address, 407e-1 as lat, case when l_partkey % 7 > 0 then -739e-1 end as lng, 'open' as state, max(visit) as date
+from raw where l_returnflag <> 'A' group by all having max(visit) > date '2000-01-01'
+union all
+select case l_returnflag when 'R' then 'cdph_chicago_oob' else 'cdph_chicago' end, cast(l_partkey as varchar), trim(sign), street || 'CHICAGO, IL 60601', 419e-1, -876e-1, case l_returnflag when 'R' then 'closed' else 'open' end, visit
+from (select * from visits qualify row_number() over (partition by l_partkey order by visit desc, no) = 1)
+union all
+select 'cpa_tx', l_orderkey || '-' || l_linenumber, trim(p_name), street || 'WACO, TX 767' || lpad(cast(l_partkey % 100 as varchar), 2, '0'), null, null, 'open', date '2001-10-01'
+from raw where l_suppkey % 4 in (0, 2) and l_returnflag <> 'R'
+union all
+select 'dmv_ny', cast(l_partkey as varchar), trim(p_name || ' ' || p_brand), street || 'Troy, NY 12180', case when l_partkey % 3 > 0 then 427e-1 end, case when l_partkey % 3 > 0 then -736e-1 end, 'open', date '2001-11-05'
+from (select * from garages qualify row_number() over (partition by l_partkey order by strftime(expires, '%m/%d/%Y'), street) = 1)"""
+
+
+@q("reg_13_register_specifications", f"with {_SPECS} {_SPECS_SQL}")
+def _(d: Data):
+    landed = {s: _raw(d).select(F.expr(f"struct({e})").alias("r")).select("r.*") for s, e in _LANDED.items()}
+    return register_specs.evidence_of(landed, _TODAY, {"cpa_tx": date(2001, 10, 1)})
+
+
 _HALF = lambda h: f"select case when id % 5 = 0 and half = 'cur' and id % 3 > 0 then 'x' else event end as source, cast(id as string) as source_id, status as state from (select *, 's' || cast(id % 5 as string) as event from fx_snap) s where half = '{h}'"
 _HALF_SQL = lambda h: _HALF(h).replace("as string", "as varchar")
 _CNT = f"nw as (select source, count(*) as now from ({_HALF_SQL('cur')}) group by 1), bf as (select source, count(*) as before from ({_HALF_SQL('prev')}) group by 1)"

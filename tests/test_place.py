@@ -198,7 +198,7 @@ def test_core_layer_has_no_feature_rows(spark):
     assert core.member.count() > core.place.count() > 0 and report.layer_violations(core.member, licences).count() == 0
 
 
-SOME = ["flagship_status", "build_region_core", "build_region_full", "join_28_geocode_todo", "rep_12_layer_separation", "join_05_match_pairs", "join_09_matched_evidence", "graph_01_canonical_ids", "agg_01_fill_from_duplicates", "agg_03_status_of", "join_20_mint_places", "join_21_publish_join", "join_24_snapshot_diff", "reg_05_list_cancelled", "fn_17_parse_dates", "src_04_classify_tags"]
+SOME = ["flagship_status", "build_region_core", "build_region_full", "join_28_geocode_todo", "rep_12_layer_separation", "join_05_match_pairs", "join_09_matched_evidence", "graph_01_canonical_ids", "agg_01_fill_from_duplicates", "agg_03_status_of", "join_20_mint_places", "join_21_publish_join", "join_24_snapshot_diff", "reg_05_list_cancelled", "reg_13_register_specifications", "fn_17_parse_dates", "src_04_classify_tags"]
 
 
 @pytest.mark.parametrize("name", SOME)
