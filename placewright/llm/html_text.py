@@ -8,7 +8,8 @@ article in different frames do, is not taken for the site's. With m pages a node
 its variants: 0 for what every page repeats, 1 for what no two pages share. An inner node is worth its most important
 content; its presentation (the sequence of its children) is counted but decides nothing, as a site shows its articles
 alike. Branches of low importance are removed from every page, and so are elements that never hold content
-(scripts, forms, menus ... by tag, or by a whole class, id or role). Nothing of this rules out html, body, main, article
+(scripts, forms, menus ... by tag, or by a whole class, id or role; inside an article by fewer words, and never a
+paragraph or heading). Nothing of this rules out html, body, main, article
 or an element that holds one of them, nor a form that holds blocks: of it only the controls go. What stands in an ``article`` or ``main`` element is content and
 only loses branches of the second kind: copies of one article on a host must not remove each other."""
 
@@ -18,6 +19,7 @@ import html
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,9 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 NEVER = frozenset("script style textarea title noscript template iframe noembed noframes xmp head nav footer aside form header button select option input label svg canvas object audio video map menu dialog".split())
 #: words in a class, id or role that name what is not content
 NOISE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies disqus footer gdpr header masthead menu menubar nav navbar navigation newsletter notice pager pagination popup promo promoted related reply replies respond search share sharing sidebar skip social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+#: those that rule out a container inside an article; there, headings and paragraphs are ruled out by none
+NOISE_INSIDE = NOISE - frozenset("banner complementary contentinfo footer header masthead notice pager related respond search skip".split())
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: an opening tag of these ends an open p
 ENDS_P = BLOCK - {"html", "body"}
 MAIN = frozenset(("article", "main"))
@@ -42,23 +47,35 @@ KEPT = MAIN | {"html", "body"}
 WRAPPED = BLOCK - {"form", "fieldset"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>|<(?:/?[a-zA-Z!?])[^<>]*+\Z""", re.S)
+#: the same behind the last ">", with as many groups
+_CUT = re.compile(r"""<!--.*|<(?:/?[a-zA-Z!?])[^<>]*+\Z|(?!)()()()""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
+#: the root's node
+ROOT = 0
+
 
 class Page:
-    """A page's blocks that no name rules out: (text, path, in the main element), and its inner nodes' child sequences."""
+    """A page's blocks that no name rules out, as (text, node, in the main element), and the child sequences of its inner
+    nodes outside main elements. A node is a hash of its element's place: of the parent's node and the step below it.
+
+    Time and memory are in proportion to the page: open elements are found by tag and by kind, not by going through
+    all of them, and a place is kept as its parent and one step."""
 
-    __slots__ = ("blocks", "children")
+    __slots__ = ("found", "children", "steps")
 
     def __init__(self, source: str, structure: bool):
-        self.blocks: list[tuple[str, str, bool]] = []
-        self.children: dict[str, list[str]] = {}
-        # open elements: (tag, path, the innermost form and other element that rule it out, in main, how many of each child)
-        stack: list[tuple[str, str, tuple[int, int], bool, dict[str, int]]] = [("", "", (0, 0), False, {})]
+        self.found: list[tuple[str, int, bool]] = []
+        self.children: dict[int, list[str]] = {}
+        self.steps: dict[int, tuple[int, str]] = {}  # node: its parent, its step
+        # open elements: (tag, node, the innermost form and other element that rule it out, in main, how many of each child)
+        stack: list[tuple[str, int, tuple[int, int], bool, dict[str, int]]] = [("", ROOT, (0, 0), False, {})]
+        opened: dict[str, list[int]] = {}  # where each tag is open
+        block_at, main_at = [0], [0]  # where blocks and main elements are open
         held: list[tuple[str, tuple[int, int]]] = []
-        blocks: list[tuple[list[tuple[str, tuple[int, int]]], str, bool]] = []
-        children: list[tuple[str, str, tuple[int, int]]] = []
+        blocks: list[tuple[list[tuple[str, tuple[int, int]]], int, bool]] = []
+        children: list[tuple[int, str, tuple[int, int]]] = []
         outer: dict[int, int] = {}  # the next one of the same kind around it
         lifted = {0}  # elements that turned out to hold content, and all of their kind around them
         at, end = 0, len(source)
@@ -71,11 +88,22 @@ class Page:
 
         def flush() -> None:
             if held:
-                place = next((x for x in reversed(stack) if x[0] in BLOCK), stack[0])
+                place = stack[block_at[-1]]
                 blocks.append((held.copy(), place[1], place[3]))
                 held.clear()
 
-        for m in _TAG.finditer(source):
+        def close(i: int) -> None:
+            """End the open elements from the i-th on."""
+            for x in stack[i:]:
+                opened[x[0]].pop()
+            del stack[i:]
+            for places in (block_at, main_at):
+                while places[-1] >= i:
+                    places.pop()
+
+        # Behind the last ">" only a cut-off tag or comment can stand.
+        last = source.rfind(">") + 1
+        for m in chain(_TAG.finditer(source, 0, last), _CUT.finditer(source, last)):
             if raw:  # inside a raw element only its own end counts
                 if m[2] is None or not m[1] or m[2].lower() != raw:
                     continue
@@ -87,24 +115,25 @@ class Page:
                 held.append((source[at : m.start()], stack[-1][2]))
             at = m.end()
             if m[2] is None:
+                if m[0].startswith("<!--") and (len(m[0]) < 7 or not m[0].endswith("-->")):
+                    at = end  # a comment without an end
+                    break
                 continue
             tag = m[2].lower()
             if m[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        if tag in BLOCK:
-                            flush()
-                        del stack[i:]
-                        break
-                    if stack[i][0] in MAIN and tag not in ("body", "html") and tag != stack[i][0]:
-                        break  # a stray end does not close the article
+                i = opened[tag][-1] if opened.get(tag) else 0
+                if i and (main_at[-1] <= i or tag in ("body", "html")):  # a stray end does not close the article
+                    if tag in BLOCK:
+                        flush()
+                    close(i)
                 continue
             if tag in BLOCK:
                 flush()
-                if tag in ENDS_P:
-                    self._close(stack, "p")
-                if tag in ("li", "dd", "dt", "tr"):
-                    self._close(stack, tag)
+                # omitted end tags, as the standard has them: an open p or one of the same kind ends, if no block is between
+                if tag in ENDS_P and stack[block_at[-1]][0] == "p":
+                    close(block_at[-1])
+                if tag in ("li", "dd", "dt", "tr") and stack[block_at[-1]][0] == tag:
+                    close(block_at[-1])
             elif tag in ("br", "td", "th", "img", "hr"):
                 held.append((" ", (0, 0)))
             if tag in VOID:
@@ -113,12 +142,13 @@ class Page:
             labels = [x.lower() for name in names for x in _SPLIT.split(name) if x]
             parent = stack[-1]
             form, other = ruled = parent[2]
+            words = NOISE if not parent[3] else () if tag in TEXT else NOISE_INSIDE
             if tag in WRAPPED:
                 lift(form)
             if tag in KEPT:
                 lift(form)
                 lift(other)
-            elif any(x.lower() in NOISE for x in names) or (tag in NEVER and tag != "form" and not (tag == "header" and parent[3])):
+            elif any(x.lower() in words for x in names) or (tag in NEVER and tag != "form" and not (tag == "header" and parent[3])):
                 ruled = form, m.start() + 1
                 outer[ruled[1]] = other
             elif tag == "form":
@@ -127,32 +157,53 @@ class Page:
             step = f"{tag}.{'.'.join(labels)}" if labels else tag
             number = parent[4].get(step, 0) + 1
             parent[4][step] = number
-            path = f"{parent[1]}/{step}{number}" if tag in BLOCK else parent[1]
-            if structure and tag in BLOCK:
-                children.append((parent[1], step, parent[2]))
-            stack.append((tag, path, ruled, parent[3] or tag in MAIN, {}))
+            node, main = parent[1], parent[3] or tag in MAIN
+            if tag in BLOCK:
+                node = _key(str(parent[1]), f"{step}{number}")
+                self.steps[node] = parent[1], f"{step}{number}"
+                if structure and not parent[3]:
+                    children.append((parent[1], step, parent[2]))
+                block_at.append(len(stack))
+            if tag in MAIN:
+                main_at.append(len(stack))
+            opened.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node, ruled, main, {}))
             if tag in RAW and m[3][-1:] != "/":
                 raw = tag
         if at < end and not raw and stack[-1][0] not in RAW:
             held.append((source[at:], stack[-1][2]))
         flush()
-        for pieces, path, main in blocks:
+        for pieces, node, main in blocks:
             text = " ".join(html.unescape("".join(x for x, ruled in pieces if lifted.issuperset(ruled))).split())
             if text:
-                self.blocks.append((text, path, main))
-        for path, step, ruled in children:
+                self.found.append((text, node, main))
+        for node, step, ruled in children:
             if lifted.issuperset(ruled):
-                self.children.setdefault(path, []).append(step)
-
-    @staticmethod
-    def _close(stack: list, tag: str) -> None:
-        """End an open ``tag`` of the innermost block, as the standard has it for omitted end tags."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in BLOCK:
-                return
+                self.children.setdefault(node, []).append(step)
+
+    @property
+    def blocks(self) -> list[tuple[str, str, bool]]:
+        """(text, path from the root, in the main element), for reading."""
+        out = []
+        for text, node, main in self.found:
+            path = []
+            while node != ROOT:
+                node, step = self.steps[node]
+                path.append(step)
+            out.append((text, "".join(f"/{x}" for x in reversed(path)), main))
+        return out
+
+    def low(self, noise: frozenset[int]) -> set[int]:
+        """The nodes that are noise or stand below one that is."""
+        known = {ROOT: ROOT in noise}
+        for _, node, main in self.found:
+            way = []
+            while node not in known:
+                way.append(node)
+                node = self.steps[node][0]
+            for x in reversed(way):
+                known[x] = x in noise or known[self.steps[x][0]]
+        return {x for x, low in known.items() if low}
 
 
 def _key(*parts: str) -> int:
@@ -173,17 +224,17 @@ def style_tree(pages: DataFrame, url: str = "url", source: str = "html") -> Data
             hosts, keys, mains, lists = [], [], [], ([], [], [])
             for host, text in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                 page = Page(text or "", True)
-                if not page.blocks:
+                if not page.found:
                     continue
-                content: dict[str, list[str]] = {}
-                for block, path, main in page.blocks:
+                content: dict[int, list[str]] = {}
+                for block, node, main in page.found:
                     if not main:
-                        content.setdefault(path, []).append(block)
-                nodes = {p: _key("content", *c) for p, c in content.items()} | {p: _key("children", *c) for p, c in page.children.items() if p not in content and not _in_main(p)}
+                        content.setdefault(node, []).append(block)
+                nodes = {n: _key("content", *c) for n, c in content.items()} | {n: _key("children", *c) for n, c in page.children.items() if n not in content}
                 hosts.append(host)
-                mains.append(any(main for _, _, main in page.blocks))
-                keys.append(_key(*[x for block, path, _ in page.blocks for x in (path, block)]))
-                for own, values in zip(lists, ([_key(p) for p in nodes], [_key(p.rpartition("/")[0]) for p in nodes], list(nodes.values()))):
+                mains.append(any(main for _, _, main in page.found))
+                keys.append(_key(*[x for block, node, _ in page.found for x in (str(node), block)]))
+                for own, values in zip(lists, (list(nodes), [page.steps[n][0] if n != ROOT else ROOT for n in nodes], list(nodes.values()))):
                     own.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(mains, pa.bool_()), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], ["host", "page", "main", "nodes", "parents", "variants"])
 
@@ -200,10 +251,6 @@ def style_tree(pages: DataFrame, url: str = "url", source: str = "html") -> Data
     return sums.join(all_pages, "host").select("host", "node", "parent", "variants", "pages", entropy.alias("entropy"))
 
 
-def _in_main(path: str) -> bool:
-    return any(step.split(".")[0].rstrip("0123456789") in MAIN for step in path.split("/"))
-
-
 def noise_nodes(tree: DataFrame, threshold: float = 0.2, min_pages: int = 2) -> DataFrame:
     """(host, node): content nodes that at least ``min_pages`` pages share and whose importance is at most ``threshold``.
     An inner node is worth what its most important content is, so that a branch goes when all its content does."""
@@ -216,6 +263,7 @@ def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 2, url: s
     """One row a row of ``pages``: page_id, url, text, n_chars.
 
     Character references are decoded, white space in a block becomes one space, blocks are joined by \\n in page order.
+    A row a row, repeated rows too; no rows give no rows. Pages of any length and depth take time in proportion.
     Null or empty html gives an empty text; a null or unreadable url belongs to the host ''. Broken and truncated markup
     is read as far as it goes. A host with fewer than ``min_pages`` pages loses nothing by importance. The noise nodes
     go to all executors if they are at most ``limit``, else to the pages by (host, salt). Extra columns are ignored."""
@@ -236,28 +284,13 @@ def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 2, url: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html", 8_000_000):
             nodes = [table.get(h, frozenset()) for h in b.column("host").to_pylist()] if table is not None else [frozenset(x or ()) for x in b.column("nodes").to_pylist()]
-            known: dict[str, int] = {}
             out = []
             for source_, own in zip(b.column("html").to_pylist(), nodes):
-                kept = []
-                for text, path, main in Page(source_ or "", False).blocks:
-                    if not main and own and _low(path, own, known):
-                        continue
-                    kept.append(text)
-                out.append("\n".join(kept))
+                page = Page(source_ or "", False)
+                low = page.low(own) if own else ()
+                out.append("\n".join(text for text, node, main in page.found if main or node not in low))
             cols = [b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array(np.array([len(x) for x in out], np.int64))]
             yield pa.RecordBatch.from_arrays(cols, ["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
-
-def _low(path: str, noise: frozenset[int], known: dict[str, int]) -> bool:
-    """Whether the node or one above it is noise."""
-    while path:
-        k = known.get(path)
-        if k is None:
-            k = known[path] = _key(path)
-        if k in noise:
-            return True
-        path = path.rpartition("/")[0]
-    return False

@@ -189,3 +189,43 @@ def test_long_runs_of_digits_are_no_addresses(spark):
     texts = ["1.2.3." + "0" * 5000, "9" * 6000 + ".1.1.1", "0001.2.3.4"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.n_ip for r in pii.span_report(pii.sanitise(docs)).collect()} == {0: 1, 1: 0, 2: 1}
+
+
+@pytest.mark.parametrize("inner,want", [
+    ("<div class='header'><h1>Headline</h1></div><p>x</p>", ["Headline", "x"]),
+    ("<section class='related'>Related work</section><p class='share'>Shares of X rose</p>", ["Related work", "Shares of X rose"]),
+    ("<p>x</p><div class='comments'><p>First!</p></div><ul class='share'><li>Tell</li></ul><aside>Note</aside>", ["x"]),
+    ("<p>x</p></section></b><p>y</p>", ["x", "y"]),
+])
+def test_words_rule_out_less_inside_an_article(inner, want):
+    assert [t for t, _, _ in html_text.Page(f"<body><div class='header'>Site</div><section><article>{inner}</article></section></body>", True).blocks] == want
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<b>" * 100_000 + "</x>" * 100_000 + "t", 1), ("<x><article>" + "<b>" * 100_000 + "</x>" * 100_000 + "t", 1), ("<div>" * 100_000 + "t", 1), ("<b>" * 50_000 + "<p></p>" * 50_000, 0),
+    ("<b " * 300_000, 1), ("t<!-- " * 100_000, 1), ("<p>t<!-- > " + "a" * 100_000, 1)])
+def test_long_and_deep_pages_take_time_in_proportion(source, want):
+    import time
+
+    start = time.process_time()
+    page = html_text.Page(source, True)
+    assert len(page.found) == want and time.process_time() - start < 5
+    assert page.low(frozenset()) == set()
+
+
+def test_tree_of_pages_without_an_article(spark):
+    """Entropies by hand, and a branch that goes with all its content: pages repeat in full, and tie."""
+    from math import log
+
+    # a menu that all share, a line that two of four share, and text of each page's own; the fifth page is a copy of the first
+    bodies = [f"<div id=top><p>Home</p></div><div id=mid><p>Deal {i // 2}</p></div><div id=own><p>Story {i}</p></div>" for i in range(4)]
+    rows = [(i, "http://h.example/a", b) for i, b in enumerate([*bodies, bodies[0]])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    tree = {r.node: r for r in html_text.style_tree(pages).collect()}
+    page = html_text.Page(bodies[0], True)
+    entropy = {text.split()[0]: tree[node].entropy for text, node, _ in page.found}
+    assert entropy["Home"] == pytest.approx(0) and entropy["Story"] == pytest.approx(1) and entropy["Deal"] == pytest.approx(-2 * 0.5 * log(0.5) / log(4))
+    assert {r.pages for r in tree.values()} == {4}
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got == {i: f"Deal {i % 4 // 2}\nStory {i % 4}" for i in range(5)}
+    assert {r.page_id: r.text for r in html_text.extract(pages, threshold=0.5).collect()} == {i: f"Story {i % 4}" for i in range(5)}
