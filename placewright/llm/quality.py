@@ -1,20 +1,24 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-Units are symbols inside space-separated pieces: each piece is its characters (a language's 48 commonest ones, and
-classes of others) between a start and an end; a piece equal to the one before it is the single symbol ``AGAIN``, so
-that repetition costs. Contexts do not cross pieces, hence a piece always has one score and each different piece of a
-batch is scored once, whatever its number of occurrences.
+Units are symbols inside space-separated pieces: each piece is its characters between a start and an end; a piece equal
+to the one before it is the single symbol ``AGAIN``, so that repetition costs. Contexts do not cross pieces, hence a
+piece always has one score and each different piece of a batch is scored once, whatever its number of occurrences.
+
+Every character counts as itself. A language whose trusted texts have at most ``LETTERS`` different characters has
+symbols of 6 bits: each of these, and classes of the characters that were never seen. Any other has symbols of 16 bits,
+the UTF-16 units of its texts, so that no alphabet is kept: four of them are a 64-bit key, and a character beyond U+FFFF
+is two symbols. The white space that parts pieces stands for start, end and repetition there.
 
 n-gram counts are taken from all trusted documents and summed over shards of the n-gram space; joins of the counts with
 their contexts' totals and with the next lower order give the probabilities. The highest order has raw counts, lower
 ones count the different symbols before an n-gram. Documents are trusted by labels. Every trusted document is scored
 by the model of the other half of them, which makes the thresholds: for each language and each band of lengths, a
-quantile of these scores. A model has at most 64 ** ORDER n-grams by its alphabet; documents meet it by a join."""
+quantile of these scores. Documents meet their language's model by a join."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,8 @@ ORDER = 4
 START, END, AGAIN, LETTER, DIGIT, OTHER, FIRST = range(7)
 BITS = 6
 LETTERS = 2**BITS - FIRST
+#: bits of a UTF-16 unit, and the unit that is symbol 0: a tab is in no piece, nor are the two units behind it
+WIDE, SHIFT = 16, 9
 #: Bytes of text that are scored together.
 GROUP = 12_000_000
 
@@ -77,7 +83,28 @@ def _symbols(points: np.ndarray, alphabet: list[int]) -> np.ndarray:
     return out
 
 
-def _grams(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _units(points: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of WIDE bits, pieces' numbers of them): the characters' UTF-16 units."""
+    far = points > 0xFFFF
+    units = np.repeat(points, 1 + far)
+    first = np.flatnonzero(far) + np.arange(far.sum())
+    units[first] = 0xD800 + ((points[far] - 0x10000) >> 10)
+    units[first + 1] = 0xDC00 + ((points[far] - 0x10000) & 0x3FF)
+    before = np.concatenate([[0], np.cumsum(far)])[np.concatenate([[0], np.cumsum(lengths)])]
+    return (units - np.uint32(SHIFT)).astype(np.uint16).astype(np.uint64), lengths + np.diff(before)
+
+
+def _bits(alphabet: list[int] | None) -> int:
+    return WIDE if alphabet is None else BITS
+
+
+def _coded(distinct: pa.Array, alphabet: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, pieces' numbers of them); without an alphabet, every character's UTF-16 units."""
+    points, lengths = _characters(distinct)
+    return _units(points, lengths) if alphabet is None else (_symbols(points, alphabet), lengths)
+
+
+def _grams(symbols: np.ndarray, lengths: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams of ORDER symbols, pieces' numbers of them): one for each character and for the end of each piece."""
     n = lengths + 1
     ends = np.cumsum(n)
@@ -91,16 +118,18 @@ def _grams(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
         before = np.zeros(len(flat), np.uint64)
         before[k:] = flat[: len(flat) - k]
         before[place < k] = START
-        gram |= before << np.uint64(BITS * k)
+        gram |= before << np.uint64(bits * k)
     return gram, n
 
 
-AGAIN_GRAM = np.uint64(AGAIN)  # after ORDER - 1 starts
-AGAIN_END = np.uint64((AGAIN << BITS) | END)
+def _repeated(bits: int) -> np.ndarray:
+    """The n-grams of a repeated piece: ``AGAIN`` after ORDER - 1 starts, and its end."""
+    return np.array([AGAIN, (AGAIN << bits) | END], np.uint64)
 
 
-def _alphabets(docs: DataFrame) -> dict[str, list[int]]:
-    """Each language's LETTERS commonest characters, counted over the given documents; ties by code point."""
+def _alphabets(docs: DataFrame) -> dict[str, list[int] | None]:
+    """Each language's characters in the given documents, commonest first, ties by code point; None for a language with
+    more than LETTERS of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -121,11 +150,11 @@ def _alphabets(docs: DataFrame) -> dict[str, list[int]]:
 
     sums = docs.mapInArrow(run, "lang string, point long, n long").groupBy("lang", "point").agg(F.sum("n").alias("n"))
     top = W.partitionBy("lang").orderBy(F.desc("n"), "point")
-    rows = sums.withColumn("r", F.row_number().over(top)).where(F.col("r") <= LETTERS).toArrow().to_pylist()  # LETTERS rows a language
+    rows = sums.withColumn("r", F.row_number().over(top)).where(F.col("r") <= LETTERS + 1).toArrow().to_pylist()  # at most so many rows a language
     out: dict[str, list[int]] = {}
     for r in sorted(rows, key=lambda r: r["r"]):
         out.setdefault(r["lang"], []).append(r["point"])
-    return out
+    return {lang: points if len(points) <= LETTERS else None for lang, points in out.items()}
 
 
 def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
@@ -134,7 +163,7 @@ def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
         yield lang, b.column("text").filter(pc.equal(langs, lang))
 
 
-def gram_counts(trusted: DataFrame, alphabets: dict[str, list[int]]) -> DataFrame:
+def gram_counts(trusted: DataFrame, alphabets: dict[str, list[int] | None]) -> DataFrame:
     """(lang, half, gram, n): n-gram counts of the trusted documents (lang, half, text), by halves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +175,11 @@ def gram_counts(trusted: DataFrame, alphabets: dict[str, list[int]]) -> DataFram
                     distinct, codes, bounds = _pieces(rows)
                     again = _again(codes, bounds)
                     seen = np.bincount(codes[~again], minlength=len(distinct))
-                    points, lengths = _characters(distinct)
-                    gram, n = _grams(_symbols(points, alphabets.get(lang, [])), lengths)
+                    alphabet = alphabets.get(lang)
+                    gram, n = _grams(*_coded(distinct, alphabet), _bits(alphabet))
                     old = held.get((lang, half), (np.zeros(0, np.uint64), np.zeros(0)))
                     extra = np.full(2, again.sum(), float)
-                    gram, at = np.unique(np.concatenate([old[0], gram, [AGAIN_GRAM, AGAIN_END]]), return_inverse=True)
+                    gram, at = np.unique(np.concatenate([old[0], gram, _repeated(_bits(alphabet))]), return_inverse=True)
                     count = np.bincount(at, np.concatenate([old[1], np.repeat(seen, n).astype(float), extra]))
                     held[lang, half] = gram[count > 0], count[count > 0]
         for (lang, half), (gram, count) in held.items():
@@ -159,18 +188,20 @@ def gram_counts(trusted: DataFrame, alphabets: dict[str, list[int]]) -> DataFram
     return trusted.mapInArrow(run, "lang string, half int, gram long, n long").groupBy("lang", "half", "gram").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def kneser_ney(counts: DataFrame, wide: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
     """((model, lang, k, gram, p), (model, lang, k, context, back)) from (model, lang, gram, n) counts of order ORDER:
     the interpolated probabilities of the seen n-grams of each order k, and the weights that contexts give to the order
-    below. Everything is joins and sums of counts by n-gram, context or suffix."""
+    below. ``wide``: the languages with symbols of WIDE bits. Everything is joins and sums of counts by n-gram, context
+    or suffix."""
     own = ["model", "lang"]
+    by_width = lambda f: F.when(F.col("lang").isin(*wide), f(WIDE)).otherwise(f(BITS)) if wide else f(BITS)
+    last = lambda k: F.col("gram").bitwiseAND(by_width(lambda bits: F.lit((1 << (bits * k)) - 1)))
     orders = {ORDER: counts.select(*own, "gram", "n")}
     for k in range(ORDER - 1, 0, -1):  # how many different symbols stand before
-        suffix = F.col("gram").bitwiseAND(F.lit((1 << (BITS * k)) - 1))
-        orders[k] = orders[k + 1].select(*own, suffix.alias("gram")).groupBy(*own, "gram").agg(F.count(F.lit(1)).alias("n"))
+        orders[k] = orders[k + 1].select(*own, last(k).alias("gram")).groupBy(*own, "gram").agg(F.count(F.lit(1)).alias("n"))
     lower, ps, backs = None, [], []
     for k in range(1, ORDER + 1):
-        table = orders[k].withColumn("context", F.shiftrightunsigned("gram", BITS))
+        table = orders[k].withColumn("context", by_width(lambda bits: F.shiftrightunsigned("gram", bits)))
         of = lambda i: F.sum((F.col("n") == i).cast("double"))
         d = table.groupBy(*own).agg(*[of(i).alias(f"n{i}") for i in (1, 2, 3, 4)])
         y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
@@ -182,10 +213,9 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         table = table.join(context, [*own, "context"])
         first = (F.col("n") - F.col("d")) / F.col("total")
         if lower is None:
-            table = table.withColumn("p", first + F.col("back") / F.lit(2.0**BITS))
+            table = table.withColumn("p", first + F.col("back") / by_width(lambda bits: F.lit(2.0**bits)))
         else:
-            suffix = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
-            table = table.withColumn("suffix", suffix).join(lower, [*own, "suffix"]).withColumn("p", first + F.col("back") * F.col("q"))
+            table = table.withColumn("suffix", last(k - 1)).join(lower, [*own, "suffix"]).withColumn("p", first + F.col("back") * F.col("q"))
         table = saved(table.select(*own, F.lit(k).alias("k"), "gram", "p"), "kn-order")
         ps.append(table)
         backs.append(context.select(*own, F.lit(k).alias("k"), "context", "back"))
@@ -199,12 +229,13 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 class Model:
     """One language's tables as sorted arrays, of logarithms."""
 
-    def __init__(self, alphabet: list[int]):
-        self.alphabet, self.p, self.back = alphabet, {}, {}
+    def __init__(self, alphabet: list[int] | None):
+        self.alphabet, self.bits, self.p, self.back = alphabet, _bits(alphabet), {}, {}
 
     def put(self, table: dict, k: int, keys: np.ndarray, values: np.ndarray) -> None:
+        keys = keys.astype(np.uint64)  # before the sort: half of the wide keys are negative as they come
         order = np.argsort(keys)
-        table[k] = keys[order].astype(np.uint64), np.log(values[order])
+        table[k] = keys[order], np.log(values[order])
 
     @staticmethod
     def get(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,33 +251,32 @@ class Model:
         out = np.zeros(len(gram))
         left = np.arange(len(gram))
         for k in range(ORDER, 0, -1):
-            own = gram[left] & np.uint64((1 << (BITS * k)) - 1)
+            own = gram[left] & np.uint64((1 << (self.bits * k)) - 1)
             ok, value = self.get(self.p.get(k), own)
             out[left[ok]] += value[ok]
             left, own = left[~ok], own[~ok]
             if not len(left):
                 return out
-            out[left] += self.get(self.back.get(k), own >> np.uint64(BITS))[1]
-        out[left] -= BITS * math.log(2)
+            out[left] += self.get(self.back.get(k), own >> np.uint64(self.bits))[1]
+        out[left] -= self.bits * math.log(2)
         return out
 
     def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(log probability, symbols) of each row."""
         distinct, codes, bounds = _pieces(column)
-        points, lengths = _characters(distinct)
-        gram, n = _grams(_symbols(points, self.alphabet), lengths)
+        gram, n = _grams(*_coded(distinct, self.alphabet), self.bits)
         different, at = np.unique(gram, return_inverse=True)
         value = np.zeros(len(distinct))
         if len(n):
             value = np.add.reduceat(self.log_p(different)[at], np.cumsum(n) - n)
         again = _again(codes, bounds)
         value, count = value[codes], n[codes]
-        value[again], count[again] = self.log_p(np.array([AGAIN_GRAM, AGAIN_END])).sum(), 2
+        value[again], count[again] = self.log_p(_repeated(self.bits)).sum(), 2
         add = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
         return add(value), add(count).astype(np.int64)
 
 
-def _scored(docs: DataFrame, p: DataFrame, back: DataFrame, alphabets: dict[str, list[int]], keep: list[str], kinds: dict[str, str], text: str, finish, extra: str) -> DataFrame:
+def _scored(docs: DataFrame, p: DataFrame, back: DataFrame, alphabets: dict[str, list[int] | None], keep: list[str], kinds: dict[str, str], text: str, finish, extra: str) -> DataFrame:
     """``docs`` (model, lang, text, ``keep``) beside the probabilities and weights of their model and language: a row each
     with ``keep`` and what finish(lang, log probabilities, symbols) makes of them (columns of ``extra``).
 
@@ -260,7 +290,7 @@ def _scored(docs: DataFrame, p: DataFrame, back: DataFrame, alphabets: dict[str,
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         lang = key[1].as_py()
-        model = Model(alphabets.get(lang, []))
+        model = Model(alphabets.get(lang))
         kind, k = right.column("kind").to_numpy(), right.column("k").to_numpy()
         keys, values = right.column("key").to_numpy(), right.column("value").to_numpy()
         for i, part in ((0, model.p), (1, model.back)):
@@ -303,11 +333,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     trusted = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), language.alias("lang")).join(good, F.col("id") == F.col("_good"), "left_semi")
     trusted = trusted.select("text", "lang", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half"))
     alphabets = _alphabets(trusted.select("text", "lang"))
-    langs = sorted(alphabets)
     counts = saved(gram_counts(trusted, alphabets), "gram-counts")
     # models 0 and 1 for the halves they have not seen, model 2 of both
     named = counts.withColumn("model", F.explode(F.array(1 - F.col("half"), F.lit(2)))).groupBy("model", "lang", "gram").agg(F.sum("n").alias("n"))
-    p, back = kneser_ney(saved(named, "model-counts"))
+    p, back = kneser_ney(saved(named, "model-counts"), sorted(lang for lang, own in alphabets.items() if own is None))
     p, back = saved(p, "kn-p"), saved(back, "kn-back")
     tested = trusted.select(F.col("half").alias("model"), "lang", "text")
     # an empty text or one without a model has no score

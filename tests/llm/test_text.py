@@ -229,3 +229,38 @@ def test_tree_of_pages_without_an_article(spark):
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
     assert got == {i: f"Deal {i % 4 // 2}\nStory {i % 4}" for i in range(5)}
     assert {r.page_id: r.text for r in html_text.extract(pages, threshold=0.5).collect()} == {i: f"Story {i % 4}" for i in range(5)}
+
+
+def test_rare_characters_count_as_themselves(spark):
+    """A language of 600 characters, some beyond U+FFFF: words of known pairs of them, and the same characters in other pairs."""
+    rng = random.Random(4)
+    chars = [chr(0x4E00 + i) for i in range(560)] + [chr(0x20000 + i) for i in range(40)]
+    pairs = [a + b for a, b in zip(chars[::2], chars[1::2])]
+    good = lambda: " ".join("".join(rng.choice(pairs) for _ in range(2)) for _ in range(150))
+    bad = lambda: " ".join("".join(rng.choice(chars) for _ in range(4)) for _ in range(150))
+    rows = [(i, good(), "zh") for i in range(200)] + [(1000 + i, bad(), "zh") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    kept = {i for i, r in found.items() if r._kept}
+    assert len(kept & set(range(200))) >= 190 and not kept & set(range(1000, 1020))
+    assert found[1000]._symbols == sum(len(w.encode("utf-16-le")) // 2 + 1 for w in dict(r[:2] for r in rows)[1000].split(" "))
+
+
+def test_probabilities_of_wide_symbols_sum_to_one(spark):
+    import numpy as np
+
+    rng = random.Random(6)
+    rows = [(" ".join("".join(chr(rng.choice([0, 0x41, 0xFFFF, 0x10FFFF, *range(0x9000, 0x9064)])) for _ in range(rng.randint(1, 5))) for _ in range(200)), "zh", 0) for _ in range(4)]
+    docs = spark.createDataFrame(rows, "text string, lang string, half int")
+    alphabets = quality._alphabets(docs.select("text", "lang"))
+    assert alphabets == {"zh": None}
+    counts = quality.gram_counts(docs, alphabets).selectExpr("2 as model", "lang", "gram", "n")
+    m = quality.Model(None)
+    for table, df in zip((m.p, m.back), quality.kneser_ney(counts, ["zh"])):
+        for k, part in df.toPandas().groupby("k"):
+            m.put(table, int(k), part.iloc[:, 3].to_numpy(), part.iloc[:, 4].to_numpy())
+    seen = m.p[4][0]
+    for base in [0, *(int(x) & ~0xFFFF for x in seen[[0, len(seen) // 2, -1]]), 0xFFFE_8FF7_0123_0000]:
+        # the context's units stand above the last one, as in a seen n-gram of order 4
+        assert abs(np.exp(m.log_p(np.uint64(base) | np.arange(2**16, dtype=np.uint64))).sum() - 1) < 1e-6
