@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._io import saved
+from ._io import hinted, saved
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -29,3 +29,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if not moved:
             return labels
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """components() of ``links`` (a, b) together with those that gave ``labels`` (node, root; None: no links yet).
+
+    Only the components meet: a link inside one adds nothing, and of the links between two of them one counts, so that
+    the rounds go by the number of components that new links join, not by that of all links found so far."""
+    if labels is None:
+        return components(links)
+    at = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    ends = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y"))
+    between = saved(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links-between")
+    above = components(between)
+    further = hinted(above.select(F.col("node").alias("root"), F.col("root").alias("further")))
+    moved = labels.join(further, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+    return saved(moved.unionByName(above.join(labels.select("node"), "node", "left_anti")), "labels")

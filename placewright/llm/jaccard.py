@@ -291,10 +291,9 @@ def star(groups: DataFrame) -> DataFrame:
     return met.groupBy(F.col("c").alias("b")).agg(F.max_by("least", F.struct("n", "least")).alias("a")).select("a", "b")
 
 
-def open_groups(groups: DataFrame, found: DataFrame) -> DataFrame:
-    """(sig, c, root, members, top, main): the groups (sig, c) with sets of several components of the links found so far;
-    their sizes, and the size and root of the component that most of their sets belong to."""
-    roots = graph.components(found)
+def open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sig, c, root, members, top, main): the groups (sig, c) with sets of several of the components (node, root) found so
+    far; their sizes, and the size and root of the component that most of their sets belong to."""
     named = groups.join(roots, groups["c"] == roots["node"], "left").select("sig", "c", F.coalesce("root", "c").alias("root"))
     by_root = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
     spread = by_root.groupBy("sig").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("main")).where("top < members")
@@ -309,26 +308,25 @@ def spokes(groups: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 1024, deals: int = 3) -> DataFrame:
-    """(a, b) verified links between classes (first key halves); classes that similar pairs connect are connected by
-    them. Not every similar pair is listed: pairs that links connect already are not compared again. After ``deals``
-    deals what is left is compared in full, in blocks, however many there are."""
+    """(node, root): the classes (first key halves) that verified links connect, with the smallest that these reach. Not
+    every similar pair is looked for: pairs that links connect already are not compared again, and what is found goes
+    into the components at once, as one link for each two of them. After ``deals`` deals what is left is compared in full,
+    in blocks, however many there are."""
     groups = saved(shared(signed(docs, size, num, den, text)).distinct(), "signature-groups")
     sets = saved(candidate_sets(docs, rows, groups.select("c").distinct(), size, text), "candidate-sets")
-    found = None
+    roots = None
     for seed in range(1, deals + 1):
-        first = verified(sieved(star(groups), sets, num, den), sets, num, den)
-        found = saved(first if found is None else found.unionByName(first).distinct(), "links")
-        open_ = open_groups(groups, found)
-        second = verified(sieved(spokes(open_), sets, num, den), sets, num, den)
-        found = saved(found.unionByName(second).distinct(), "links")
-        open_ = open_groups(open_.select("sig", "c"), found)
+        roots = graph.joined(roots, verified(sieved(star(groups), sets, num, den), sets, num, den))
+        open_ = open_groups(groups, roots)
+        roots = graph.joined(roots, verified(sieved(spokes(open_), sets, num, den), sets, num, den))
+        open_ = open_groups(open_.select("sig", "c"), roots)
         many = F.col("members") - F.col("top") > most
         last = seed == deals or not open_.where(many).limit(1).count()
         few = (open_ if last else open_.where(~many)).drop("top")
         pairs = saved(open_pairs(few, sets, num, den), "open-pairs")
-        found = saved(found.unionByName(verified(pairs, sets, num, den)).distinct(), "links")
+        roots = graph.joined(roots, verified(pairs, sets, num, den))
         if last:
-            return found
+            return roots
         # The sets of large groups, parted by their signatures under another deal; again each meets one other first.
         groups = saved(shared(signed_again(open_.where(many).select("sig", "c"), sets, num, den, seed)), "signature-groups")
     raise AssertionError("unreachable")
@@ -339,7 +337,7 @@ def labelled(docs: DataFrame, size: int, num: int, den: int, text: str, doc_id:
     rows = saved(document_sets(docs, size, text, doc_id), "document-sets")
     own = rows.where("n_shingles > 0")
     classes = own.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
-    roots = graph.components(links(docs, own, size, num, den, text))
+    roots = links(docs, own, size, num, den, text)
     rooted = classes.join(roots, F.col("k1") == F.col("node"), "left")
     least = rooted.where(F.col("node").isNotNull()).groupBy("root").agg(F.min("first").alias("component_id"))
     linked = rooted.where(F.col("node").isNotNull()).join(least, "root").select("k1", "k2", "component_id")

@@ -228,3 +228,32 @@ def test_groups_that_fit_a_shard_stay_whole(spark, sizes, least):
     for r in out:
         shards[texts[r.doc_id]].add(r.shard)
     assert sum(len(shards[f"group {k}"]) == 1 for k in range(len(sizes))) >= least
+
+
+def test_later_links_join_components_only(spark, monkeypatch):
+    """Near copies, none of which is like all others: however many of their pairs are verified, one link counts for two components."""
+    rng = random.Random(7)
+    vocab = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(vocab) for _ in range(60)]
+    rows = []
+    for i in range(200):
+        own = list(base)
+        for _ in range(rng.randint(1, 3)):
+            own[rng.randrange(len(own))] = rng.choice(vocab)
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen, plain = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda links: seen.append(links.count()) or plain(links))
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.near_duplicates(docs, 3, 4, 5).collect())
+    assert got == brute_components(docs.collect(), 3, 4, 5)
+    assert max(Counter(x[2] for x in got).values()) > 100 and sum(seen) < 2 * len(rows), seen
+
+
+def test_joined_equals_the_components_of_all_links(spark):
+    rng = random.Random(1)
+    frame = lambda n: spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(n)], "a long, b long").where("a <> b")
+    parts = [frame(80).cache(), frame(0), frame(60).cache(), frame(80).cache()]
+    labels, both = None, None
+    for x in parts:
+        labels, both = graph.joined(labels, x), x if both is None else both.unionByName(x)
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, graph.components(both).collect()))
