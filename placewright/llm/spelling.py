@@ -7,10 +7,14 @@ trie with a budget of one surplus and one deficit; at each level the branches th
 that level's nodes. The words at the leaves reached are verified by their edit distance. A pair is walked from one side
 only: from the shorter word, or by the surplus before the deficit.
 
-Nodes are 64-bit hashes of paths: two paths with one hash would give more candidates, which the check of the leaves drops."""
+A node is a number: the sum of its path's counts, each times the ``WEIGHTS`` of its group. So a word's letters are
+counted once, and a branch adds to a node of the word the weights of what it spends. Two paths of one sum would give more
+candidates, which the check of the leaves drops."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,8 @@ from .exact_dedup import ascii_lower
 RUN = "[a-zÀ-ÿ]{5,}"
 #: Letter groups of each level; the last group of all holds every other letter.
 LEVELS = (("e", "n", "i", "t"), ("r", "s", "a", "o"), ("u", "d", "l", "hm"), ("cg", "bp", "fkv"))
+#: Of each group, of every other letter and of the length, under 2 ** 31: a string's sums then lie under 2 ** 63.
+WEIGHTS = {g: int.from_bytes(hashlib.sha256(g.encode()).digest()[:4], "big") >> 1 for g in (*(x for level in LEVELS for x in level), "other", "length")}
 #: Nodes or words sent to every executor at most; beyond it the walk joins by a shuffle.
 SENT = 1_000_000
 NONE, OWING, SPENT, LONGER = 0, 1, 2, 3  # budget of a walk: whole, a deficit left, nothing left, a surplus only
@@ -44,42 +50,51 @@ def _having(word: Column, letters: str) -> Column:
     return F.length(word) - F.length(F.translate(word, letters, ""))
 
 
-def _counts(word: Column, level: int) -> list[Column]:
-    own = [_having(word, g) for g in LEVELS[level]]
-    return own + [F.length(F.translate(word, "".join("".join(x) for x in LEVELS), ""))] if level == len(LEVELS) - 1 else own
+def _groups(level: int) -> tuple[str, ...]:
+    return (*LEVELS[level], *["other"] * (level == len(LEVELS) - 1))
+
 
+def _nodes(word: Column) -> list[Column]:
+    """The word's own nodes, from its length down to its leaf."""
+    other = F.length(F.translate(word, "".join("".join(x) for x in LEVELS), ""))
+    weighed = lambda g: (other if g == "other" else _having(word, g)).cast("long") * WEIGHTS[g]
+    nodes = [F.length(word).cast("long") * WEIGHTS["length"]]
+    for level in range(len(LEVELS)):
+        nodes.append(sum((weighed(g) for g in _groups(level)), nodes[-1]))
+    return nodes
 
-def _steps(width: int) -> list[tuple[int, int, dict[int, int]]]:
-    """(budget before, budget behind, changes of counts) of every way to spend within one level."""
-    stay = [(b, b, {}) for b in (NONE, OWING, SPENT, LONGER)]
-    more = [(b, e, {i: 1}) for i in range(width) for b, e in ((NONE, OWING), (LONGER, SPENT))]
-    less = [(OWING, SPENT, {i: -1}) for i in range(width)]
-    return stay + more + less + [(NONE, SPENT, {i: 1, j: -1}) for i in range(width) for j in range(i + 1, width)]
+
+def _steps(level: int) -> list[tuple[int, int, int]]:
+    """(budget before, budget behind, what the node gains) of every way to spend within one level."""
+    w = [WEIGHTS[g] for g in _groups(level)]
+    stay = [(b, b, 0) for b in (NONE, OWING, SPENT, LONGER)]
+    more = [(b, e, x) for x in w for b, e in ((NONE, OWING), (LONGER, SPENT))]
+    less = [(OWING, SPENT, -x) for x in w]
+    return stay + more + less + [(NONE, SPENT, x - y) for i, x in enumerate(w) for y in w[i + 1 :]]
 
 
 def _walked(front: DataFrame, level: int) -> DataFrame:
     """The branches of one level that each walk's budget lets it take."""
-    counts = [F.col(f"_c{i}") for i in range(len(LEVELS[level]) + (level == len(LEVELS) - 1))]
-    front = front.withColumns({f"_c{i}": x for i, x in enumerate(_counts(F.col("word"), level))})
-    ways = [F.when(F.col("budget") == b, F.struct(F.xxhash64("node", *[c + change.get(i, 0) for i, c in enumerate(counts)]).alias("node"), F.lit(e).alias("budget"))) for b, e, change in _steps(len(counts))]
-    out = front.select("word", "n", F.explode(F.filter(F.array(*ways), lambda x: x.isNotNull())).alias("way"))
-    return out.select("word", "n", "way.node", "way.budget")
+    ways = lambda b: F.array(*[F.struct(F.lit(e).alias("budget"), F.lit(gain).cast("long").alias("gain")) for at, e, gain in _steps(level) if at == b])
+    taken = F.when(F.col("budget") == NONE, ways(NONE)).when(F.col("budget") == OWING, ways(OWING)).when(F.col("budget") == SPENT, ways(SPENT)).otherwise(ways(LONGER))
+    own = [f"_{i}" for i in range(level + 1, len(LEVELS) + 1)]
+    out = front.select("word", "n", *own, "gained", F.explode(taken).alias("way"))
+    return out.select("word", "n", *own, (F.col("gained") + F.col("way.gain")).alias("gained"), "way.budget")
 
 
 def near_pairs(words: DataFrame, sent: int = SENT) -> DataFrame:
     """(a, a_n, b, b_n): every pair of ``words`` (word, n) that differs by one inserted, deleted or replaced code point, once.
 
     ``words`` are distinct and read several times: give a written table."""
-    nodes = [F.xxhash64(F.length("word"))]
-    for level in range(len(LEVELS)):
-        nodes.append(F.xxhash64(nodes[-1], *_counts(F.col("word"), level)))
-    trie = saved(words.select("word", "n", *[x.alias(f"_{i}") for i, x in enumerate(nodes)]), "trie")
-    starts = F.array(F.struct(F.xxhash64(F.length("word")).alias("node"), F.lit(NONE).alias("budget")), F.struct(F.xxhash64(F.length("word") + 1).alias("node"), F.lit(LONGER).alias("budget")))
-    front = trie.select("word", "n", F.explode(starts).alias("at")).select("word", "n", "at.node", "at.budget")
+    trie = saved(words.select("word", "n", *[x.alias(f"_{i}") for i, x in enumerate(_nodes(F.col("word")))]), "trie")
+    starts = F.array(*[F.struct(F.lit(b).alias("budget"), F.lit(gain).cast("long").alias("gained")) for b, gain in ((NONE, 0), (LONGER, WEIGHTS["length"]))])
+    front = trie.withColumn("at", F.explode(starts)).select(*trie.columns, "at.gained", "at.budget")
     for level in range(len(LEVELS)):
         there = trie.select(F.col(f"_{level}").alias("node")).distinct()
-        front = _walked(front.join(hinted(there, sent), "node", "left_semi"), level)
-    front = front.where(F.col("budget").isin(NONE, SPENT)).select(F.col("word").alias("a"), F.col("n").alias("a_n"), "node", "budget")
+        here = front.withColumn("node", F.col(f"_{level}") + F.col("gained"))
+        front = _walked(here.join(hinted(there, sent), "node", "left_semi"), level)
+    node = (F.col(f"_{len(LEVELS)}") + F.col("gained")).alias("node")
+    front = front.where(F.col("budget").isin(NONE, SPENT)).select(F.col("word").alias("a"), F.col("n").alias("a_n"), node, "budget")
     leaves = trie.select(F.col("word").alias("b"), F.col("n").alias("b_n"), F.col(f"_{len(LEVELS)}").alias("node"))
     met = front.join(hinted(leaves, sent), "node").where((F.col("budget") == SPENT) | (F.col("a") < F.col("b")))
     return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "a_n", "b", "b_n")

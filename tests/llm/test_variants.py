@@ -70,6 +70,14 @@ def test_variants_of_awkward_rows(awkward, nothing):
     assert spelling.variants(nothing).count() == 0
 
 
+def test_letters_are_counted_once_a_word(spark):
+    """The walk adds numbers; no branch of it reads its word's letters again."""
+    words = spark.createDataFrame([("separate", 9), ("seperate", 4), ("separates", 3), ("orchard", 5)], "word string, n long")
+    pairs = spelling.near_pairs(words)
+    assert sorted((r.a, r.b) for r in pairs.collect()) in ([("separate", "separates"), ("separate", "seperate")], [("separate", "separates"), ("seperate", "separate")])
+    assert "translate(" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_word_loses_letters_in_many_documents(spark):
     """Every 97th document loses one code point of the same word, by the contract's rule."""
     rows = [(i, "Orchard orchard") for i in range(3000)]
