@@ -11,9 +11,10 @@ similar sets agree in m + 1 groups at least: a set with at most m groups in whic
 signatures out, and any other joins them to each of its signatures under a second deal, which similar sets share again.
 
 Copies (equal sets) are one class from the start. Of classes that share a signature, each is compared with the smallest
-one, then each outside the commonest component of a signature with one inside, another for each signature: as many pairs
-as classes. Found links join classes into components, and only classes of different components are compared further,
-first by parity sketches, which bound a difference from below, then in full. Where more than ``most`` classes of a signature lie
+one, then each outside the commonest component of a signature with one inside, another for each signature, by parity
+sketches, which bound a difference from below; the likeliest few for each class and component are compared in full. Found
+links join classes into components, and only classes of different components are compared further, again by sketches
+first. Where more than ``most`` classes of a signature lie
 outside its commonest component (passages that many documents share), its classes are first grouped anew by their
 signatures under another, independent deal of the shingles, which similar sets again share."""
 
@@ -212,11 +213,15 @@ def _side(df: DataFrame, s: str) -> DataFrame:
     return df.withColumnsRenamed({"c": s, "n": f"n_{s}", "root": f"root_{s}"} | {x: f"{x}_{s}" for x in BITS})
 
 
+def _differ():
+    """In how many parities the sketches of two sides differ."""
+    return sum((F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in BITS), F.lit(0))
+
+
 def _may_link(num: int, den: int):
     """Whether the sets of two sides can have the similarity: they differ in at least as many shingles as their parities."""
     na, nb = F.col("n_a"), F.col("n_b")
-    differ = sum((F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in BITS), F.lit(0))
-    return (na * den >= nb * num) & (nb * den >= na * num) & (differ * (den + num) <= (na + nb) * (den - num))
+    return (na * den >= nb * num) & (nb * den >= na * num) & (_differ() * (den + num) <= (na + nb) * (den - num))
 
 
 def sieved(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -300,11 +305,17 @@ def open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
     return saved(named.join(spread, "sig"), "open-groups")
 
 
-def spokes(groups: DataFrame) -> DataFrame:
-    """(a, b): in each open group, each set b outside its main component with one set a of that, another in each group."""
-    hubs = groups.where("root = main").groupBy("sig").agg(F.min(F.struct(F.xxhash64("c", "sig").alias("order"), "c")).alias("hub"))
-    met = groups.where("root <> main").select("sig", "c").join(hubs, "sig")
-    return met.select(F.col("hub.c").alias("a"), F.col("c").alias("b")).distinct()
+def spokes(groups: DataFrame, sets: DataFrame, num: int, den: int, tries: int = 4) -> DataFrame:
+    """(a, b): each set b outside the main component of open groups with sets a of that, at most ``tries`` for each
+    component. It meets one of them in each group, another in every group, by sketches only; of each of ``tries`` parts of
+    those that these allow, the pair whose sketches differ least goes on."""
+    bits = sets.select("c", "n", *BITS)
+    hubs = groups.where("root = main").groupBy("sig", "main").agg(F.min(F.struct(F.xxhash64("c", "sig").alias("order"), "c")).alias("hub"))
+    left = _side(hubs.select("sig", "main", F.col("hub.c").alias("c")).join(bits, "c"), "a")
+    right = _side(groups.where("root <> main").select("sig", "c").join(bits, "c"), "b")
+    met = left.join(right, "sig").where(_may_link(num, den))
+    likeliest = F.min_by("a", F.struct(_differ() / (F.col("n_a") + F.col("n_b")), "a"))
+    return met.groupBy("b", "main", F.pmod(F.xxhash64("a"), F.lit(tries)).alias("part")).agg(likeliest.alias("a")).select("a", "b")
 
 
 def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text: str, most: int = 1024, deals: int = 3) -> DataFrame:
@@ -318,7 +329,7 @@ def links(docs: DataFrame, rows: DataFrame, size: int, num: int, den: int, text:
     for seed in range(1, deals + 1):
         roots = graph.joined(roots, verified(sieved(star(groups), sets, num, den), sets, num, den))
         open_ = open_groups(groups, roots)
-        roots = graph.joined(roots, verified(sieved(spokes(open_), sets, num, den), sets, num, den))
+        roots = graph.joined(roots, verified(saved(spokes(open_, sets, num, den), "spokes"), sets, num, den))
         open_ = open_groups(open_.select("sig", "c"), roots)
         many = F.col("members") - F.col("top") > most
         last = seed == deals or not open_.where(many).limit(1).count()

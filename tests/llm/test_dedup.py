@@ -257,3 +257,25 @@ def test_joined_equals_the_components_of_all_links(spark):
     for x in parts:
         labels, both = graph.joined(labels, x), x if both is None else both.unionByName(x)
         assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, graph.components(both).collect()))
+
+
+def test_pairs_compared_grow_with_the_sets_not_their_signatures(spark, monkeypatch):
+    """Near copies, none of which is like all others: a set that shares many signatures with a component is compared with
+    a few sets of it, not with another for each signature."""
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(vocab) for _ in range(150)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(rng.randint(1, 7)):
+            own[rng.randrange(len(own))] = rng.choice(vocab)
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    for name in ("sieved", "verified"):
+        plain = getattr(jaccard, name)
+        monkeypatch.setattr(jaccard, name, lambda pairs, *a, plain=plain: seen.append(pairs.count()) or plain(pairs, *a))
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.near_duplicates(docs, 3, 4, 5).collect())
+    assert got == brute_components(docs.collect(), 3, 4, 5)
+    assert max(Counter(x[2] for x in got).values()) > 200 and sum(seen) < 6 * len(rows), seen
