@@ -65,6 +65,24 @@ def test_jaro_winkler_of_letters_and_nulls(spark):
     assert got[0] == 1.0 and 0.8 < got[1] < 1.0 and got[2] is None and got[3] is None and got[4] == 0.0 and got[5] > 0.99
 
 
+def test_a_jaro_winkler_of_exactly_nine_tenths_passes_as_the_sql_says(spark):
+    letters = "abcdefghij"
+    rng = random.Random(5)
+    words = ["".join(rng.choice(letters) for _ in range(rng.choice([8, 9, 10, 12]))) for _ in range(60)]
+    words += [w[:4] + "".join(rng.sample(w[4:], len(w) - 4)) for w in words] + [w[:4] + x[4:] for w, x in zip(words, words[1:])] + ["abcde", "abcdefghij"]
+    pairs = pd.DataFrame([(a, b) for a in words for b in words], columns=["a", "b"])
+    want = duckdb.sql("select a, b, jaro_winkler_similarity(a, b) as s from pairs").df()
+    got = similarity.jaro_winkler_array(pairs.a.to_numpy(object), pairs.b.to_numpy(object))
+    assert ((got == 0.9) == (want.s == 0.9)).all()  # to the last bit: the test asks for equality
+    exact = want[(want.s == 0.9) | (want.s >= 0.95)]
+    assert (exact.s == 0.9).any()
+    side = lambda n: spark.createDataFrame(pairs[[n]].drop_duplicates(), f"{n}_nn string").select(f"{n}_nn", *similarity.traits(F.col(f"{n}_nn"), n))
+    found = {(r.a_nn, r.b_nn) for r in similarity.passing(side("a").crossJoin(side("b"))).collect()}
+    assert found == set(zip(exact.a, exact.b))
+    named = similarity.with_same_name(spark.createDataFrame(pairs, "a string, b string"), "a", "b", "ok").where("ok").collect()
+    assert {(r.a, r.b) for r in named} == found
+
+
 def side(spark, rows):
     df = spark.createDataFrame(rows, "id string, name string, addr string, lat double, lng double")
     return df.select("id", "lat", "lng", text.norm_name(F.col("name")).alias("nn"), text.house_number(F.col("addr")).alias("hn"))
