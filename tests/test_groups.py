@@ -1,12 +1,14 @@
 """Rows that are alike meet once: the pairs that are compared are counted, the results are those of all rows."""
 
+import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from placewright.functions import similarity
 from placewright.operators import groups, match
-from placewright.plans import build
+from placewright.plans import build, queries
 
 PLACES = [("p1", "Blue Door", "12 Elm St", "20001", 38.0, -77.0), ("p2", "Blue Doors", "12 Elm St", "20001", 38.0, -77.0), ("p3", "Blue Door", None, None, 38.0001, -77.0), ("p4", "Red Lamp", "12 Elm St", "20001", 38.0, -77.0)]
 
@@ -58,3 +60,22 @@ def test_by_value_is_the_same_for_few_and_many_values(spark, monkeypatch):
     monkeypatch.setattr(groups, "SENT", 1)
     many = groups.by_value(df, "name", {"n": F.length("name")}).collect()
     assert sorted(map(str, few)) == sorted(map(str, many)) and len(few) == 4
+
+
+def test_names_that_repeat_meet_once(spark):
+    a = spark.createDataFrame([(f"a{i}", f"name {i % 2}", "k", "1") for i in range(30)] + [("a", "name 0", None, "1")], "id string, name string, category string, hn string")
+    b = spark.createDataFrame([(f"b{i}", f"Name {i % 3}", "k", "1") for i in range(30)] + [("b", "name 0", "k", None)], "id string, name string, category string, hn string")
+    met = queries._met(a, b, "name", "category", "hn", traits=True)
+    assert met.count() == 6  # of 900 pairs of rows
+    got = {(r.a_id, r.b_id): r.ok for r in groups.spread(similarity.tested(met, "ok").select("a_id", "b_id", "ok"), "a_id", "b_id").collect()}
+    want = similarity.with_same_name(a.join(b.withColumnsRenamed({"id": "b_id", "name": "b"}), ["category", "hn"]), "name", "b", "ok").collect()
+    assert got == {(r.id, r.b_id): r.ok for r in want} and len(want) == 900
+
+
+def test_scores_by_bits_equal_those_by_tables_of_letters():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcd東é") for _ in range(rng.choice([1, 2, 5, 9, 33, 64]))) for _ in range(60)] + ["a" * 64, "ab" * 32]
+    a, b = (np.array(x, object) for x in zip(*[(x, y) for x in words for y in words]))
+    assert (similarity._places(a, b) == similarity._scores(a.astype(str), b.astype(str))).all()
+    many = np.array([chr(0x4E00 + i) for i in range(2000)], object)
+    assert similarity._places(many, many) is None and (similarity.jaro_winkler_array(many, many) == 1).all()
