@@ -1,13 +1,15 @@
 """Rows that are alike meet once: the pairs that are compared are counted, the results are those of all rows."""
 
+import math
 import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from placewright.functions import similarity
-from placewright.operators import groups, match
+from placewright.operators import groups, match, outline
 from placewright.plans import build, queries
 
 PLACES = [("p1", "Blue Door", "12 Elm St", "20001", 38.0, -77.0), ("p2", "Blue Doors", "12 Elm St", "20001", 38.0, -77.0), ("p3", "Blue Door", None, None, 38.0001, -77.0), ("p4", "Red Lamp", "12 Elm St", "20001", 38.0, -77.0)]
@@ -79,3 +81,36 @@ def test_scores_by_bits_equal_those_by_tables_of_letters():
     assert (similarity._places(a, b) == similarity._scores(a.astype(str), b.astype(str))).all()
     many = np.array([chr(0x4E00 + i) for i in range(2000)], object)
     assert similarity._places(many, many) is None and (similarity.jaro_winkler_array(many, many) == 1).all()
+
+
+def test_outlines_of_many_edges_are_met_by_few(spark, monkeypatch):
+    n = 4000
+    ring = [(-77 + 0.07 * math.cos(2 * math.pi * i / n), 38.9 + 0.07 * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    sides = spark.createDataFrame([("AA", *ring[i], *ring[(i + 1) % n]) for i in range(n)], "state string, x1 double, y1 double, x2 double, y2 double")
+    rng = random.Random(4)
+    spots = [(i, 38.9 + rng.uniform(-0.15, 0.15), -77 + rng.uniform(-0.15, 0.15)) for i in range(60)] + [(60, 38.9, -77.0), (61, None, -77.0), (62, 38.97, -77.0), (63, 38.9, -76.93)]
+    df = spark.createDataFrame(spots, "id int, lat double, lng double")
+    met, slabs, degrees = [], outline.slabs, outline.nearest
+
+    def counted(*args):
+        out = slabs(*args)
+        met.append(out.agg(F.max(F.size("edges"))).first()[0])
+        return out
+
+    monkeypatch.setattr(outline, "slabs", counted)
+    inside = {r.id: r.inside for r in outline.with_inside(df, sides, "AA").collect()}
+    far = {r.id: r.degrees for r in outline.with_degrees(df, sides, "AA", 0.05).collect()}
+    assert max(met) < 200  # slabs of 0.01 degrees hold up to 700 of these edges
+    cells = outline.cells(sides, 0.007)
+    assert degrees(df.where("id < 3"), sides, 0.05).count() <= 3 and cells.agg(F.max(F.size("edges"))).first()[0] < n / 20
+    for i, lat, lng in spots:
+        if lat is None:
+            assert far[i] is None and not inside[i]
+            continue
+        want = 9.0
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            t = max(0.0, min(1.0, ((lng - x1) * (x2 - x1) + (lat - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2)))
+            want = min(want, math.hypot(lng - x1 - t * (x2 - x1), lat - y1 - t * (y2 - y1)))
+        assert far[i] == pytest.approx(want, abs=1e-12) if want <= 0.05 else far[i] is None
+        if want > 1e-6:
+            assert inside[i] == (math.hypot(lng + 77, lat - 38.9) < 0.07)
