@@ -114,3 +114,21 @@ def test_outlines_of_many_edges_are_met_by_few(spark, monkeypatch):
         assert far[i] == pytest.approx(want, abs=1e-12) if want <= 0.05 else far[i] is None
         if want > 1e-6:
             assert inside[i] == (math.hypot(lng + 77, lat - 38.9) < 0.07)
+
+
+def test_grid_candidates_measure_two_positions_once(spark, monkeypatch):
+    rows = [(f"{i}", 38.9 + (i % 3) * 1e-3, -77.0 + (i % 2) * 5e-3) for i in range(60)]
+    a = spark.createDataFrame(rows, "id string, lat double, lng double")
+    b = spark.createDataFrame([*rows[:30], ("far", 39.5, -77.0), ("none", None, -77.0)], "id string, lat double, lng double")
+    measured, spread = [], groups.spread
+
+    def counted(df, *values):
+        measured.append(df.count())
+        return spread(df, *values)
+
+    monkeypatch.setattr(groups, "spread", counted)
+    got = Counter((r.a_id, r.b_id) for r in match.grid_candidates(a, b).collect())
+    cell = lambda lat, lng: (math.floor(lat / 4e-3), math.floor(lng / 8e-3))
+    close = lambda p, q: all(abs(x - y) <= 1 for x, y in zip(cell(*p[1:]), cell(*q[1:])))
+    assert got == Counter((p[0], q[0]) for p in rows for q in rows[:30] if close(p, q))
+    assert measured == [36]  # six positions by six, not 1,800 pairs of rows
