@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from placewright.functions import similarity
 from placewright.operators import groups, match, outline
 from placewright.plans import build, queries
+from placewright.sources import store
 
 PLACES = [("p1", "Blue Door", "12 Elm St", "20001", 38.0, -77.0), ("p2", "Blue Doors", "12 Elm St", "20001", 38.0, -77.0), ("p3", "Blue Door", None, None, 38.0001, -77.0), ("p4", "Red Lamp", "12 Elm St", "20001", 38.0, -77.0)]
 
@@ -132,3 +133,12 @@ def test_grid_candidates_measure_two_positions_once(spark, monkeypatch):
     close = lambda p, q: all(abs(x - y) <= 1 for x, y in zip(cell(*p[1:]), cell(*q[1:])))
     assert got == Counter((p[0], q[0]) for p in rows for q in rows[:30] if close(p, q))
     assert measured == [36]  # six positions by six, not 1,800 pairs of rows
+
+
+def test_large_tables_in_small_files_are_not_broadcast(spark):
+    spark.conf.unset("spark.sql.sources.fileCompressionFactor")
+    table = store.settled(spark.range(0, 400_000, 1, 1).select(F.col("id").alias("k"), F.concat(F.lit("a long name that many rows have " * 4), F.col("id") % 9000).alias("v")), "wide")
+    plan = table.join(table.select("k", F.col("v").alias("w")), "k")._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    few = table.join(F.broadcast(table.limit(3).select("k")), "k")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in few
